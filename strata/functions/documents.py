@@ -55,7 +55,7 @@ def parse_date(c: str | Column, fmt: str = "dd.MM.yyyy", on_error: str = "fail")
     if on_error == "fail":
         return F.to_date(_col(c), fmt)
     if on_error == "null":
-        return F.try_to_date(_col(c), F.lit(fmt))
+        return F.try_to_date(_col(c), fmt)
     raise ValueError("on_error must be 'fail' or 'null'")
 
 
