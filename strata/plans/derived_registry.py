@@ -210,7 +210,7 @@ def q_registry_shares_issues(spark, sf_dir):
 
 
 def q_registry_amendments(spark, sf_dir):
-    return R.amendments(silver_tables(spark, sf_dir, stage=False))
+    return R.amendments(silver_tables(spark, sf_dir))
 
 
 def q_registry_current_info(spark, sf_dir):
