@@ -41,6 +41,8 @@ DIALECT_RULES = (
     (r'"siedzibaIAdresPodmiotuZagranicznego"\s*:', '"siedzibaIAdres":'),
     (r'"([a-zA-Z]+)Zagranicznego"\s*:', '"$1":'),
 )
+# every dialect rule above matches only text that contains this suffix
+FOREIGN_KEY_SUFFIX = 'Zagranicznego"'
 ENTRY_DATE_FORMAT = "dd.MM.yyyy"
 
 ADDRESS_KEYS = (
@@ -227,9 +229,16 @@ def bronze(
 
 
 def normalise(bronze_df: DataFrame) -> DataFrame:
-    """Foreign-dialect flag (X1, Q3), key rewrite (H4), typed parse (X3) into ``data``."""
+    """Foreign-dialect flag (X1, Q3), key rewrite (H4), typed parse (X3) into ``data``.
+
+    The regex rewrite runs only on documents containing the rules' common suffix;
+    for all others it could not match, so the result is the same and most
+    (domestic) documents skip the regex scan.
+    """
+    text = F.col("raw_json")
+    rewritten = F.when(contains_marker(text, FOREIGN_KEY_SUFFIX), rewrite_keys(text, DIALECT_RULES)).otherwise(text)
     flagged = bronze_df.withColumn("is_foreign", contains_marker("raw_json", FOREIGN_MARKER)).withColumn(
-        "raw_json", rewrite_keys("raw_json", DIALECT_RULES)
+        "raw_json", rewritten
     )
     return parse_json(flagged, "raw_json", document_schema(), into="data")
 

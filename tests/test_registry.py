@@ -172,3 +172,14 @@ def test_run_writes_all_layers(spark, tmp_path):
     assert back["full_history"].columns == FULL_HISTORY_COLUMNS
     assert back["current_info"].count() == 3
     assert len(list((tmp_path / "out" / "silver").iterdir())) == 21
+
+
+def test_suffix_guard_keeps_reference_rewrite(spark):
+    # only the seat section is foreign: no dialect flag, but the keys are still folded
+    doc = document(ENTRIES_9[:1], address=[("Main", "Gdansk", 1, None)]).replace(
+        '"siedzibaIAdres":', '"siedzibaIAdresPodmiotuZagranicznego" :'
+    )
+    assert "siedzibaIAdresPodmiotuZagranicznego" in doc
+    parsed = R.normalise(R.bronze(spark.createDataFrame([(1, "K", doc)], RAW)))
+    assert rows(parsed, "is_foreign") == [(False,)]
+    assert rows(R.silver(None, parsed=parsed)["address"], "street") == [("Main",)]
