@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 from ..functions.documents import contains_marker, parse_date, parse_int, parse_json, rewrite_keys
 from ..operators.asof import AsOfSpec, interval_chain, interval_join, start_match_chain, start_match_join
 from ..operators.history import Field, HistorySpec, distinct_starts, explode_history, reopen_orphans
-from ..operators.layout import cluster
 from ..operators.ranking import first_per_key, latest_per_key
 from ..session import fresh_path
-from ..sources.tables import read_table, write_table
+from ..sources.tables import read_clustered, read_table, write_table
 
 USER = ["user_id"]
 ORDER = ["o_orderkey"]
@@ -166,7 +165,7 @@ def q_table_roundtrip(spark, sf_dir):
 
 
 def q_clustered_scan(spark, sf_dir):
-    return cluster(table(spark, sf_dir, "orders"), 8, ["o_custkey"], ["o_custkey", "o_orderdate"])
+    return read_clustered(spark, f"{sf_dir}/orders.parquet", ["o_custkey"], ["o_custkey", "o_orderdate"], 8)
 
 
 def q_rename_project(spark, sf_dir):
