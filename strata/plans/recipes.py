@@ -37,20 +37,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- timeline and histories
 
 
+_MID = "__strata_mid"
+
+
+def number_within_key(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+    """``row_number() OVER (PARTITION BY key ORDER BY order)`` without a per-key task.
+
+    A range sort on ``(key, *order)`` splits a heavy key over many partitions;
+    ``monotonically_increasing_id`` then grows with the global order and is dense
+    within each partition. The ids are written once to the shared folder (so every
+    consumer sees the same ids), each (key, partition) run gets its count and first
+    id, and a row's number is the rows of its key in earlier partitions plus its
+    place in the run. ``order`` must make rows unique within the key.
+    """
+    ordered = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    tagged = materialize(ordered.withColumn(_MID, F.monotonically_increasing_id()))
+    part = F.shiftright(F.col(_MID), 33).alias("__strata_part")
+    runs = tagged.groupBy(key, part).agg(F.count("*").alias("__strata_n"), F.min(_MID).alias("__strata_first"))
+    earlier = Window.partitionBy(key).orderBy("__strata_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("__strata_before", F.coalesce(F.sum("__strata_n").over(earlier), F.lit(0)))
+    joined = tagged.withColumn("__strata_part", part).join(runs, [key, "__strata_part"])
+    number = (F.col("__strata_before") + F.col(_MID) - F.col("__strata_first") + 1).cast("int")
+    return joined.select(*df.columns, number.alias(name))
+
+
 def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events numbered 1..n per user in (ts, event_id) order."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     ev = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
-    return ev.withColumn("entry_number", F.row_number().over(w))
+    return number_within_key(ev, "user_id", ["ts", "event_id"], "entry_number")
 
 
 def event_history(tl: DataFrame, kind: str, closer: str = "error") -> DataFrame:
-    """Intervals of ``kind`` events: [own entry, next ``kind``-or-``closer`` entry)."""
-    w = Window.partitionBy("user_id").orderBy("entry_number")
-    marks = tl.where(F.col("event_type").isin(kind, closer)).withColumn(
-        "valid_to_entry", F.lead("entry_number").over(w)
+    """Intervals of ``kind`` events: [own entry, next ``kind``-or-``closer`` entry).
+
+    The marked events are ranked per user and each is joined to the one ranked
+    next, an equi-join on ``(user, rank)``.
+    """
+    marks = tl.where(F.col("event_type").isin(kind, closer)).select("user_id", "event_id", "value", "event_type", "entry_number")
+    ranked = number_within_key(marks, "user_id", ["entry_number"], "__strata_rank")
+    successors = ranked.select(
+        "user_id", (F.col("__strata_rank") - 1).alias("__strata_rank"), F.col("entry_number").alias("valid_to_entry")
     )
-    return marks.where(F.col("event_type") == kind).select(
+    own = ranked.where(F.col("event_type") == kind)
+    return own.join(successors, ["user_id", "__strata_rank"], "left").select(
         "user_id", "event_id", "value", F.col("entry_number").alias("valid_from_entry"), "valid_to_entry"
     )
 

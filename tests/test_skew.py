@@ -71,3 +71,22 @@ def test_top1_ships_one_row_per_map_partition(spark):
         assert plan.index("Partial") > plan.index("Exchange hashpartitioning(company_krs")
     finally:
         _restore(spark)
+
+
+def test_numbering_equals_row_number_and_spreads_a_hot_key(spark):
+    from pyspark.sql import Window
+
+    from strata.plans.recipes import number_within_key
+
+    _no_adaptive(spark)
+    try:
+        base, _ = _skewed(spark)
+        df = base.select("company_krs", (F.col("entry_number") * 7 % 1001).alias("t"), "entry_number")
+        got = number_within_key(df, "company_krs", ["t", "entry_number"], "n")
+        w = Window.partitionBy("company_krs").orderBy("t", "entry_number")
+        want = df.withColumn("n", F.row_number().over(w))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        share, used = _partition_shares(got.where("company_krs = 'HOT'"))
+        assert share < 0.5 and used >= 4
+    finally:
+        _restore(spark)
