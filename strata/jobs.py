@@ -46,26 +46,15 @@ def read_source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def run_bronze(spark: SparkSession, args: argparse.Namespace) -> None:
-    R.bronze(read_source(spark, args), keep=args.keep).write.format(args.format).mode("overwrite").save(
-        f"{args.out}/bronze"
-    )
+    R.run_bronze(read_source(spark, args), args.out, args.format, args.keep)
 
 
 def run_silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    parsed_path = f"{args.out}/parsed"
-    bronze_df = spark.read.format(args.format).load(f"{args.out}/bronze")
-    R.normalise(bronze_df).write.format(args.format).mode("overwrite").save(parsed_path)
-    tables = R.silver(None, args.on_error, parsed=spark.read.format(args.format).load(parsed_path))
-    R.write_silver(tables, f"{args.out}/silver", args.silver_partitions, args.format)
+    R.run_silver(spark, args.out, args.format, args.on_error, args.silver_partitions)
 
 
 def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
-    tables = R.read_silver(spark, f"{args.out}/silver", args.format)
-    out = R.gold(tables, args.bin_width, args.tie_break, f"{args.out}/gold/full_history")
-    paths = {"full_history": f"{args.out}/gold/full_history"}
-    for name in ("shares_issues", "amendments", "current_info"):
-        paths[name] = f"{args.out}/gold/{name}"
-        getattr(out, name).write.format(args.format).mode("overwrite").save(paths[name])
+    paths = R.run_gold(spark, args.out, args.format, args.bin_width, args.tie_break)
     if args.export_url:
         props = {k: v for k, v in (("user", args.export_user), ("password", args.export_password),
                                    ("driver", args.export_driver)) if v}

@@ -322,30 +322,43 @@ def read_silver(spark, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     return {s.name: spark.read.format(fmt).load(f"{root}/{s.name}") for s in silver_specs()}
 
 
-def run(
-    raw: DataFrame,
-    out_root: str,
-    fmt: str = "parquet",
-    on_error: str = "fail",
-    bin_width: int = DEFAULT_BIN_WIDTH,
-    tie_break: Sequence[str] = (),
-    num_partitions: int | None = None,
-) -> dict[str, str]:
-    """Bronze -> silver -> gold over ``raw`` (id, krs_number, raw_data), writing every layer.
+def run_bronze(raw: DataFrame, out_root: str, fmt: str = "parquet", keep: str = "first") -> str:
+    path = f"{out_root}/bronze"
+    bronze(raw, keep=keep).write.format(fmt).mode("overwrite").save(path)
+    return path
 
-    The document is parsed once: bronze is written, re-read, and all 21 silver
-    tables come from that one scan (each branch reads only its nested column).
-    """
-    spark = raw.sparkSession
-    bronze_path = f"{out_root}/bronze"
-    bronze(raw).write.format(fmt).mode("overwrite").save(bronze_path)
+
+def run_silver(spark, out_root: str, fmt: str = "parquet", on_error: str = "fail", num_partitions: int | None = None) -> None:
+    """Parse bronze once into ``parsed``; all 21 silver tables come from that one copy,
+    each branch reading only its nested column."""
     parsed_path = f"{out_root}/parsed"
-    normalise(spark.read.format(fmt).load(bronze_path)).write.format(fmt).mode("overwrite").save(parsed_path)
+    normalise(spark.read.format(fmt).load(f"{out_root}/bronze")).write.format(fmt).mode("overwrite").save(parsed_path)
     tables = silver(None, on_error, parsed=spark.read.format(fmt).load(parsed_path))
     write_silver(tables, f"{out_root}/silver", num_partitions, fmt)
+
+
+def run_gold(
+    spark, out_root: str, fmt: str = "parquet", bin_width: int = DEFAULT_BIN_WIDTH, tie_break: Sequence[str] = ()
+) -> dict[str, str]:
     out = gold(read_silver(spark, f"{out_root}/silver", fmt), bin_width, tie_break, f"{out_root}/gold/full_history")
     paths = {"full_history": f"{out_root}/gold/full_history"}
     for name in ("shares_issues", "amendments", "current_info"):
         paths[name] = f"{out_root}/gold/{name}"
         getattr(out, name).write.format(fmt).mode("overwrite").save(paths[name])
     return paths
+
+
+def run(
+    raw: DataFrame,
+    out_root: str,
+    fmt: str = "parquet",
+    on_error: str = "fail",
+    bin_width: int = DEFAULT_BIN_WIDTH,
+    tie_break: Sequence[str] = (),
+    num_partitions: int | None = None,
+) -> dict[str, str]:
+    """Bronze -> silver -> gold over ``raw`` (id, krs_number, raw_data), writing every layer."""
+    spark = raw.sparkSession
+    run_bronze(raw, out_root, fmt)
+    run_silver(spark, out_root, fmt, on_error, num_partitions)
+    return run_gold(spark, out_root, fmt, bin_width, tie_break)
