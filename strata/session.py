@@ -22,6 +22,7 @@ class Settings:
     time_zone: str = "UTC"
     shuffle_partitions: int = 96
     advisory_partition_size: str = "64m"
+    max_partition_bytes: str = "128m"
     adaptive: bool = True
     skew_join: bool = True
     coalesce_partitions: bool = True
@@ -58,6 +59,7 @@ class Settings:
             "spark.sql.shuffle.partitions": str(self.shuffle_partitions),
             "spark.sql.adaptive.enabled": str(self.adaptive).lower(),
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": self.advisory_partition_size,
+            "spark.sql.files.maxPartitionBytes": self.max_partition_bytes,
             "spark.sql.adaptive.skewJoin.enabled": str(self.skew_join).lower(),
             "spark.sql.adaptive.coalescePartitions.enabled": str(self.coalesce_partitions).lower(),
         }

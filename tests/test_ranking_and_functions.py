@@ -60,3 +60,21 @@ def test_strict_and_lenient_parsing(spark):
         df.select(parse_int("n")).collect()
     with pytest.raises(Exception):
         df.select(parse_date("d")).collect()
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ABC"), st.one_of(st.none(), st.integers(0, 9)), st.integers(0, 99)),
+                min_size=1, max_size=30, unique_by=lambda r: r[2]))
+def test_latest_is_one_row_per_key_and_the_maximum(spark, data):
+    df = spark.createDataFrame(data, "k string, entry_number int, t int")
+    got = {r["k"]: (r["entry_number"], r["t"]) for r in latest_per_key(df, ["k"], "entry_number", ["t"]).collect()}
+    want = {}
+    for k, e, t in data:
+        key = (e is not None, e if e is not None else 0, t)
+        if k not in want or key > want[k][0]:
+            want[k] = (key, (e, t))
+    assert got == {k: v for k, (_, v) in want.items()}
