@@ -12,8 +12,9 @@ whole key to one task. Instead the ordinal axis is cut into bins of
 the bins it covers, and the join is an equi-join on ``(key, bin)`` with the exact
 interval test as residual. Per bin the work is bounded by ``bin_width`` x the
 intervals touching it, and a heavy key is spread over all of its bins.
-Open intervals are clamped to the key's last base ordinal, taken from a
-per-key ``max`` (a partial+final hash aggregate, one row per key).
+Open and very long intervals are clamped to the key's first/last base ordinal,
+taken from a per-key ``min``/``max`` (a partial+final hash aggregate, one row per
+key), so replication never runs past the key's timeline.
 
 In a chain (J4) the bin is computed once, so the base keeps its
 ``hash(key, bin)`` partitioning from join to join: only the histories shuffle.
@@ -29,8 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BIN_WIDTH = 32
+# intervals spanning more bins than this are clamped to the key's extent first
+LONG_SPAN_BINS = 64
 
 _BIN = "__strata_bin"
+_LO = "__strata_lo"
 _HI = "__strata_hi"
 _H = "__strata_h_"
 
@@ -71,22 +75,33 @@ def _renamed_history(spec: AsOfSpec, keys: Sequence[str], start: str, end: str)
 
 
 def _binned_history(spec, keys, start, end, bounds, width, at_type) -> DataFrame:
-    """Each interval replicated into every bin it covers, clamped to the key's extent."""
+    """Each interval replicated into every bin it covers.
+
+    Short closed intervals go straight to their bins. Open intervals, and closed
+    ones spanning more than ``LONG_SPAN_BINS`` bins, are first clamped to the key's
+    ``[first, last]`` base ordinal (an equi-join with one row per key), so no
+    interval is replicated beyond the key's timeline.
+    """
     h = _renamed_history(spec, keys, start, end).where(F.col(f"{_H}start").isNotNull())
     start_axis = _axis(F.col(f"{_H}start"), at_type)
-    end_axis = _axis(F.col(f"{_H}end"), at_type)
-    # closed intervals stop one before their end; open ones at the key's last ordinal
-    closed = h.where(F.col(f"{_H}end").isNotNull()).withColumn(_HI, end_axis - 1)
-    opened = (
-        h.where(F.col(f"{_H}end").isNull())
+    last_axis = _axis(F.col(f"{_H}end"), at_type) - 1  # end is exclusive
+    span = _bin_of(last_axis, width) - _bin_of(start_axis, width)
+    long_or_open = F.col(f"{_H}end").isNull() | (span > LONG_SPAN_BINS)
+    short = h.where(~long_or_open).select("*", start_axis.alias(_LO), last_axis.alias(_HI))
+    clamped = (
+        h.where(long_or_open)
         .join(bounds, on=[f"{_H}k{i}" for i in range(len(keys))], how="inner")
+        .select(
+            *h.columns,
+            F.greatest(start_axis, F.col(_LO)).alias(_LO),
+            F.least(F.coalesce(last_axis, F.col(_HI)), F.col(_HI)).alias(_HI),
+        )
     )
-    both = closed.unionByName(opened)
     return (
-        both.where(start_axis <= F.col(_HI))
-        .withColumn(_BIN, F.explode(F.sequence(_bin_of(start_axis, width), _bin_of(F.col(_HI), width))))
-        .withColumnRenamed(_BIN, f"{_H}bin")
-        .drop(_HI)
+        short.unionByName(clamped)
+        .where(F.col(_LO) <= F.col(_HI))
+        .withColumn(f"{_H}bin", F.explode(F.sequence(_bin_of(F.col(_LO), width), _bin_of(F.col(_HI), width))))
+        .drop(_LO, _HI)
     )
 
 
@@ -121,7 +136,7 @@ def interval_chain(
     at_axis = _axis(F.col(at), at_type)
     out = base.withColumn(_BIN, _bin_of(at_axis, bin_width))
     bounds = base.groupBy(*[F.col(k).alias(f"{_H}k{i}") for i, k in enumerate(keys)]).agg(
-        F.max(at_axis).alias(_HI)
+        F.min(at_axis).alias(_LO), F.max(at_axis).alias(_HI)
     )
     for spec in specs:
         h = _binned_history(spec, keys, start, end, bounds, bin_width, at_type)

@@ -115,3 +115,15 @@ def test_start_match_join_keeps_all_pairs(spark):
     three = start_match_chain(s, [AsOfSpec(c, ("v",), "count"), AsOfSpec(p, ("v",), "pref")])
     assert three.count() == 8 + 1
     assert rows(three.where("company_krs = 'B'"), "count_v", "pref_v") == [(None, None)]
+
+
+def test_huge_interval_is_clamped_to_the_key_extent(spark):
+    base = spark.createDataFrame([("A", 5), ("A", 6), ("B", 1)], BASE)
+    hist = spark.createDataFrame(
+        [("A", "far", -2_000_000_000, 2_000_000_000), ("A", "open", 6, None), ("B", "short", 1, 3)], HIST
+    )
+    out = interval_join(base, hist, ["v"], bin_width=2)
+    assert rows(out) == brute_force(
+        [("A", 5), ("A", 6), ("B", 1)],
+        [("A", "far", -2_000_000_000, 2_000_000_000), ("A", "open", 6, None), ("B", "short", 1, 3)],
+    )
