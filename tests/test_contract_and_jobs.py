@@ -33,3 +33,9 @@ def test_export_targets_match_reference_tables():
         "stg_full_history", "stg_shares_issues", "stg_amendments", "stg_current_company_info"
     ]
     assert [c for _, _, c in jobs.EXPORTS] == [True, False, True, True]
+
+
+def test_no_query_plans_a_cross_or_nested_loop_join(spark):
+    for name, fn in contract.queries().items():
+        plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
