@@ -104,7 +104,12 @@ def _group_by_flag(items: Column, build) -> Column:
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, krs_number, raw_data)`` source rows, one or two per order."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    after = Window.partitionBy("l_orderkey").orderBy("l_linenumber").rangeBetween(1, Window.unboundedFollowing)
+    # lines with a larger number, as a growing frame over descending numbers (linear per order)
+    after = (
+        Window.partitionBy("l_orderkey")
+        .orderBy(F.col("l_linenumber").desc())
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
     closer = F.expr(CLOSER)
     ends = [
         F.min(F.when(F.expr(rule_sql(j)) | closer, F.col("l_linenumber"))).over(after).alias(f"__end{j}")
