@@ -9,14 +9,30 @@ from pyspark.sql import DataFrame
 from ..session import fresh_path
 
 
-def cluster(df: DataFrame, num_partitions: int | None, keys: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
-    """Hash-partition by ``keys`` and sort each partition by ``sort_by``.
+def cluster(
+    df: DataFrame,
+    num_partitions: int | None,
+    keys: Sequence[str],
+    sort_by: Sequence[str] = (),
+    method: str = "range",
+) -> DataFrame:
+    """Cluster rows by ``keys`` and sort each partition by ``sort_by``.
 
     Worth it before a write (row groups get tight min/max statistics on the key, later
     reads prune) - not before a join, where the join's own exchange does the same work.
-    ``num_partitions=None`` leaves the width to ``spark.sql.shuffle.partitions`` / AQE.
+    ``method="range"`` range-partitions on ``keys + sort_by``: a key's rows stay
+    contiguous and sorted, and a key holding a large share of the rows is split over
+    several tasks. ``method="hash"`` is the reference's ``repartition(n, key)``, which
+    sends each key whole to one task. ``num_partitions=None`` uses
+    ``spark.sql.shuffle.partitions``.
     """
-    out = df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
+    if method == "range":
+        cols = [*keys, *[c for c in sort_by if c not in keys]]
+        out = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    elif method == "hash":
+        out = df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
+    else:
+        raise ValueError("method must be 'range' or 'hash'")
     return out.sortWithinPartitions(*sort_by) if sort_by else out
 
 

@@ -90,3 +90,16 @@ def test_numbering_equals_row_number_and_spreads_a_hot_key(spark):
         assert share < 0.5 and used >= 4
     finally:
         _restore(spark)
+
+
+def test_cluster_by_range_splits_a_hot_key(spark):
+    from strata import cluster
+
+    _no_adaptive(spark)
+    try:
+        base, _ = _skewed(spark)
+        ranged, used = _partition_shares(cluster(base, 8, ["company_krs"], ["company_krs", "entry_number"]))
+        hashed, _ = _partition_shares(cluster(base, 8, ["company_krs"], ["entry_number"], method="hash"))
+        assert hashed > 0.9 and ranged < 0.3 and used >= 6
+    finally:
+        _restore(spark)
