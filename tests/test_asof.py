@@ -127,3 +127,17 @@ def test_huge_interval_is_clamped_to_the_key_extent(spark):
         [("A", 5), ("A", 6), ("B", 1)],
         [("A", "far", -2_000_000_000, 2_000_000_000), ("A", "open", 6, None), ("B", "short", 1, 3)],
     )
+
+
+def test_custom_column_names(spark):
+    from strata import reopen_orphans
+
+    timeline = spark.createDataFrame([("e1", 1), ("e1", 4), ("e1", 9)], "entity string, n int")
+    history = spark.createDataFrame(
+        [("e1", "active", 1, 4), ("e1", "paused", 4, 6), ("e1", "closed", 8, None)],
+        "entity string, status string, from_n int, to_n int",
+    )
+    hist = reopen_orphans(history, keys=["entity"], start="from_n", end="to_n")  # paused: 6 has no successor
+    facts = interval_join(timeline, hist, ["status"], prefix="s", keys=["entity"], at="n", start="from_n", end="to_n")
+    assert facts.columns == ["entity", "n", "s_status"]
+    assert rows(facts) == [("e1", 1, "active"), ("e1", 4, "paused"), ("e1", 9, "closed"), ("e1", 9, "paused")]
