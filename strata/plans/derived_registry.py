@@ -194,6 +194,14 @@ def q_registry_address(spark, sf_dir):
     return silver_tables(spark, sf_dir, stage=False)["address"]
 
 
+def q_registry_identifiers(spark, sf_dir):
+    return silver_tables(spark, sf_dir, stage=False)["identifiers"]
+
+
+def q_registry_opp_status(spark, sf_dir):
+    return silver_tables(spark, sf_dir, stage=False)["has_opp_status"]
+
+
 def q_registry_statute(spark, sf_dir):
     return silver_tables(spark, sf_dir, stage=False)["statute_change"]
 
@@ -226,6 +234,8 @@ QUERIES = {
     "registry_bronze": q_registry_bronze,
     "registry_timeline": q_registry_timeline,
     "registry_address": q_registry_address,
+    "registry_identifiers": q_registry_identifiers,
+    "registry_opp_status": q_registry_opp_status,
     "registry_statute": q_registry_statute,
     "registry_share_units": q_registry_share_units,
     "registry_share_series": q_registry_share_series,
@@ -324,12 +334,15 @@ def oracle_sql() -> dict[str, str]:
     full = _full_history_sql()
     tie = ", ".join(f"{c} DESC NULLS LAST" for c in full_history_tie_break())
     units = {name: j for j, (name, _, _, _) in enumerate(R.HISTORIES)}["total_shares_units"]
-    address = {name: j for j, (name, _, _, _) in enumerate(R.HISTORIES)}["address"]
+    index = {name: j for j, (name, _, _, _) in enumerate(R.HISTORIES)}
+    address = index["address"]
     return {
         "registry_bronze": "SELECT 2 * o_orderkey AS source_id, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS company_krs, "
         "o_orderpriority LIKE '1%' AS is_foreign FROM orders",
         "registry_timeline": f"{ctes}\nSELECT * FROM tl",
         "registry_address": f"{ctes}\nSELECT * FROM h{address}",
+        "registry_identifiers": f"{ctes}\nSELECT * FROM h{index['identifiers']}",
+        "registry_opp_status": f"{ctes}\nSELECT * FROM h{index['has_opp_status']}",
         "registry_statute": f"{ctes}\nSELECT * FROM hs",
         "registry_share_units": f"{ctes}\nSELECT * FROM h{units}",
         "registry_share_series": f"{ctes}\nSELECT * FROM issue_s",
