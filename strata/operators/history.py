@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.documents import parse_date, parse_int, typed_null
 
 _ELEM = "__strata_elem"
+_POS = "__strata_pos"
 _SUCC = "__strata_has_successor"
 
 
@@ -72,6 +73,20 @@ class HistorySpec:
         return [f.name for f in self.fields]
 
 
+def _explode_step(df: DataFrame, carried: list[Column], array: Column, outer: bool) -> DataFrame:
+    """One explode level.
+
+    A plain ``explode`` over a path inside ``from_json`` makes Catalyst infer a
+    ``size(from_json(...)) > 0`` filter, which parses every document a second time.
+    ``posexplode_outer`` + "position is not NULL" keeps exactly ``explode``'s rows
+    (empty/NULL arrays give none, NULL elements are kept) with one parse.
+    """
+    if outer:
+        return df.select(*carried, F.explode_outer(array).alias(_ELEM))
+    out = df.select(*carried, F.posexplode_outer(array).alias(_POS, _ELEM))
+    return out.where(F.col(_POS).isNotNull()).drop(_POS)
+
+
 def explode_history(
     df: DataFrame,
     spec: HistorySpec,
@@ -80,11 +95,10 @@ def explode_history(
     on_error: str = "fail",
 ) -> DataFrame:
     """Explode ``spec.path`` of the parsed ``document`` into rows (narrow, no shuffle)."""
-    gen = F.explode_outer if spec.outer else F.explode
     carried = [F.col(c) for c in carry]
-    out = df.select(*carried, gen(F.col(f"{document}.{spec.path[0]}")).alias(_ELEM))
+    out = _explode_step(df, carried, F.col(f"{document}.{spec.path[0]}"), spec.outer)
     for step in spec.path[1:]:
-        out = out.select(*carried, gen(F.col(f"{_ELEM}.{step}")).alias(_ELEM))
+        out = _explode_step(out, carried, F.col(f"{_ELEM}.{step}"), spec.outer)
     cols = [*carried, *(f.column(_ELEM, on_error) for f in spec.fields)]
     if spec.is_history:
         cols.append(parse_int(F.col(f"{_ELEM}.{spec.start}"), on_error).alias(spec.start_col))

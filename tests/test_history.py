@@ -71,3 +71,19 @@ def test_repair_plan_has_no_nested_loop(spark):
     df = spark.createDataFrame([("A", "x", 1, 3)], SCHEMA).withColumn("company_krs", F.col("company_krs"))
     plan = reopen_orphans(df)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_explode_semantics_and_single_parse(spark):
+    from strata import Field, HistorySpec, explode_history
+    from strata.functions.documents import parse_json
+
+    docs = spark.createDataFrame(
+        [(1, '{"a": [null, {"v": "x", "s": "1"}]}'), (2, '{"a": []}'), (3, "{}"), (4, "{bad")], "k int, t string"
+    )
+    parsed = parse_json(docs, "t", "a ARRAY<STRUCT<v: STRING, s: STRING>>")
+    inner = explode_history(parsed, HistorySpec("a", ("a",), (Field("v", "v"),), start="s"), carry=["k"])
+    outer = explode_history(parsed, HistorySpec("a", ("a",), (Field("v", "v"),), outer=True, start="s"), carry=["k"])
+    assert rows(inner, "k", "v") == sorted([(1, None), (1, "x")], key=repr)  # NULL element kept, empty/missing dropped
+    assert rows(outer, "k", "v") == sorted([(1, None), (1, "x"), (2, None), (3, None), (4, None)], key=repr)
+    plan = inner._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
