@@ -141,3 +141,46 @@ def test_custom_column_names(spark):
     facts = interval_join(timeline, hist, ["status"], prefix="s", keys=["entity"], at="n", start="from_n", end="to_n")
     assert facts.columns == ["entity", "n", "s_status"]
     assert rows(facts) == [("e1", 1, "active"), ("e1", 4, "paused"), ("e1", 9, "closed"), ("e1", 9, "paused")]
+
+
+hist_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B"]),
+        st.text("pq", min_size=1, max_size=2),
+        st.one_of(st.none(), st.integers(0, 40)),
+        st.one_of(st.none(), st.integers(0, 45)),
+    ),
+    max_size=10,
+)
+
+
+@settings(max_examples=20, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 40)), max_size=15),
+    hist_rows,
+    hist_rows,
+    st.sampled_from([1, 4, 32]),
+)
+def test_chain_equals_brute_force_product(spark, base, h1, h2, width):
+    def matches(hist, k, e):
+        return [v for hk, v, s, t in hist if hk == k and s is not None and s <= e and (t is None or t > e)] or [None]
+
+    want = sorted(((k, e, a, b) for k, e in base for a in matches(h1, k, e) for b in matches(h2, k, e)), key=repr)
+    specs = [AsOfSpec(spark.createDataFrame(h, HIST), ("v",), p) for h, p in ((h1, "one"), (h2, "two"))]
+    got = interval_chain(spark.createDataFrame(base, BASE), specs, bin_width=width)
+    assert rows(got) == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(hist_rows, hist_rows, hist_rows)
+def test_start_match_chain_equals_brute_force(spark, s, c, p):
+    def partners(other, k, start):
+        return [v for ok, v, os_, _ in other if ok == k and start is not None and os_ == start] or [None]
+
+    want = sorted(
+        ((k, v, start, end, a, b) for k, v, start, end in s for a in partners(c, k, start) for b in partners(p, k, start)),
+        key=repr,
+    )
+    specs = [AsOfSpec(spark.createDataFrame(c, HIST), ("v",), "c"), AsOfSpec(spark.createDataFrame(p, HIST), ("v",), "p")]
+    got = start_match_chain(spark.createDataFrame(s, HIST), specs)
+    assert rows(got) == want
