@@ -90,6 +90,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--batchsize", type=int, default=200)
     p.add_argument("--truncate", type=lambda v: v.lower() == "true", default=True)
     p.add_argument("--shuffle-partitions", type=int, default=96)
+    p.add_argument("--input-bytes", type=float, help="size shuffles for this input size (overrides --shuffle-partitions)")
+    p.add_argument("--cores", type=int, default=8, help="total task slots, with --input-bytes")
     p.add_argument("--time-zone", default="UTC")
     return p
 
@@ -97,7 +99,11 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     if spark is None:
-        spark = build_session(Settings(shuffle_partitions=args.shuffle_partitions, time_zone=args.time_zone))
+        if args.input_bytes:
+            settings = Settings.for_scale(args.input_bytes, args.cores, time_zone=args.time_zone)
+        else:
+            settings = Settings(shuffle_partitions=args.shuffle_partitions, time_zone=args.time_zone)
+        spark = build_session(settings)
     stages = ["bronze", "silver", "gold"] if args.stage == "all" else [args.stage]
     for stage in stages:
         {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}[stage](spark, args)

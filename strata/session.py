@@ -6,10 +6,11 @@ Nothing here sets a master: deployment decides that.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,38 @@ class Settings:
     shuffle_retry_wait: str = "5s"
     kryo: bool = True
 
+    @classmethod
+    def for_scale(
+        cls,
+        input_bytes: float,
+        cores: int,
+        target_partition_bytes: int = 1024**3,
+        expansion: float = 2.0,
+        executor_cores: int = 4,
+        **overrides,
+    ) -> "Settings":
+        """Size shuffles, file splits and executors for ``input_bytes`` on ``cores`` task slots.
+
+        AQE only *coalesces* shuffle partitions (and splits skewed join partitions), so
+        the initial shuffle width must fit the biggest shuffle: input x ``expansion``
+        (decompressed rows, as-of fan-out) / ``target_partition_bytes``, and at least two
+        waves of the cluster's slots. AQE merges small partitions back towards the
+        target; file splits use the same size. Executors get about two partitions of
+        execution memory per core (execution + storage share ~60% of the heap).
+        """
+        partitions = max(2 * cores, math.ceil(input_bytes * expansion / target_partition_bytes))
+        size = f"{max(1, target_partition_bytes // 1024**2)}m"
+        heap_gb = max(2, math.ceil(executor_cores * 2 * target_partition_bytes / 0.6 / 1024**3))
+        base = cls(
+            shuffle_partitions=partitions,
+            advisory_partition_size=size,
+            max_partition_bytes=size,
+            executor_cores=str(executor_cores),
+            executor_memory=f"{heap_gb}g",
+            executor_memory_overhead=f"{max(1, heap_gb // 4)}g",
+        )
+        return replace(base, **overrides)
+
     def static_conf(self) -> dict[str, str]:
         """Options that must be set before the session starts."""
         conf = {
@@ -62,6 +95,7 @@ class Settings:
             "spark.sql.files.maxPartitionBytes": self.max_partition_bytes,
             "spark.sql.adaptive.skewJoin.enabled": str(self.skew_join).lower(),
             "spark.sql.adaptive.coalescePartitions.enabled": str(self.coalesce_partitions).lower(),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(self.shuffle_partitions),
         }
 
 

@@ -82,3 +82,14 @@ def test_replayed_batch_rewrites_the_same_output(spark, tmp_path):
     first = rows(spark.read.parquet(f"{out}/names"))
     write(batch, 7)  # replay after a failure
     assert rows(spark.read.parquet(f"{out}/names")) == first
+
+
+def test_settings_for_scale():
+    big = Settings.for_scale(100 * 1024**4, cores=4000)  # 100 TiB on 1000 x 4 cores
+    assert big.shuffle_partitions == 204_800 and big.advisory_partition_size == "1024m"
+    conf = big.sql_conf()
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "204800"
+    assert conf["spark.sql.files.maxPartitionBytes"] == "1024m"
+    assert big.static_conf()["spark.executor.memory"] == "14g" and big.executor_cores == "4"
+    small = Settings.for_scale(1024**2, cores=8, time_zone="Europe/Warsaw")
+    assert small.shuffle_partitions == 16 and small.time_zone == "Europe/Warsaw"
