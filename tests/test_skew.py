@@ -103,3 +103,27 @@ def test_cluster_by_range_splits_a_hot_key(spark):
         assert hashed > 0.9 and ranged < 0.3 and used >= 6
     finally:
         _restore(spark)
+
+
+def test_registry_gold_spreads_a_huge_company(spark):
+    from strata.plans import registry as R
+    from tests.registry_fixtures import document
+
+    n = 3000
+    entries = [(i, "01.01.2020") for i in range(1, n + 1)]
+    names = [(f"N{i}", i, i + 10) for i in range(1, n, 10)]  # each replaced 10 entries later
+    big = document(entries, names=names, address=[("S", "C", 1, None)])
+    small = [document([(1, "01.01.2020"), (2, "02.01.2020")], names=[("x", 1, None)]) for _ in range(20)]
+    raw = spark.createDataFrame(
+        [(1, "HOT", big)] + [(i + 2, f"K{i}", d) for i, d in enumerate(small)], "id long, krs_number string, raw_data string"
+    )
+    _no_adaptive(spark)
+    try:
+        full = R.full_history(R.silver(R.bronze(raw)))
+        hot = full.where("company_krs = 'HOT'").select("entry_number", "company_name", "address_street")
+        got = {r["entry_number"]: (r["company_name"], r["address_street"]) for r in hot.collect()}
+        assert len(got) == n and got[1] == ("N1", "S") and got[15] == ("N11", "S") and got[n] == ("N2991", "S")
+        share, used = _partition_shares(full)
+        assert share < 0.3 and used >= 6
+    finally:
+        _restore(spark)
