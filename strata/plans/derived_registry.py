@@ -227,7 +227,7 @@ def q_registry_amendments(spark, sf_dir):
 
 
 def q_registry_current_info(spark, sf_dir):
-    return R.current_info(q_registry_full_history(spark, sf_dir), tie_break=full_history_tie_break())
+    return R.current_info_direct(silver_tables(spark, sf_dir), tie_break=full_history_tie_break())
 
 
 QUERIES = {

@@ -255,6 +255,25 @@ def repair_histories(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {n: (reopen_orphans(df, [KEY]) if n in closed else df) for n, df in tables.items() if n != "registry"}
 
 
+def current_info_direct(
+    tables: Mapping[str, DataFrame], bin_width: int = DEFAULT_BIN_WIDTH, tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """T6 without building the whole full history first.
+
+    The latest full-history row of an entity can only come from its timeline rows
+    with the highest entry number (NULL only when all are NULL, as in ``DESC NULLS
+    LAST``), so the 16 joins run on those rows alone. The restriction is a per-key
+    ``max`` (partial + final aggregate) and a null-safe equi-join on
+    ``(key, entry)``. Same result as :func:`current_info` over :func:`full_history`
+    whenever ``tie_break`` makes the order total.
+    """
+    timeline = tables["registry"]
+    last = timeline.groupBy(KEY).agg(F.max("entry_number").alias("__strata_last"))
+    on = (timeline[KEY] == last[KEY]) & timeline["entry_number"].eqNullSafe(last["__strata_last"])
+    latest = timeline.join(last, on, "left_semi")
+    return current_info(full_history({**tables, "registry": latest}, bin_width), tie_break)
+
+
 @dataclass(frozen=True)
 class GoldOutputs:
     full_history: DataFrame

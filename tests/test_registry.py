@@ -183,3 +183,16 @@ def test_suffix_guard_keeps_reference_rewrite(spark):
     parsed = R.normalise(R.bronze(spark.createDataFrame([(1, "K", doc)], RAW)))
     assert rows(parsed, "is_foreign") == [(False,)]
     assert rows(R.silver(None, parsed=parsed)["address"], "street") == [("Main",)]
+
+
+def test_current_info_direct_equals_top1_of_full_history(spark, layers):
+    _, tables, gold = layers
+    tie = [c for c in FULL_HISTORY_COLUMNS if c not in ("company_krs", "entry_number")]
+    via_full = R.current_info(gold.full_history, tie)
+    direct = R.current_info_direct(tables, tie_break=tie)
+    assert direct.columns == FULL_HISTORY_COLUMNS
+    assert rows(direct) == rows(via_full)
+    # all entry numbers NULL (lenient parse): the NULL rows are the latest, as with DESC NULLS LAST
+    doc = document([(1, "01.01.2020")], names=[("X", 1, None)]).replace('"numerWpisu": "1"', '"numerWpisu": "x"')
+    t = R.silver(R.bronze(spark.createDataFrame([(1, "K", doc)], RAW)), on_error="null")
+    assert rows(R.current_info_direct(t, tie_break=tie), "entry_number") == [(None,)]
