@@ -318,13 +318,22 @@ def gold(
     tie_break: Sequence[str] = (),
     stage_path: str | None = None,
     stage: bool = True,
+    current_from: str = "full",
 ) -> GoldOutputs:
     """T3-T6. With ``stage`` the full history is written once to the shared folder
-    and both its export and the current-info window read that copy (L3/L4)."""
+    and its export and current info read that copy (L3/L4). ``current_from="latest"``
+    computes current info with :func:`current_info_direct` instead (joins only the
+    latest timeline rows; cheaper when the full history fans out a lot)."""
     full = full_history(tables, bin_width)
     if stage:
         full = materialize(full, stage_path)
-    return GoldOutputs(full, shares_issues(tables), amendments(tables), current_info(full, tie_break))
+    if current_from == "full":
+        current = current_info(full, tie_break)
+    elif current_from == "latest":
+        current = current_info_direct(tables, bin_width, tie_break)
+    else:
+        raise ValueError("current_from must be 'full' or 'latest'")
+    return GoldOutputs(full, shares_issues(tables), amendments(tables), current)
 
 
 # ------------------------------------------------------------------ job
