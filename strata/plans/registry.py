@@ -13,6 +13,7 @@ Everything is lazy; :func:`run` materialises the outputs.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -339,11 +340,40 @@ def gold(
 # ------------------------------------------------------------------ job
 
 
-def write_silver(tables: Mapping[str, DataFrame], root: str, num_partitions: int | None = None, fmt: str = "parquet") -> None:
+def _write_all(jobs: Mapping[str, tuple[DataFrame, str]], fmt: str, concurrent_jobs: int) -> None:
+    """Write independent tables; ``concurrent_jobs`` of them are submitted at once.
+
+    Only job submission runs in driver threads - each write is an ordinary
+    distributed job - so small tables no longer leave the cluster idle in turn.
+    The first failure is raised after all submitted writes finish.
+    """
+
+    def write(item):
+        df, path = item
+        df.write.format(fmt).mode("overwrite").save(path)
+
+    if concurrent_jobs <= 1:
+        for item in jobs.values():
+            write(item)
+        return
+    with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
+        for future in [pool.submit(write, item) for item in jobs.values()]:
+            future.result()
+
+
+def write_silver(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    num_partitions: int | None = None,
+    fmt: str = "parquet",
+    concurrent_jobs: int = 4,
+) -> None:
     """Silver layout (L1, O1): clustered by entity, sorted by entry within each file."""
+    jobs = {}
     for name, df in tables.items():
         order = "entry_number" if name == "registry" else "valid_from_entry"
-        cluster(df, num_partitions, [KEY], [KEY, order]).write.format(fmt).mode("overwrite").save(f"{root}/{name}")
+        jobs[name] = (cluster(df, num_partitions, [KEY], [KEY, order]), f"{root}/{name}")
+    _write_all(jobs, fmt, concurrent_jobs)
 
 
 def read_silver(spark, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -370,9 +400,9 @@ def run_gold(
 ) -> dict[str, str]:
     out = gold(read_silver(spark, f"{out_root}/silver", fmt), bin_width, tie_break, f"{out_root}/gold/full_history")
     paths = {"full_history": f"{out_root}/gold/full_history"}
-    for name in ("shares_issues", "amendments", "current_info"):
-        paths[name] = f"{out_root}/gold/{name}"
-        getattr(out, name).write.format(fmt).mode("overwrite").save(paths[name])
+    names = ("shares_issues", "amendments", "current_info")
+    paths.update({name: f"{out_root}/gold/{name}" for name in names})
+    _write_all({name: (getattr(out, name), paths[name]) for name in names}, fmt, concurrent_jobs=3)
     return paths
 
 
