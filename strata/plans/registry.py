@@ -340,7 +340,7 @@ def gold(
 # ------------------------------------------------------------------ job
 
 
-def _write_all(jobs: Mapping[str, tuple[DataFrame, str]], fmt: str, concurrent_jobs: int) -> None:
+def write_tables(jobs: Mapping[str, tuple[DataFrame, str]], fmt: str, concurrent_jobs: int) -> None:
     """Write independent tables; ``concurrent_jobs`` of them are submitted at once.
 
     Only job submission runs in driver threads - each write is an ordinary
@@ -373,7 +373,7 @@ def write_silver(
     for name, df in tables.items():
         order = "entry_number" if name == "registry" else "valid_from_entry"
         jobs[name] = (cluster(df, num_partitions, [KEY], [KEY, order]), f"{root}/{name}")
-    _write_all(jobs, fmt, concurrent_jobs)
+    write_tables(jobs, fmt, concurrent_jobs)
 
 
 def read_silver(spark, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -402,7 +402,7 @@ def run_gold(
     paths = {"full_history": f"{out_root}/gold/full_history"}
     names = ("shares_issues", "amendments", "current_info")
     paths.update({name: f"{out_root}/gold/{name}" for name in names})
-    _write_all({name: (getattr(out, name), paths[name]) for name in names}, fmt, concurrent_jobs=3)
+    write_tables({name: (getattr(out, name), paths[name]) for name in names}, fmt, concurrent_jobs=3)
     return paths
 
 

@@ -35,8 +35,8 @@ def silver_batch_writer(out_root: str, fmt: str = "parquet", on_error: str = "fa
         parsed_path = f"{out_root}/_parsed/batch_id={batch_id}"
         R.normalise(R.bronze(batch)).write.format(fmt).mode("overwrite").save(parsed_path)
         parsed = spark.read.format(fmt).load(parsed_path)
-        for name, table in R.silver(None, on_error, parsed=parsed).items():
-            table.write.format(fmt).mode("overwrite").save(f"{out_root}/{name}/batch_id={batch_id}")
+        tables = R.silver(None, on_error, parsed=parsed)
+        R.write_tables({n: (t, f"{out_root}/{n}/batch_id={batch_id}") for n, t in tables.items()}, fmt, 4)
 
     return write
 
