@@ -88,9 +88,10 @@ def _binned_history(spec, keys, start, end, bounds, width, at_type) -> DataFrame
     span = _bin_of(last_axis, width) - _bin_of(start_axis, width)
     long_or_open = F.col(f"{_H}end").isNull() | (span > LONG_SPAN_BINS)
     short = h.where(~long_or_open).select("*", start_axis.alias(_LO), last_axis.alias(_HI))
+    # one small row per key on the build side: hash join, no sort of the intervals
     clamped = (
         h.where(long_or_open)
-        .join(bounds, on=[f"{_H}k{i}" for i in range(len(keys))], how="inner")
+        .join(bounds.hint("shuffle_hash"), on=[f"{_H}k{i}" for i in range(len(keys))], how="inner")
         .select(
             *h.columns,
             F.greatest(start_axis, F.col(_LO)).alias(_LO),
