@@ -96,14 +96,17 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def settings_from(args: argparse.Namespace) -> Settings:
+    """Sized from ``--input-bytes``/``--cores`` when given, else the fixed shuffle width."""
+    if args.input_bytes:
+        return Settings.for_scale(args.input_bytes, args.cores, time_zone=args.time_zone)
+    return Settings(shuffle_partitions=args.shuffle_partitions, time_zone=args.time_zone)
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     if spark is None:
-        if args.input_bytes:
-            settings = Settings.for_scale(args.input_bytes, args.cores, time_zone=args.time_zone)
-        else:
-            settings = Settings(shuffle_partitions=args.shuffle_partitions, time_zone=args.time_zone)
-        spark = build_session(settings)
+        spark = build_session(settings_from(args))
     stages = ["bronze", "silver", "gold"] if args.stage == "all" else [args.stage]
     for stage in stages:
         {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}[stage](spark, args)

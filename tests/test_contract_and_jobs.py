@@ -39,3 +39,10 @@ def test_no_query_plans_a_cross_or_nested_loop_join(spark):
     for name, fn in contract.queries().items():
         plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+
+
+def test_cli_settings():
+    sized = jobs.settings_from(jobs.parser().parse_args(["all", "--out", "/x", "--input-bytes", "1e13", "--cores", "400"]))
+    assert sized.shuffle_partitions == 18627 and sized.advisory_partition_size == "1024m"
+    fixed = jobs.settings_from(jobs.parser().parse_args(["gold", "--out", "/x", "--shuffle-partitions", "500"]))
+    assert fixed.shuffle_partitions == 500
