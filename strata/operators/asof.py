@@ -66,37 +66,45 @@ def _bin_of(axis_value: Column, width: int) -> Column:
     return F.floor(axis_value / F.lit(width)).cast("long")
 
 
-def _renamed_history(spec: AsOfSpec, keys: Sequence[str], start: str, end: str) -> DataFrame:
+def _renamed_history(spec: AsOfSpec, keys: Sequence[str], start: str, end: str, horizon=None) -> DataFrame:
     """History narrowed to key, bounds and payload; key and bounds get private names."""
     cols = [F.col(k).alias(f"{_H}k{i}") for i, k in enumerate(keys)]
     cols += [F.col(start).alias(f"{_H}start"), F.col(end).alias(f"{_H}end")]
+    if horizon:
+        cols += [F.col(horizon[0]).alias(f"{_H}first"), F.col(horizon[1]).alias(f"{_H}last")]
     cols += [F.col(c).alias(n) for c, n in zip(spec.columns, spec.output_names())]
     return spec.history.select(*cols)
 
 
-def _binned_history(spec, keys, start, end, bounds, width, at_type) -> DataFrame:
+def _binned_history(spec, keys, start, end, bounds, width, at_type, horizon=None) -> DataFrame:
     """Each interval replicated into every bin it covers.
 
     Short closed intervals go straight to their bins. Open intervals, and closed
     ones spanning more than ``LONG_SPAN_BINS`` bins, are first clamped to the key's
     ``[first, last]`` base ordinal (an equi-join with one row per key), so no
-    interval is replicated beyond the key's timeline.
+    interval is replicated beyond the key's timeline. With ``horizon`` the history
+    already carries that range and no join is needed.
     """
-    h = _renamed_history(spec, keys, start, end).where(F.col(f"{_H}start").isNotNull())
+    h = _renamed_history(spec, keys, start, end, horizon).where(F.col(f"{_H}start").isNotNull())
     start_axis = _axis(F.col(f"{_H}start"), at_type)
     last_axis = _axis(F.col(f"{_H}end"), at_type) - 1  # end is exclusive
     span = _bin_of(last_axis, width) - _bin_of(start_axis, width)
     long_or_open = F.col(f"{_H}end").isNull() | (span > LONG_SPAN_BINS)
     short = h.where(~long_or_open).select("*", start_axis.alias(_LO), last_axis.alias(_HI))
-    # one small row per key on the build side: hash join, no sort of the intervals
-    clamped = (
-        h.where(long_or_open)
-        .join(bounds.hint("shuffle_hash"), on=[f"{_H}k{i}" for i in range(len(keys))], how="inner")
-        .select(
-            *h.columns,
-            F.greatest(start_axis, F.col(_LO)).alias(_LO),
-            F.least(F.coalesce(last_axis, F.col(_HI)), F.col(_HI)).alias(_HI),
+    if horizon:
+        ranged = h.where(long_or_open).select(
+            "*", _axis(F.col(f"{_H}first"), at_type).alias(_LO), _axis(F.col(f"{_H}last"), at_type).alias(_HI)
         )
+        short = short.drop(f"{_H}first", f"{_H}last")
+    else:
+        # one small row per key on the build side: hash join, no sort of the intervals
+        ranged = h.where(long_or_open).join(
+            bounds.hint("shuffle_hash"), on=[f"{_H}k{i}" for i in range(len(keys))], how="inner"
+        )
+    clamped = ranged.select(
+        *[c for c in h.columns if c not in (f"{_H}first", f"{_H}last")],
+        F.greatest(start_axis, F.col(_LO)).alias(_LO),
+        F.least(F.coalesce(last_axis, F.col(_HI)), F.col(_HI)).alias(_HI),
     )
     return (
         short.unionByName(clamped)
@@ -115,12 +123,16 @@ def interval_chain(
     end: str = "valid_to_entry",
     bin_width: int = DEFAULT_BIN_WIDTH,
     method: str = "binned",
+    horizon: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Left-deep chain of interval as-of joins (J4): base columns, then each spec's columns.
 
     Rows per base row = product over specs of max(1, matches), as in the reference.
     ``method="key"`` is the reference's plan (equi-join on the key + range residual):
     fine for a handful of rows per key, quadratic for a heavy one.
+    ``horizon=(first, last)`` names columns of every history holding a range that
+    contains all of the key's base ordinals (e.g. taken from the same document as
+    the timeline); open and long intervals are then clamped without a join.
     """
     keys = list(keys)
     at_type = base.schema[at].dataType
@@ -140,7 +152,7 @@ def interval_chain(
         F.min(at_axis).alias(_LO), F.max(at_axis).alias(_HI)
     )
     for spec in specs:
-        h = _binned_history(spec, keys, start, end, bounds, bin_width, at_type)
+        h = _binned_history(spec, keys, start, end, bounds, bin_width, at_type, horizon)
         cond = [out[k] == h[f"{_H}k{i}"] for i, k in enumerate(keys)]
         cond += [
             out[_BIN] == h[f"{_H}bin"],

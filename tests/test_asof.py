@@ -184,3 +184,28 @@ def test_start_match_chain_equals_brute_force(spark, s, c, p):
     specs = [AsOfSpec(spark.createDataFrame(c, HIST), ("v",), "c"), AsOfSpec(spark.createDataFrame(p, HIST), ("v",), "p")]
     got = start_match_chain(spark.createDataFrame(s, HIST), specs)
     assert rows(got) == want
+
+
+@settings(max_examples=20, deadline=None)
+@given(cases, st.integers(0, 5))
+def test_horizon_columns_replace_the_clamp_join(spark, case, slack):
+    base, hist, width = case
+    extent = {}
+    for k, e in base:
+        if e is not None:
+            lo, hi = extent.get(k, (e, e))
+            extent[k] = (min(lo, e), max(hi, e))
+    # any range containing the key's ordinals is allowed; widen it by `slack`
+    with_range = [
+        (k, v, s, t, *((extent[k][0] - slack, extent[k][1] + slack) if k in extent else (None, None)))
+        for k, v, s, t in hist
+    ]
+    schema = HIST + ", first_n int, last_n int"
+    out = interval_chain(
+        spark.createDataFrame(base, BASE),
+        [AsOfSpec(spark.createDataFrame(with_range, schema), ("v",))],
+        bin_width=width,
+        horizon=("first_n", "last_n"),
+    )
+    assert rows(out) == brute_force(base, hist)
+    assert "ShuffledHashJoin" not in out._jdf.queryExecution().executedPlan().toString()  # no clamp join
