@@ -50,7 +50,7 @@ def run_bronze(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    R.run_silver(spark, args.out, args.format, args.on_error, args.silver_partitions)
+    R.run_silver(spark, args.out, args.format, args.on_error, args.silver_partitions, not args.no_horizon)
 
 
 def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
@@ -82,6 +82,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--keep", choices=["first", "last"], default="first")
     p.add_argument("--on-error", choices=["fail", "null"], default="fail")
     p.add_argument("--silver-partitions", type=int)
+    p.add_argument("--no-horizon", action="store_true", help="silver tables without the entry-range columns")
     p.add_argument("--bin-width", type=int, default=32)
     p.add_argument("--tie-break", nargs="*", default=[])
     for name in ("url", "user", "password", "driver"):

@@ -90,25 +90,32 @@ def _binned_history(spec, keys, start, end, bounds, width, at_type, horizon=None
     last_axis = _axis(F.col(f"{_H}end"), at_type) - 1  # end is exclusive
     span = _bin_of(last_axis, width) - _bin_of(start_axis, width)
     long_or_open = F.col(f"{_H}end").isNull() | (span > LONG_SPAN_BINS)
-    short = h.where(~long_or_open).select("*", start_axis.alias(_LO), last_axis.alias(_HI))
     if horizon:
-        ranged = h.where(long_or_open).select(
-            "*", _axis(F.col(f"{_H}first"), at_type).alias(_LO), _axis(F.col(f"{_H}last"), at_type).alias(_HI)
-        )
-        short = short.drop(f"{_H}first", f"{_H}last")
-    else:
-        # one small row per key on the build side: hash join, no sort of the intervals
-        ranged = h.where(long_or_open).join(
-            bounds.hint("shuffle_hash"), on=[f"{_H}k{i}" for i in range(len(keys))], how="inner"
+        # every interval is clamped to the carried range: one branch, no join, no union
+        first, last = _axis(F.col(f"{_H}first"), at_type), _axis(F.col(f"{_H}last"), at_type)
+        ranged = h.select(
+            *h.columns,
+            F.greatest(start_axis, first).alias(_LO),
+            F.least(F.coalesce(last_axis, last), last).alias(_HI),
         )
+        return _explode_bins(ranged, width).drop(f"{_H}first", f"{_H}last")
+    short = h.where(~long_or_open).select("*", start_axis.alias(_LO), last_axis.alias(_HI))
+    # one small row per key on the build side: hash join, no sort of the intervals
+    ranged = h.where(long_or_open).join(
+        bounds.hint("shuffle_hash"), on=[f"{_H}k{i}" for i in range(len(keys))], how="inner"
+    )
     clamped = ranged.select(
-        *[c for c in h.columns if c not in (f"{_H}first", f"{_H}last")],
+        *h.columns,
         F.greatest(start_axis, F.col(_LO)).alias(_LO),
         F.least(F.coalesce(last_axis, F.col(_HI)), F.col(_HI)).alias(_HI),
     )
+    return _explode_bins(short.unionByName(clamped), width)
+
+
+def _explode_bins(ranged: DataFrame, width: int) -> DataFrame:
+    """Rows with an ordinal range ``[_LO, _HI]`` -> one row per bin the range covers."""
     return (
-        short.unionByName(clamped)
-        .where(F.col(_LO) <= F.col(_HI))
+        ranged.where(F.col(_LO) <= F.col(_HI))
         .withColumn(f"{_H}bin", F.explode(F.sequence(_bin_of(F.col(_LO), width), _bin_of(F.col(_HI), width))))
         .drop(_LO, _HI)
     )

@@ -173,8 +173,8 @@ def parsed_documents(spark: SparkSession, sf_dir: str, stage: bool = True) -> Da
     return materialize(parsed) if stage else parsed
 
 
-def silver_tables(spark: SparkSession, sf_dir: str, stage: bool = True) -> dict[str, DataFrame]:
-    return R.silver(None, parsed=parsed_documents(spark, sf_dir, stage))
+def silver_tables(spark: SparkSession, sf_dir: str, stage: bool = True, horizon: bool = False) -> dict[str, DataFrame]:
+    return R.silver(None, parsed=parsed_documents(spark, sf_dir, stage), horizon=horizon)
 
 
 def full_history_tie_break() -> list[str]:
@@ -215,7 +215,7 @@ def q_registry_share_series(spark, sf_dir):
 
 
 def q_registry_full_history(spark, sf_dir):
-    return R.full_history(silver_tables(spark, sf_dir))
+    return R.full_history(silver_tables(spark, sf_dir, horizon=True))
 
 
 def q_registry_shares_issues(spark, sf_dir):
@@ -227,7 +227,7 @@ def q_registry_amendments(spark, sf_dir):
 
 
 def q_registry_current_info(spark, sf_dir):
-    return R.current_info_direct(silver_tables(spark, sf_dir), tie_break=full_history_tie_break())
+    return R.current_info_direct(silver_tables(spark, sf_dir, horizon=True), tie_break=full_history_tie_break())
 
 
 QUERIES = {

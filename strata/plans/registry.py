@@ -29,6 +29,9 @@ from ..operators.ranking import first_per_key, latest_per_key
 KEY = "company_krs"
 SOURCE_ID = "source_id"
 CARRY = (SOURCE_ID, KEY)
+# the document's first/last entry number, computed once at parse time; histories may
+# carry it so the gold as-of joins clamp open intervals without a per-key join
+RANGE_COLS = ("entry_first", "entry_last")
 
 # ------------------------------------------------------------------ fixed values
 # JSON keys of the registry documents and the dialect rewrite rules. These must
@@ -241,13 +244,35 @@ def normalise(bronze_df: DataFrame) -> DataFrame:
     flagged = bronze_df.withColumn("is_foreign", contains_marker("raw_json", FOREIGN_MARKER)).withColumn(
         "raw_json", rewritten
     )
-    return parse_json(flagged, "raw_json", document_schema(), into="data")
+    return with_entry_range(parse_json(flagged, "raw_json", document_schema(), into="data"))
 
 
-def silver(bronze_df: DataFrame, on_error: str = "fail", parsed: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The 21 silver tables, lazily. Pass ``parsed`` to reuse a materialised parse."""
+def with_entry_range(parsed: DataFrame) -> DataFrame:
+    """Add the document's first/last entry number (``RANGE_COLS``); NULL numbers are skipped."""
+    numbers = F.transform(F.col(f"data.{TIMELINE_PATH}"), lambda e: e["numerWpisu"].try_cast("int"))
+    return parsed.withColumns({RANGE_COLS[0]: F.array_min(numbers), RANGE_COLS[1]: F.array_max(numbers)})
+
+
+def silver(
+    bronze_df: DataFrame,
+    on_error: str = "fail",
+    parsed: DataFrame | None = None,
+    horizon: bool = False,
+) -> dict[str, DataFrame]:
+    """The 21 silver tables, lazily. Pass ``parsed`` to reuse a materialised parse.
+
+    With ``horizon`` every history also carries its document's entry range
+    (``RANGE_COLS``, after the key), which :func:`full_history` uses instead of a
+    per-key join; the tables then have two columns more than the reference's.
+    """
     doc = parsed if parsed is not None else normalise(bronze_df)
-    return {spec.name: explode_history(doc, spec, carry=CARRY, on_error=on_error) for spec in silver_specs()}
+    if horizon and RANGE_COLS[0] not in doc.columns:
+        doc = with_entry_range(doc)
+    history_carry = (*CARRY, *RANGE_COLS) if horizon else CARRY
+    return {
+        spec.name: explode_history(doc, spec, carry=history_carry if spec.is_history else CARRY, on_error=on_error)
+        for spec in silver_specs()
+    }
 
 
 def repair_histories(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -288,13 +313,15 @@ def full_history(tables: Mapping[str, DataFrame], bin_width: int = DEFAULT_BIN_W
     repaired = repair_histories(tables)
     base = tables["registry"].select(*TIMELINE_OUTPUT)
     specs = [AsOfSpec(repaired[t], cols, prefix) for t, cols, prefix in GOLD_JOINS]
-    return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_width=bin_width)
+    carried = all(set(RANGE_COLS) <= set(repaired[t].columns) for t, _, _ in GOLD_JOINS)
+    horizon = RANGE_COLS if carried else None
+    return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_width=bin_width, horizon=horizon)
 
 
 def shares_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
     """T4: series names start-matched with share counts and preferences."""
     return start_match_chain(
-        tables["share_issues_series_name"],
+        tables["share_issues_series_name"].drop(*RANGE_COLS),
         [
             AsOfSpec(tables["share_issues_shares_in_series"], ("shares_in_series",)),
             AsOfSpec(tables["share_issues_preference_info"], ("preference_info",)),
@@ -305,7 +332,7 @@ def shares_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def amendments(tables: Mapping[str, DataFrame]) -> DataFrame:
     """T5: statute changes with repaired interval ends."""
-    return reopen_orphans(tables["statute_change"], [KEY])
+    return reopen_orphans(tables["statute_change"].drop(*RANGE_COLS), [KEY])
 
 
 def current_info(full: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -386,12 +413,20 @@ def run_bronze(raw: DataFrame, out_root: str, fmt: str = "parquet", keep: str =
     return path
 
 
-def run_silver(spark, out_root: str, fmt: str = "parquet", on_error: str = "fail", num_partitions: int | None = None) -> None:
+def run_silver(
+    spark,
+    out_root: str,
+    fmt: str = "parquet",
+    on_error: str = "fail",
+    num_partitions: int | None = None,
+    horizon: bool = True,
+) -> None:
     """Parse bronze once into ``parsed``; all 21 silver tables come from that one copy,
-    each branch reading only its nested column."""
+    each branch reading only its nested column. ``horizon`` keeps each history's entry
+    range (two extra columns) so gold needs no per-key join for open intervals."""
     parsed_path = f"{out_root}/parsed"
     normalise(spark.read.format(fmt).load(f"{out_root}/bronze")).write.format(fmt).mode("overwrite").save(parsed_path)
-    tables = silver(None, on_error, parsed=spark.read.format(fmt).load(parsed_path))
+    tables = silver(None, on_error, parsed=spark.read.format(fmt).load(parsed_path), horizon=horizon)
     write_silver(tables, f"{out_root}/silver", num_partitions, fmt)
 
 
@@ -414,9 +449,10 @@ def run(
     bin_width: int = DEFAULT_BIN_WIDTH,
     tie_break: Sequence[str] = (),
     num_partitions: int | None = None,
+    horizon: bool = True,
 ) -> dict[str, str]:
     """Bronze -> silver -> gold over ``raw`` (id, krs_number, raw_data), writing every layer."""
     spark = raw.sparkSession
     run_bronze(raw, out_root, fmt)
-    run_silver(spark, out_root, fmt, on_error, num_partitions)
+    run_silver(spark, out_root, fmt, on_error, num_partitions, horizon)
     return run_gold(spark, out_root, fmt, bin_width, tie_break)
