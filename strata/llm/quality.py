@@ -5,6 +5,7 @@ above the cutoff of the document's stratum (its language). A cutoff is used only
 labelled holdout documents prove, with an exact binomial bound, that the rule rejects at
 most ``alpha / rules`` of the stratum's good documents:
 
+* only documents that pass the base rules count, as the method decides nothing else;
 * labelled documents are split by a hash of ``doc_id`` into a tuning and a holdout half;
 * per (stratum, rule) the fixed grid of cutoffs is tested on the holdout from the laxest to
   the strictest and testing stops at the first failure (fixed-sequence testing needs no
@@ -160,7 +161,7 @@ def choose_cutoff(
 
 
 def fit_cutoffs(
-    features: DataFrame, labels: DataFrame, *, alpha: float = 0.02, delta: float = 0.05, stratum: str = "lang"
+    features: DataFrame, labels: DataFrame, *, alpha: float = 0.05, delta: float = 0.05, stratum: str = "lang"
 ) -> DataFrame:
     """(stratum, cutoffs map<rule, cutoff>) from ``features`` (doc_id, ``stratum``, counts struct ``c``)
     and ``labels`` (doc_id, quality). One row per stratum that has a proven cutoff."""
@@ -180,7 +181,8 @@ def fit_cutoffs(
         ]
     )
     hist = materialize(
-        features.join(known, features["doc_id"] == known["label_id"])
+        features.where(~base_failed(F.col("c")))
+        .join(known, F.col("doc_id") == known["label_id"])
         .select(
             F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
             (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("holdout"),
