@@ -13,7 +13,7 @@ most ``alpha / rules`` of the stratum's good documents:
   (Bonferroni). With probability 1 - ``delta`` every used cutoff in every stratum is safe,
   so together the rules reject at most ``alpha`` of any stratum's good documents;
 * among the proven cutoffs the tuning half picks the one with the largest excess of
-  rejected bad over rejected good documents, the laxest on ties, none without an excess.
+  rejected bad over rejected good documents, the laxest on ties, none when the excess stays under ``MIN_GAIN``.
 
 Only counts per (stratum, rule, grid step) leave the tasks. A stratum with too few labelled
 good documents to prove anything has no cutoffs there, so only the base rules apply.
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import partial
 
 import pandas as pd
 import pyarrow as pa
@@ -42,6 +43,9 @@ SYMBOLS = b"#*$%&|<>"
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
 
+#: A rule is used only when it rejects at least this much more of the bad than of the good.
+MIN_GAIN = 0.05
+
 RATIO_GRID = tuple(k / 40 for k in range(1, 40))
 GRIDS = {
     "symbols": tuple(k / 10 for k in range(1, 41)),
@@ -150,16 +154,20 @@ def choose_cutoff(
 
     total = {(h, g): sum(v for (a, b, _), v in table.items() if (a, b) == (h, g)) for h in (0, 1) for g in (0, 1)}
     bad, good, certified = rejected(False, False), rejected(False, True), rejected(True, True)
-    best, gain = None, 0.0
+    best, gain = None, MIN_GAIN
     for j in range(len(grid) - 1, -1, -1):
         if binomial_cdf(certified[j], total[True, True], alpha) > delta:
             break
         excess = bad[j] / max(1, total[False, False]) - good[j] / max(1, total[False, True])
-        if excess > gain + 1e-12:
+        if excess >= gain and (best is None or excess > gain):
             best, gain = grid[j], excess
     return best
 
 
+def _below(score: Column, cutoff: Column) -> Column:
+    return cutoff < score
+
+
 def fit_cutoffs(
     features: DataFrame, labels: DataFrame, *, alpha: float = 0.05, delta: float = 0.05, stratum: str = "lang"
 ) -> DataFrame:
@@ -175,7 +183,7 @@ def fit_cutoffs(
         *[
             F.struct(
                 F.lit(name).alias("rule"),
-                F.size(F.filter(F.array(*map(F.lit, GRIDS[name])), lambda x, s=score: x < s)).alias("step"),
+                F.size(F.filter(F.array(*map(F.lit, GRIDS[name])), partial(_below, score))).alias("step"),
             )
             for name, score in rule_scores.items()
         ]
