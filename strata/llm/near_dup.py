@@ -40,7 +40,7 @@ from .common import byte_values, digest, groups, materialize
 
 WORDS = 5
 THRESHOLD = 0.8
-TREES, DEPTH, RECALL = 10, 6, 0.99
+TREES, DEPTH, RECALL = 10, 6, 0.999
 #: Most texts and shingles of a chunk; a block holds two chunks.
 CHUNK_TEXTS, CHUNK_SHINGLES = 1024, 1 << 22
 
