@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dup, quality
+from . import decontaminate, mixing, near_dup, quality, sharding
 from .common import documents, table
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix of sources takes."""
+    return mixing.words_taken(documents(spark, sf_dir, "doc_id", "source", "text")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of risk-controlled rules for every document."""
     judged = quality.assess(documents(spark, sf_dir, "doc_id", "lang", "text"), table(spark, sf_dir, "labels"))
@@ -18,14 +25,35 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "fired")
 
 
+def op1_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items leaked into every document."""
+    found = decontaminate.scan(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct("leaks.item_id"))
+    return found.select(
+        "doc_id", "contaminated", "coverage", F.array_join(items.cast("array<string>"), ",").alias("item_ids")
+    )
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return near_dup.join_near(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op10_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    placed = sharding.assign(documents(spark, sf_dir, "doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_string_tiling": op1_string_tiling,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op10_hash_ring": op10_hash_ring,
 }
 
 ORACLES: dict[str, str] = {}
