@@ -28,7 +28,7 @@ from .common import materialize
 
 SHARDS = 16
 VIRTUAL = 128
-SLACK = 0.005
+SLACK = 0.001
 CELLS = 1 << 14
 
 
