@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, near_dup, quality, sharding
+from . import decontaminate, licenses, mixing, near_dup, quality, sharding
 from .common import documents, table
 
 
+def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    scanned = documents(spark, sf_dir, "doc_id", "text").select("doc_id", licenses.scan(F.col("text")).alias("s"))
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return scanned.select("doc_id", *[F.col("s")[n].alias(n) for n in names])
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix of sources takes."""
     return mixing.words_taken(documents(spark, sf_dir, "doc_id", "source", "text")).select(
@@ -51,6 +58,7 @@ def op10_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_string_tiling": op1_string_tiling,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_license_rules": op4_license_rules,
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op10_hash_ring": op10_hash_ring,
