@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, near_dup, quality, sharding
-from .common import documents, table
+from . import decontaminate, html_main_text, licenses, mixing, near_dup, quality, sharding, token_scan, warc_zip
+from .common import documents, pages, table
 
 
 def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,11 +41,28 @@ def op1_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = html_main_text.extract(pages(spark, sf_dir))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return near_dup.join_near(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op8_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC packages and read back."""
+    records = warc_zip.read_archives(warc_zip.write_archives(pages(spark, sf_dir)))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return token_scan.document_tokens(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op10_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     placed = sharding.assign(documents(spark, sf_dir, "doc_id", "text"))
@@ -57,10 +74,13 @@ def op10_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_string_tiling": op1_string_tiling,
+    "op2_site_style_tree": op2_site_style_tree,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_license_rules": op4_license_rules,
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_zip_warc": op8_zip_warc,
+    "op9_separator_scan": op9_separator_scan,
     "op10_hash_ring": op10_hash_ring,
 }
 
