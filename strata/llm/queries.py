@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_main_text, licenses, mixing, near_dup, quality, sharding, token_scan, warc_zip
+from . import decontaminate, html_main_text, licenses, mixing, near_dup, quality, sharding, suffix_dedup, token_scan, warc_zip
 from .common import documents, pages, table
 
 
@@ -52,6 +52,18 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.join_near(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op7_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without repeated 50-byte strings."""
+    removed = suffix_dedup.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    return removed.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC packages and read back."""
     records = warc_zip.read_archives(warc_zip.write_archives(pages(spark, sf_dir)))
@@ -79,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_rules": op4_license_rules,
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_deep_shallow": op7_deep_shallow,
     "op8_zip_warc": op8_zip_warc,
     "op9_separator_scan": op9_separator_scan,
     "op10_hash_ring": op10_hash_ring,
