@@ -164,7 +164,8 @@ def mix(sized: DataFrame, targets: DataFrame, block: int = BLOCK, shard_slots: i
     (``sized`` columns, sid, start, words)."""
     held = slots(quotas(targets, block), shard_slots).withColumnsRenamed({"sid": "m_sid", "block": "m_block"})
     members = block_members(packed(sized, targets), block)
-    return held.join(members, (F.col("sid") == F.col("m_sid")) & (F.col("block") == F.col("m_block"))).drop(
+    # the planner sees only the few source rows that slots are listed from, and would broadcast them all
+    return held.hint("merge").join(members, (F.col("sid") == F.col("m_sid")) & (F.col("block") == F.col("m_block"))).drop(
         "m_sid", "m_block"
     )
 
@@ -181,7 +182,7 @@ def words_taken(docs: DataFrame, *extra: Column, block: int = BLOCK) -> DataFram
     members = block_members(packed(sized, targets), block)
     carried = ["doc_id", "source", "size", *names]
     taken = (
-        members.join(uses, (F.col("sid") == F.col("u_sid")) & (F.col("block") == F.col("u_block")), "left")
+        members.join(uses.hint("merge"), (F.col("sid") == F.col("u_sid")) & (F.col("block") == F.col("u_block")), "left")
         .groupBy("sid", "start", *carried)
         .agg(F.sum(F.coalesce("count", F.lit(0)) * F.col("words")).alias("taken"))
         .select(*carried, "taken")
