@@ -42,7 +42,7 @@ WORDS = 5
 THRESHOLD = 0.8
 TREES, DEPTH, RECALL = 10, 6, 0.999
 #: Most texts and shingles of a chunk; a block holds two chunks.
-CHUNK_TEXTS, CHUNK_SHINGLES = 1024, 1 << 22
+CHUNK_TEXTS, CHUNK_SHINGLES = 512, 1 << 21
 
 _ODD = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, 512, dtype=np.uint64)
