@@ -113,7 +113,9 @@ def slots(quota: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     )
     low = F.col("run") * RUN
     i = F.explode(F.sequence(low, F.least(low + RUN, F.col("slots")) - 1)).alias("i")
-    listed = runs.repartition("sid", "run").select("sid", "blocks", "first", "all_slots", i)
+    # a count of its own, as the few runs would be merged into one task before they are listed
+    tasks = int(quota.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = runs.repartition(tasks, "sid", "run").select("sid", "blocks", "first", "all_slots", i)
     place = permuted(F.col("first") + F.col("i"), F.col("all_slots"))
     turn = F.floor(F.col("i") / F.col("blocks"))
     return listed.select("sid", "blocks", "i", place.alias("place"), turn.alias("round")).select(
