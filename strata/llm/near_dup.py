@@ -22,7 +22,8 @@ the shared folder.
 
 Defined cases: null text counts as empty; a text without words is linked with equal texts only;
 null ids sort last, so a class id is null only when all its ids are; repeated rows are copies of each
-other; an empty table gives an empty result.
+other, and classes that share a repeated id as their smallest share the class id; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
