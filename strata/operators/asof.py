@@ -12,9 +12,11 @@ whole key to one task. Instead the ordinal axis is cut into bins of
 the bins it covers, and the join is an equi-join on ``(key, bin)`` with the exact
 interval test as residual. Per bin the work is bounded by ``bin_width`` x the
 intervals touching it, and a heavy key is spread over all of its bins.
-Open and very long intervals are clamped to the key's first/last base ordinal,
-taken from a per-key ``min``/``max`` (a partial+final hash aggregate, one row per
-key), so replication never runs past the key's timeline.
+Intervals are replicated only to bins that the base occupies, whatever the raw range:
+the distinct ``(key, bin)`` pairs of the base are listed once per level of a radix-4 tree
+over the bins, an interval meets them at the level of its own length (at most two nodes
+there; open intervals at the root), and the nodes from ``SALT_LEVEL`` up are salted. So a far-off
+ordinal costs nothing, and a heavy key's wide nodes spread over ``SALTS`` tasks.
 
 In a chain (J4) the bin is computed once, so the base keeps its
 ``hash(key, bin)`` partitioning from join to join: only the histories shuffle.
@@ -30,13 +32,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BIN_WIDTH = 32
-# intervals spanning more bins than this are clamped to the key's extent first
-LONG_SPAN_BINS = 64
+# tree nodes from this level up (4 ** level bins) are split by bin into this many parts
+SALT_LEVEL = 3
+SALTS = 16
 
 _BIN = "__strata_bin"
 _LO = "__strata_lo"
 _HI = "__strata_hi"
+_LEVEL, _NODE, _SALT = "__strata_level", "__strata_node", "__strata_salt"
 _H = "__strata_h_"
+_O = "__strata_o_"
 
 
 @dataclass(frozen=True)
@@ -66,59 +71,62 @@ def _bin_of(axis_value: Column, width: int) -> Column:
     return F.floor(axis_value / F.lit(width)).cast("long")
 
 
-def _renamed_history(spec: AsOfSpec, keys: Sequence[str], start: str, end: str, horizon=None) -> DataFrame:
+def _levels(dtype: T.DataType) -> int:
+    """Levels of the bin tree below its root: enough for the axis type's range."""
+    return 30 if isinstance(dtype, (T.LongType, T.TimestampType, T.TimestampNTZType)) else 14
+
+
+def _renamed_history(spec: AsOfSpec, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """History narrowed to key, bounds and payload; key and bounds get private names."""
     cols = [F.col(k).alias(f"{_H}k{i}") for i, k in enumerate(keys)]
     cols += [F.col(start).alias(f"{_H}start"), F.col(end).alias(f"{_H}end")]
-    if horizon:
-        cols += [F.col(horizon[0]).alias(f"{_H}first"), F.col(horizon[1]).alias(f"{_H}last")]
     cols += [F.col(c).alias(n) for c, n in zip(spec.columns, spec.output_names())]
     return spec.history.select(*cols)
 
 
-def _binned_history(spec, keys, start, end, bounds, width, at_type, horizon=None) -> DataFrame:
-    """Each interval replicated into every bin it covers.
+def _occupied_nodes(base: DataFrame, keys: Sequence[str], levels: int) -> DataFrame:
+    """Each distinct ``(key, bin)`` of the base under its node of every level, the root (``levels``) included."""
+    bins = base.select(*[F.col(k).alias(f"{_O}k{i}") for i, k in enumerate(keys)], F.col(_BIN).alias(f"{_O}bin"))
+    node = F.expr(f"CASE WHEN {_LEVEL} = {levels} THEN 0 ELSE shiftright({_O}bin, 2 * {_LEVEL}) END")
+    salt = F.when(F.col(_LEVEL) >= SALT_LEVEL, F.pmod(F.col(f"{_O}bin"), F.lit(SALTS))).otherwise(F.lit(0))
+    return (
+        bins.where(F.col(f"{_O}bin").isNotNull())
+        .dropDuplicates()
+        .withColumn(_LEVEL, F.explode(F.array(*[F.lit(v) for v in range(levels + 1)])))
+        .withColumn(f"{_O}node", node.cast("long"))
+        .withColumn(f"{_O}salt", salt.cast("long"))
+        .withColumnRenamed(_LEVEL, f"{_O}level")
+    )
 
-    Short closed intervals go straight to their bins. Open intervals, and closed
-    ones spanning more than ``LONG_SPAN_BINS`` bins, are first clamped to the key's
-    ``[first, last]`` base ordinal (an equi-join with one row per key), so no
-    interval is replicated beyond the key's timeline. With ``horizon`` the history
-    already carries that range and no join is needed.
-    """
-    h = _renamed_history(spec, keys, start, end, horizon).where(F.col(f"{_H}start").isNotNull())
-    start_axis = _axis(F.col(f"{_H}start"), at_type)
+
+def _binned_history(spec, keys, start, end, occupied, width, at_type) -> DataFrame:
+    """Each interval replicated into the occupied bins it covers."""
+    levels = _levels(at_type)
+    h = _renamed_history(spec, keys, start, end).where(F.col(f"{_H}start").isNotNull())
     last_axis = _axis(F.col(f"{_H}end"), at_type) - 1  # end is exclusive
-    span = _bin_of(last_axis, width) - _bin_of(start_axis, width)
-    long_or_open = F.col(f"{_H}end").isNull() | (span > LONG_SPAN_BINS)
-    if horizon:
-        # every interval is clamped to the carried range: one branch, no join, no union
-        first, last = _axis(F.col(f"{_H}first"), at_type), _axis(F.col(f"{_H}last"), at_type)
-        ranged = h.select(
-            *h.columns,
-            F.greatest(start_axis, first).alias(_LO),
-            F.least(F.coalesce(last_axis, last), last).alias(_HI),
-        )
-        return _explode_bins(ranged, width).drop(f"{_H}first", f"{_H}last")
-    short = h.where(~long_or_open).select("*", start_axis.alias(_LO), last_axis.alias(_HI))
-    # one small row per key on the build side: hash join, no sort of the intervals
-    ranged = h.where(long_or_open).join(
-        bounds.hint("shuffle_hash"), on=[f"{_H}k{i}" for i in range(len(keys))], how="inner"
+    ranged = h.select(
+        "*",
+        _bin_of(_axis(F.col(f"{_H}start"), at_type), width).alias(_LO),
+        _bin_of(last_axis, width).alias(_HI),
+    ).where(F.col(_HI).isNull() | (F.col(_LO) <= F.col(_HI)))
+    powers = F.array(*[F.lit(4**v) for v in range(levels)])
+    level = F.when(F.col(_HI).isNull(), F.lit(levels)).otherwise(
+        F.size(F.filter(powers, lambda x: x <= F.col(_HI) - F.col(_LO)))
     )
-    clamped = ranged.select(
-        *h.columns,
-        F.greatest(start_axis, F.col(_LO)).alias(_LO),
-        F.least(F.coalesce(last_axis, F.col(_HI)), F.col(_HI)).alias(_HI),
+    nodes = F.expr(
+        f"CASE WHEN {_LEVEL} = {levels} THEN array(0L) "
+        f"ELSE sequence(shiftright({_LO}, 2 * {_LEVEL}), shiftright({_HI}, 2 * {_LEVEL})) END"
     )
-    return _explode_bins(short.unionByName(clamped), width)
-
-
-def _explode_bins(ranged: DataFrame, width: int) -> DataFrame:
-    """Rows with an ordinal range ``[_LO, _HI]`` -> one row per bin the range covers."""
-    return (
-        ranged.where(F.col(_LO) <= F.col(_HI))
-        .withColumn(f"{_H}bin", F.explode(F.sequence(_bin_of(F.col(_LO), width), _bin_of(F.col(_HI), width))))
-        .drop(_LO, _HI)
+    salts = F.when(F.col(_LEVEL) >= SALT_LEVEL, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    placed = (
+        ranged.withColumn(_LEVEL, level)
+        .withColumn(_NODE, F.explode(nodes))
+        .withColumn(_SALT, F.explode(salts.cast("array<bigint>")))
     )
+    cond = [placed[f"{_H}k{i}"] == occupied[f"{_O}k{i}"] for i in range(len(keys))]
+    cond += [placed[c] == occupied[f"{_O}{n}"] for c, n in ((_LEVEL, "level"), (_NODE, "node"), (_SALT, "salt"))]
+    cond += [occupied[f"{_O}bin"] >= placed[_LO], placed[_HI].isNull() | (occupied[f"{_O}bin"] <= placed[_HI])]
+    return placed.join(occupied, on=cond).select(*h.columns, F.col(f"{_O}bin").alias(f"{_H}bin"))
 
 
 def interval_chain(
@@ -130,16 +138,12 @@ def interval_chain(
     end: str = "valid_to_entry",
     bin_width: int = DEFAULT_BIN_WIDTH,
     method: str = "binned",
-    horizon: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Left-deep chain of interval as-of joins (J4): base columns, then each spec's columns.
 
     Rows per base row = product over specs of max(1, matches), as in the reference.
     ``method="key"`` is the reference's plan (equi-join on the key + range residual):
     fine for a handful of rows per key, quadratic for a heavy one.
-    ``horizon=(first, last)`` names columns of every history holding a range that
-    contains all of the key's base ordinals (e.g. taken from the same document as
-    the timeline); open and long intervals are then clamped without a join.
     """
     keys = list(keys)
     at_type = base.schema[at].dataType
@@ -155,11 +159,9 @@ def interval_chain(
 
     at_axis = _axis(F.col(at), at_type)
     out = base.withColumn(_BIN, _bin_of(at_axis, bin_width))
-    bounds = base.groupBy(*[F.col(k).alias(f"{_H}k{i}") for i, k in enumerate(keys)]).agg(
-        F.min(at_axis).alias(_LO), F.max(at_axis).alias(_HI)
-    )
+    occupied = _occupied_nodes(out, keys, _levels(at_type))
     for spec in specs:
-        h = _binned_history(spec, keys, start, end, bounds, bin_width, at_type, horizon)
+        h = _binned_history(spec, keys, start, end, occupied, bin_width, at_type)
         cond = [out[k] == h[f"{_H}k{i}"] for i, k in enumerate(keys)]
         cond += [
             out[_BIN] == h[f"{_H}bin"],

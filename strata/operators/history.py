@@ -127,16 +127,19 @@ def reopen_orphans(
     Plan: the distinct ``(key, start)`` set is a partial+final hash aggregate, and
     the existence test is an equi-join on ``(key, end) = (key, start)``. Both
     shuffle on the *pair*, so one heavy key spreads over all its distinct entry
-    numbers instead of landing in one task; nothing is collected per key.
+    numbers; open rows, which have no end to look up, take part under their own
+    start and can't match, so they spread as well. Nothing is collected per key.
     """
     keys = list(keys)
     end_type = df.schema[end].dataType
     successors = (
-        df.select(*keys, F.col(start).alias(end))
-        .where(F.col(end).isNotNull())
+        df.select(*[F.col(k).alias(f"{_SUCC}{i}") for i, k in enumerate(keys)], F.col(start).alias(f"{_SUCC}at"))
+        .where(F.col(f"{_SUCC}at").isNotNull())
         .dropDuplicates()
-        .withColumn(_SUCC, F.lit(True))
+        .select("*", F.lit(False).alias(f"{_SUCC}open"), F.lit(True).alias(_SUCC))
     )
-    joined = df.join(successors, on=[*keys, end], how="left")
+    same = [F.col(k) == F.col(f"{_SUCC}{i}") for i, k in enumerate(keys)]
+    same += [F.coalesce(F.col(end), F.col(start)) == F.col(f"{_SUCC}at"), F.col(end).isNull() == F.col(f"{_SUCC}open")]
+    joined = df.join(successors, on=same, how="left")
     fixed = F.when(F.col(_SUCC), F.col(end)).otherwise(typed_null(end_type)).alias(end)
     return joined.select(*[fixed if c == end else F.col(c) for c in df.columns])

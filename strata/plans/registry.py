@@ -25,13 +25,13 @@ from ..operators.asof import DEFAULT_BIN_WIDTH, AsOfSpec, interval_chain, start_
 from ..operators.history import Field, HistorySpec, explode_history, reopen_orphans
 from ..operators.layout import cluster, materialize
 from ..operators.ranking import first_per_key, latest_per_key
+from ..sources.tables import write_table
 
 KEY = "company_krs"
 SOURCE_ID = "source_id"
 CARRY = (SOURCE_ID, KEY)
 # the document's first/last entry number, computed once at parse time; histories may
 # carry it so the gold as-of joins clamp open intervals without a per-key join
-RANGE_COLS = ("entry_first", "entry_last")
 
 # ------------------------------------------------------------------ fixed values
 # JSON keys of the registry documents and the dialect rewrite rules. These must
@@ -244,35 +244,17 @@ def normalise(bronze_df: DataFrame) -> DataFrame:
     flagged = bronze_df.withColumn("is_foreign", contains_marker("raw_json", FOREIGN_MARKER)).withColumn(
         "raw_json", rewritten
     )
-    return with_entry_range(parse_json(flagged, "raw_json", document_schema(), into="data"))
-
-
-def with_entry_range(parsed: DataFrame) -> DataFrame:
-    """Add the document's first/last entry number (``RANGE_COLS``); NULL numbers are skipped."""
-    numbers = F.transform(F.col(f"data.{TIMELINE_PATH}"), lambda e: e["numerWpisu"].try_cast("int"))
-    return parsed.withColumns({RANGE_COLS[0]: F.array_min(numbers), RANGE_COLS[1]: F.array_max(numbers)})
+    return parse_json(flagged, "raw_json", document_schema(), into="data")
 
 
 def silver(
     bronze_df: DataFrame,
     on_error: str = "fail",
     parsed: DataFrame | None = None,
-    horizon: bool = False,
 ) -> dict[str, DataFrame]:
-    """The 21 silver tables, lazily. Pass ``parsed`` to reuse a materialised parse.
-
-    With ``horizon`` every history also carries its document's entry range
-    (``RANGE_COLS``, after the key), which :func:`full_history` uses instead of a
-    per-key join; the tables then have two columns more than the reference's.
-    """
+    """The 21 silver tables, lazily. Pass ``parsed`` to reuse a materialised parse."""
     doc = parsed if parsed is not None else normalise(bronze_df)
-    if horizon and RANGE_COLS[0] not in doc.columns:
-        doc = with_entry_range(doc)
-    history_carry = (*CARRY, *RANGE_COLS) if horizon else CARRY
-    return {
-        spec.name: explode_history(doc, spec, carry=history_carry if spec.is_history else CARRY, on_error=on_error)
-        for spec in silver_specs()
-    }
+    return {spec.name: explode_history(doc, spec, carry=CARRY, on_error=on_error) for spec in silver_specs()}
 
 
 def repair_histories(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -281,23 +263,29 @@ def repair_histories(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {n: (reopen_orphans(df, [KEY]) if n in closed else df) for n, df in tables.items() if n != "registry"}
 
 
-def current_info_direct(
-    tables: Mapping[str, DataFrame], bin_width: int = DEFAULT_BIN_WIDTH, tie_break: Sequence[str] = ()
-) -> DataFrame:
+def current_info_direct(tables: Mapping[str, DataFrame], tie_break: Sequence[str] = ()) -> DataFrame:
     """T6 without building the whole full history first.
 
     The latest full-history row of an entity can only come from its timeline rows
     with the highest entry number (NULL only when all are NULL, as in ``DESC NULLS
-    LAST``), so the 16 joins run on those rows alone. The restriction is a per-key
-    ``max`` (partial + final aggregate) and a null-safe equi-join on
-    ``(key, entry)``. Same result as :func:`current_info` over :func:`full_history`
+    LAST``), so only those rows are kept (null-safe, so an entity without a key keeps its
+    row) and each history is first cut to the intervals that cover its entity's last
+    entry: both are equi-joins with one row per key, without bins. Same result as :func:`current_info` over :func:`full_history`
     whenever ``tie_break`` makes the order total.
     """
     timeline = tables["registry"]
-    last = timeline.groupBy(KEY).agg(F.max("entry_number").alias("__strata_last"))
-    on = (timeline[KEY] == last[KEY]) & timeline["entry_number"].eqNullSafe(last["__strata_last"])
-    latest = timeline.join(last, on, "left_semi")
-    return current_info(full_history({**tables, "registry": latest}, bin_width), tie_break)
+    entry, key = F.col("__strata_last"), F.col("__strata_key")
+    last = timeline.groupBy(F.col(KEY).alias("__strata_key")).agg(F.max("entry_number").alias("__strata_last"))
+    on = F.col(KEY).eqNullSafe(key) & F.col("entry_number").eqNullSafe(entry)
+    out = timeline.join(last, on, "left_semi").select(*TIMELINE_OUTPUT)
+    repaired = repair_histories(tables)
+    for table, cols, prefix in GOLD_JOINS:
+        spec = AsOfSpec(repaired[table], cols, prefix)
+        start, end = F.col("valid_from_entry"), F.col("valid_to_entry")
+        covering = spec.history.join(last, (F.col(KEY) == key) & (start <= entry) & (end.isNull() | (end > entry)))
+        covering = covering.select("__strata_key", *[F.col(c).alias(n) for c, n in zip(cols, spec.output_names())])
+        out = out.join(covering, out[KEY] == covering["__strata_key"], "left").drop("__strata_key")
+    return current_info(out, tie_break)
 
 
 @dataclass(frozen=True)
@@ -313,15 +301,13 @@ def full_history(tables: Mapping[str, DataFrame], bin_width: int = DEFAULT_BIN_W
     repaired = repair_histories(tables)
     base = tables["registry"].select(*TIMELINE_OUTPUT)
     specs = [AsOfSpec(repaired[t], cols, prefix) for t, cols, prefix in GOLD_JOINS]
-    carried = all(set(RANGE_COLS) <= set(repaired[t].columns) for t, _, _ in GOLD_JOINS)
-    horizon = RANGE_COLS if carried else None
-    return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_width=bin_width, horizon=horizon)
+    return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_width=bin_width)
 
 
 def shares_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
     """T4: series names start-matched with share counts and preferences."""
     return start_match_chain(
-        tables["share_issues_series_name"].drop(*RANGE_COLS),
+        tables["share_issues_series_name"],
         [
             AsOfSpec(tables["share_issues_shares_in_series"], ("shares_in_series",)),
             AsOfSpec(tables["share_issues_preference_info"], ("preference_info",)),
@@ -332,7 +318,7 @@ def shares_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def amendments(tables: Mapping[str, DataFrame]) -> DataFrame:
     """T5: statute changes with repaired interval ends."""
-    return reopen_orphans(tables["statute_change"].drop(*RANGE_COLS), [KEY])
+    return reopen_orphans(tables["statute_change"], [KEY])
 
 
 def current_info(full: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -358,7 +344,7 @@ def gold(
     if current_from == "full":
         current = current_info(full, tie_break)
     elif current_from == "latest":
-        current = current_info_direct(tables, bin_width, tie_break)
+        current = current_info_direct(tables, tie_break)
     else:
         raise ValueError("current_from must be 'full' or 'latest'")
     return GoldOutputs(full, shares_issues(tables), amendments(tables), current)
@@ -377,7 +363,7 @@ def write_tables(jobs: Mapping[str, tuple[DataFrame, str]], fmt: str, concurrent
 
     def write(item):
         df, path = item
-        df.write.format(fmt).mode("overwrite").save(path)
+        write_table(df, path, fmt, overwrite_schema=True)
 
     if concurrent_jobs <= 1:
         for item in jobs.values():
@@ -409,7 +395,7 @@ def read_silver(spark, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
 
 def run_bronze(raw: DataFrame, out_root: str, fmt: str = "parquet", keep: str = "first") -> str:
     path = f"{out_root}/bronze"
-    bronze(raw, keep=keep).write.format(fmt).mode("overwrite").save(path)
+    write_table(bronze(raw, keep=keep), path, fmt, overwrite_schema=True)
     return path
 
 
@@ -419,14 +405,13 @@ def run_silver(
     fmt: str = "parquet",
     on_error: str = "fail",
     num_partitions: int | None = None,
-    horizon: bool = True,
 ) -> None:
     """Parse bronze once into ``parsed``; all 21 silver tables come from that one copy,
-    each branch reading only its nested column. ``horizon`` keeps each history's entry
-    range (two extra columns) so gold needs no per-key join for open intervals."""
+    each branch reading only its nested column."""
     parsed_path = f"{out_root}/parsed"
-    normalise(spark.read.format(fmt).load(f"{out_root}/bronze")).write.format(fmt).mode("overwrite").save(parsed_path)
-    tables = silver(None, on_error, parsed=spark.read.format(fmt).load(parsed_path), horizon=horizon)
+    parsed = normalise(spark.read.format(fmt).load(f"{out_root}/bronze"))
+    write_table(parsed, parsed_path, fmt, overwrite_schema=True)
+    tables = silver(None, on_error, parsed=spark.read.format(fmt).load(parsed_path))
     write_silver(tables, f"{out_root}/silver", num_partitions, fmt)
 
 
@@ -449,10 +434,9 @@ def run(
     bin_width: int = DEFAULT_BIN_WIDTH,
     tie_break: Sequence[str] = (),
     num_partitions: int | None = None,
-    horizon: bool = True,
 ) -> dict[str, str]:
     """Bronze -> silver -> gold over ``raw`` (id, krs_number, raw_data), writing every layer."""
     spark = raw.sparkSession
     run_bronze(raw, out_root, fmt)
-    run_silver(spark, out_root, fmt, on_error, num_partitions, horizon)
+    run_silver(spark, out_root, fmt, on_error, num_partitions)
     return run_gold(spark, out_root, fmt, bin_width, tie_break)

@@ -13,14 +13,11 @@ over the whole source settles replacements.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..plans import registry as R
-from ..session import shared_dir
 
 RAW_SCHEMA = StructType([
     StructField("id", LongType()), StructField("krs_number", StringType()), StructField("raw_data", StringType())
@@ -45,19 +42,25 @@ def start_silver_stream(
     spark: SparkSession,
     source_path: str,
     out_root: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     source_format: str = "parquet",
     schema: StructType = RAW_SCHEMA,
     available_now: bool = False,
     processing_time: str = "1 minute",
     max_files_per_trigger: int | None = None,
+    fmt: str = "parquet",
+    on_error: str = "fail",
 ) -> StreamingQuery:
-    """Start the incremental silver stream over files of raw rows ``(id, krs_number, raw_data)``."""
+    """Start the incremental silver stream over files of raw rows ``(id, krs_number, raw_data)``.
+
+    ``checkpoint_location`` must be the same folder in every run: it holds which batches are
+    done, so a restart goes on where the stream stopped instead of numbering batches anew.
+    """
     reader = spark.readStream.format(source_format).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(source_path)
-    checkpoint = checkpoint_location or os.path.join(shared_dir(spark), "silver-stream")
-    writer = raw.writeStream.foreachBatch(silver_batch_writer(out_root)).option("checkpointLocation", checkpoint)
+    writer = raw.writeStream.foreachBatch(silver_batch_writer(out_root, fmt, on_error))
+    writer = writer.option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

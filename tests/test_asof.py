@@ -186,26 +186,23 @@ def test_start_match_chain_equals_brute_force(spark, s, c, p):
     assert rows(got) == want
 
 
-@settings(max_examples=20, deadline=None)
-@given(cases, st.integers(0, 5))
-def test_horizon_columns_replace_the_clamp_join(spark, case, slack):
-    base, hist, width = case
-    extent = {}
-    for k, e in base:
-        if e is not None:
-            lo, hi = extent.get(k, (e, e))
-            extent[k] = (min(lo, e), max(hi, e))
-    # any range containing the key's ordinals is allowed; widen it by `slack`
-    with_range = [
-        (k, v, s, t, *((extent[k][0] - slack, extent[k][1] + slack) if k in extent else (None, None)))
-        for k, v, s, t in hist
-    ]
-    schema = HIST + ", first_n int, last_n int"
-    out = interval_chain(
-        spark.createDataFrame(base, BASE),
-        [AsOfSpec(spark.createDataFrame(with_range, schema), ("v",))],
-        bin_width=width,
-        horizon=("first_n", "last_n"),
+def test_far_entries_and_gaps_are_not_enumerated(spark):
+    base = [("K", 1), ("K", 2_000_000_000), ("K", -7), ("L", 5), (None, 3), ("K", None)]
+    hist = [("K", "open", 1, None), ("K", "far", 1_999_999_990, 2_000_000_001), ("K", "long", -100, 1_500_000_000)]
+    hist += [("K", "none", 9, 9), ("L", "gap", 6, 2_000_000_000), ("L", "low", -2_000_000_000, 6)]
+    out = interval_join(spark.createDataFrame(base, BASE), spark.createDataFrame(hist, HIST), ["v"])
+    assert rows(out) == brute_force(base, hist)
+
+
+def test_timestamp_axis_over_years(spark):
+    from datetime import datetime, timedelta
+
+    t = datetime(2001, 1, 1)
+    base = [("K", t + timedelta(days=d, microseconds=d)) for d in range(0, 4000, 97)]
+    hist = [("K", str(d), t + timedelta(days=d), t + timedelta(days=d + 300) if d % 2 else None) for d in range(0, 4000, 501)]
+    out = interval_join(
+        spark.createDataFrame(base, "company_krs string, entry_number timestamp"),
+        spark.createDataFrame(hist, "company_krs string, v string, valid_from_entry timestamp, valid_to_entry timestamp"),
+        ["v"],
     )
     assert rows(out) == brute_force(base, hist)
-    assert "ShuffledHashJoin" not in out._jdf.queryExecution().executedPlan().toString()  # no clamp join

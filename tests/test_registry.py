@@ -196,3 +196,20 @@ def test_current_info_direct_equals_top1_of_full_history(spark, layers):
     doc = document([(1, "01.01.2020")], names=[("X", 1, None)]).replace('"numerWpisu": "1"', '"numerWpisu": "x"')
     t = R.silver(R.bronze(spark.createDataFrame([(1, "K", doc)], RAW)), on_error="null")
     assert rows(R.current_info_direct(t, tie_break=tie), "entry_number") == [(None,)]
+
+
+def test_current_info_direct_keeps_rows_without_a_key_and_several_documents_per_key(spark):
+    from tests.registry_fixtures import document
+
+    docs = [
+        (1, "A", document([(1, "01.01.2020"), (100, "02.01.2020")], names=[("Old", 1, None)])),
+        (2, "A", document([(1, "01.01.2020"), (5, "02.01.2020")], names=[("New", 3, None)])),
+        (3, None, document([(1, "01.01.2020"), (2, "01.01.2021")], names=[("No key", 1, None)])),
+    ]
+    parsed = R.normalise(
+        spark.createDataFrame(docs, "source_id long, company_krs string, raw_json string")
+    )
+    tables = R.silver(None, parsed=parsed)
+    tie = ["company_name"]
+    got, want = R.current_info_direct(tables, tie), R.current_info(R.full_history(tables), tie)
+    assert got.columns == want.columns and rows(got) == rows(want) and want.count() == 2

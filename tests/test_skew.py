@@ -55,7 +55,29 @@ def test_repair_spreads_a_hot_key(spark):
     _no_adaptive(spark)
     try:
         _, hist = _skewed(spark)
-        share, used = _partition_shares(reopen_orphans(hist))
+        repaired = reopen_orphans(hist)
+        # every column is measured, so that the join stays in the plan
+        tagged = repaired.withColumn("p", F.spark_partition_id())
+        assert "Join" in tagged._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["n"] for r in tagged.groupBy("p").agg(F.count("*").alias("n"), F.count("valid_to_entry")).collect()]
+        assert max(sizes) / sum(sizes) < 0.3 and len(sizes) >= 6
+    finally:
+        _restore(spark)
+
+
+def test_interval_replication_spreads_a_hot_key(spark):
+    from strata.operators import asof
+
+    _no_adaptive(spark)
+    try:
+        base, hist = _skewed(spark)
+        binned = base.withColumn(asof._BIN, asof._bin_of(F.col("entry_number").cast("long"), 16))
+        occupied = asof._occupied_nodes(binned, ["company_krs"], asof._levels(base.schema["entry_number"].dataType))
+        spec = asof.AsOfSpec(hist, ("v",))
+        spread = asof._binned_history(
+            spec, ["company_krs"], "valid_from_entry", "valid_to_entry", occupied, 16, base.schema["entry_number"].dataType
+        )
+        share, used = _partition_shares(spread)
         assert share < 0.3 and used >= 6
     finally:
         _restore(spark)
