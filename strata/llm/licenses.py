@@ -16,9 +16,11 @@ as they come, repeated rows are scanned each; an empty table gives an empty resu
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,25 +130,38 @@ class Scanner:
             for m in r.pattern.finditer(joined)
         ]
         kept: list[tuple[int, int, str, float]] = []
+        starts: list[int] = []  # of the kept intervals that lie in no other; their ends rise with them
+        ends: list[int] = []
         for _, minus, start, label, confidence in sorted(found):
             end = start - minus
-            if not any(s <= start and end <= e for s, e, _, _ in kept):
-                kept.append((start, end, label, confidence))
+            at = bisect_right(starts, start)
+            if at and ends[at - 1] >= end:
+                continue
+            kept.append((start, end, label, confidence))
+            inner = bisect_right(ends, end)
+            at = at - 1 if at and starts[at - 1] == start else at
+            starts[at:inner], ends[at:inner] = [start], [end]
         return kept
 
     def scan(self, text: bytes) -> dict:
         words = text.translate(WORD_BYTES).split()
         joined = b" " + b" ".join(words) + b" "
+        gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+
+        def word(at: int) -> int:
+            """Number of the word that starts after, or holds, byte ``at``."""
+            return int(np.searchsorted(gaps, at))
+
         places, base = [], set()
         for phrase, label in BASE.items():
             needle = f" {phrase} ".encode()
             at = joined.find(needle)
             while at >= 0:
-                places.append(joined.count(b" ", 0, at))
+                places.append(word(at))
                 base.add(label)
                 at = joined.find(needle, at + 1)
         spans = [
-            {"label": label, "first": joined.count(b" ", 0, s) - 1, "n_words": joined.count(b" ", s, e) + 1, "confidence": c}
+            {"label": label, "first": word(s) - 1, "n_words": word(e) - word(s) + 1, "confidence": c}
             for s, e, label, c in self.detect(joined)
         ]
         doubt, labels = 1.0, set(base)
