@@ -21,6 +21,7 @@ are kept as they come; empty tables give no matches.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from itertools import repeat
@@ -77,9 +78,10 @@ def tile(item: list[int], text: list[int], least: int) -> list[tuple[int, int, i
         if longest > 2 * length:
             length = longest
             continue
-        queue = sorted(matches, reverse=True)
-        while queue:
-            size, p, q = queue.pop(0)
+        queue = [(-size, -p, -q) for size, p, q in matches]
+        heapq.heapify(queue)
+        while queue and any(free_item):
+            size, p, q = (-x for x in heapq.heappop(queue))
             whole = next((i for i in range(size) if not (free_item[p + i] and free_text[q + i])), size)
             if whole == size:
                 free_item[p : p + size] = free_text[q : q + size] = [False] * size
@@ -91,9 +93,8 @@ def tile(item: list[int], text: list[int], least: int) -> list[tuple[int, int, i
             )
             for start, left in ((0, whole), (rest, size - rest)):
                 if left >= length:
-                    queue.append((left, p + start, q + start))
-            queue.sort(reverse=True)
-        if length == least:
+                    heapq.heappush(queue, (-left, -(p + start), -(q + start)))
+        if length == least or not any(free_item):
             return tiles
         length = max(least, length // 2)
 
