@@ -72,10 +72,10 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "dropped", "inside", "prose", "children")
+    __slots__ = ("tag", "path", "up", "dropped", "inside", "prose", "children")
 
-    def __init__(self, tag: str, path: int, parent: int, dropped: bool, inside: bool, prose: bool):
-        self.tag, self.path, self.parent = tag, path, parent
+    def __init__(self, tag: str, path: int, up: _Element | None, dropped: bool, inside: bool, prose: bool):
+        self.tag, self.path, self.up = tag, path, up
         self.dropped, self.inside, self.prose = dropped, inside, prose
         self.children: list[int] = []
 
@@ -85,13 +85,13 @@ def _signed(data: bytes) -> int:
 
 
 class Page:
-    """One parsed page: ``elements`` (all shown ones, in page order) and ``blocks`` (text, chain of
-    elements it stands in)."""
+    """One parsed page: ``elements`` (all shown ones, in page order) and ``blocks`` (text, element it
+    stands in)."""
 
     def __init__(self, source: str):
-        root = _Element("body", 0, 0, False, False, False)
+        root = _Element("body", 0, None, False, False, False)
         self.elements = [root]
-        self.blocks: list[tuple[str, list[_Element]]] = []
+        self.blocks: list[tuple[str, _Element]] = []
         self._stack, self._text = [root], []
         at = 0
         while m := _TAG.search(source, at):
@@ -118,7 +118,7 @@ class Page:
         text = " ".join("".join(self._text).split())
         self._text = []
         if text:
-            self.blocks.append((text, list(self._stack)))
+            self.blocks.append((text, self._stack[-1]))
 
     def _open(self, tag: str, rest: str) -> None:
         if tag == "br" or tag in ("td", "th"):
@@ -145,7 +145,7 @@ class Page:
         main = tag in ("article", "main")
         inside = main or up.inside
         new = _Element(
-            tag, path, up.path, drops or (up.dropped and not main), inside, main or (inside and tag in PROSE)
+            tag, path, up, drops or (up.dropped and not main), inside, main or (inside and tag in PROSE)
         )
         if not new.dropped:
             up.children.append(path)
@@ -160,12 +160,21 @@ class Page:
                 return
 
     def text(self, removed: frozenset[int] = frozenset()) -> str:
-        only = any(e.inside for _, chain in self.blocks for e in chain[-1:])
-        return "\n\n".join(
-            text
-            for text, chain in self.blocks
-            if (chain[-1].inside or not only) and not any(e.path in removed for e in chain)
-        )
+        only = any(e.inside for _, e in self.blocks)
+        known: dict[_Element | None, bool] = {None: False}
+
+        def gone(element: _Element) -> bool:
+            """Whether the element or one around it is removed."""
+            around, e = [], element
+            while e not in known:
+                around.append(e)
+                e = e.up
+            low = known[e]
+            for e in reversed(around):
+                low = known[e] = low or e.path in removed
+            return low
+
+        return "\n\n".join(text for text, e in self.blocks if (e.inside or not only) and not gone(e))
 
 
 PRESENCE, STYLE, CONTENT = 0, 1, 2
@@ -179,12 +188,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
-            about = {e.path: (e.parent, e.prose) for e in page.elements}
+            about = {e.path: (e.up.path if e.up else 0, e.prose) for e in page.elements}
             styles = Counter((e.path, _signed(repr(e.children).encode())) for e in page.elements)
             contents: Counter = Counter()
             chars: Counter = Counter()
-            for text, chain in page.blocks:
-                place = (chain[-1].path, _signed(text.encode("utf-8", "replace")))
+            for text, e in page.blocks:
+                place = (e.path, _signed(text.encode("utf-8", "replace")))
                 contents[place] += 1
                 chars[place] += len(text)
             rows += [(host, p, *about[p], PRESENCE, 0, 1, 0) for p in about]
