@@ -20,6 +20,7 @@ document; an empty file has none; texts are encoded whole, special tokens' names
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -36,6 +37,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SEPARATOR = 50256
 # Fixed value: the pre-tokenisation pattern that belongs to the vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of white space too long for the pattern's look-ahead, which keeps a place a character.
+LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{50000,}")
 BLOCK_BYTES = 1 << 20
 FILE_BYTES = 256 << 20
 
@@ -48,6 +51,18 @@ def encoding(path: str):
     return tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(encoder, text: str) -> list[int]:
+    """Tokens of a whole text. A very long run of white space is one piece by the pattern, less its last
+    character where a word follows; it is encoded as such without the pattern."""
+    out, at = [], 0
+    for run in LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoder.encode_ordinary(text[at : run.start()])
+        out += encoder._encode_single_piece(text[run.start() : end])
+        at = end
+    return out + encoder.encode_ordinary(text[at:])
+
+
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
@@ -71,7 +86,7 @@ def write_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, separator: int = S
                 if out is None:
                     name, size, ordinal = f"{path}/{uuid.uuid4().hex}.bin", 0, 0
                     out = system.open_output_stream(name)
-                tokens = np.array(encoder.encode_ordinary(text or ""), "<u2").tobytes()
+                tokens = np.array(encode(encoder, text or ""), "<u2").tobytes()
                 out.write(tokens + end)
                 rows.append((name, None, ordinal, doc_id))
                 size, ordinal = size + len(tokens) + 2, ordinal + 1
