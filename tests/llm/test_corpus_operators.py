@@ -193,6 +193,13 @@ def test_tiles_are_greedy_and_disjoint():
     assert decontaminate.tile(item, item[:4], 5) == []
 
 
+def test_tiling_of_a_repetitive_text():
+    item = "the cat sat on the mat the cat sat on the mat by the sea"
+    block = decontaminate._Block([(1, item)])
+    (found,) = block.matches(b"the cat sat on the mat " * 5000)
+    assert found["covered"] == 12 and [t[0::2] for t in found["tiles"]] == [[0, 12]]
+
+
 def test_decontamination_catches_reordered_passages(spark, none, monkeypatch):
     rng = random.Random(2)
     items = [words(rng, 24, 3000) for _ in range(6)] + ["only three words", "", None]
@@ -321,6 +328,28 @@ def test_license_rules():
     assert s.scan("all rightsé reserved".encode())["n_base"] == 0
 
 
+def test_suppression_equals_all_intervals():
+    scanner, rng = licenses.Scanner(), random.Random(5)
+    parts = "licensed under the mit license gnu general public version 2 0 see for details spdx identifier apache terms of".split()
+    for _ in range(300):
+        joined = f" {' '.join(rng.choices(parts, k=60))} ".encode()
+        found = sorted(
+            (r.priority, m.start() - m.end(), m.start(), r.label)
+            for r in scanner.rules
+            for m in r.pattern.finditer(joined)
+        )
+        kept = []
+        for _, minus, start, label in found:
+            if not any(s <= start and start - minus <= e for s, e, _ in kept):
+                kept.append((start, start - minus, label))
+        assert [d[:3] for d in scanner.detect(joined)] == kept
+
+
+def test_many_detections_in_one_text():
+    got = licenses.Scanner().scan(b"cc by and licensed under the mit license " * 30_000)
+    assert got["n_base"] == 30_000 and got["last_word"] == 8 * 29_999 and len(got["spans"]) == 30_000
+
+
 def test_license_table(docs, none):
     got = docs.select("doc_id", licenses.scan(F.col("text")).alias("s")).collect()
     assert len(got) == docs.count() and none.select(licenses.scan(F.col("text"))).count() == 0
@@ -344,6 +373,12 @@ def test_page_text():
     assert html_main_text.Page(deep).text() == "x"
 
 
+def test_deeply_nested_page():
+    page = html_main_text.Page("<div class=a>x" * 30_000)
+    assert page.text() == "\n\n".join("x" * 30_000)
+    assert page.text(frozenset({page.elements[2].path})) == "x"
+
+
 def test_style_tree_removes_templates(spark, none):
     rng = random.Random(6)
 
@@ -390,6 +425,14 @@ def test_document_tokens(docs, none):
     assert token_scan.document_tokens(none.select("doc_id", "text")).count() == 0
 
 
+def test_long_white_space_is_encoded_whole():
+    encoder = token_scan.encoding(token_scan.TOKENIZER)
+    for text in ("x" + " " * 70_000 + "y", "x" + "\n" * 70_000 + "7", " " * 70_000, "a\u3000" + "\t " * 40_000 + "."):
+        assert token_scan.encode(encoder, text) == encoder.encode_ordinary(text)
+    text = "x" + " " * 1_500_000 + "y"  # beyond what the pattern can look ahead
+    assert encoder.decode(token_scan.encode(encoder, text)) == text
+
+
 # ---------------------------------------------------------------- 8 WARC
 
 
