@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import registry as R
 from .session import Settings, build_session
-from .sources.jdbc import RangePartitioning, read_jdbc, write_jdbc
+from .sources.jdbc import RangePartitioning, derive_partitioning, read_jdbc, read_properties, write_jdbc
 from .sources.tables import read_table
 
 # Target table names of the JDBC export and whether each is capped to
@@ -30,21 +31,47 @@ EXPORTS = (
 )
 
 
+# Settings that are arguments of the same name
+SETTINGS = (
+    "app_name", "executor_memory", "executor_cores", "executor_memory_overhead", "network_timeout",
+    "shuffle_max_retries", "shuffle_retry_wait", "advisory_partition_size", "max_partition_bytes", "checkpoint_dir",
+)
+SWITCHES = ("adaptive", "skew_join", "coalesce_partitions", "kryo")
+
+
 def read_source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.source_table:
         return read_table(spark, args.source_table, args.source_format, source_filter=args.source_filter)
+    access = credentials(args, "jdbc")
     partitioning = None
     if args.jdbc_partition_column:
-        partitioning = RangePartitioning(
-            args.jdbc_partition_column, args.jdbc_lower_bound, args.jdbc_upper_bound, args.jdbc_num_partitions
-        )
+        column, parts = args.jdbc_partition_column, args.jdbc_num_partitions
+        if parts is None:
+            raise ValueError("--jdbc-partition-column needs --jdbc-num-partitions")
+        bounds = (args.jdbc_lower_bound, args.jdbc_upper_bound)
+        if bounds == (None, None):
+            partitioning = derive_partitioning(
+                spark, args.jdbc_url, args.jdbc_table, column, parts, args.source_filter, **access
+            )
+        elif None in bounds:
+            raise ValueError("give both --jdbc-lower-bound and --jdbc-upper-bound, or neither")
+        else:
+            partitioning = RangePartitioning(column, *bounds, parts)
     return read_jdbc(
-        spark, args.jdbc_url, args.jdbc_table, user=args.jdbc_user, password=args.jdbc_password,
-        driver=args.jdbc_driver, fetchsize=args.jdbc_fetchsize, columns=["id", "krs_number", "raw_data"],
-        source_filter=args.source_filter, partitioning=partitioning,
+        spark, args.jdbc_url, args.jdbc_table, fetchsize=args.jdbc_fetchsize,
+        columns=["id", "krs_number", "raw_data"], source_filter=args.source_filter, partitioning=partitioning, **access,
     )
 
 
+def credentials(args: argparse.Namespace, side: str) -> dict[str, str]:
+    """user, password and driver of the ``jdbc`` or ``export`` side: its properties file, then its arguments."""
+    path = getattr(args, f"{side}_properties")
+    given = read_properties(path) if path else {}
+    own = {k: getattr(args, f"{side}_{k}") for k in ("user", "password", "driver")}
+    found = {**given, **{k: v for k, v in own.items() if v}}
+    return {k: v for k, v in found.items() if k in own}
+
+
 def run_bronze(spark: SparkSession, args: argparse.Namespace) -> None:
     R.run_bronze(read_source(spark, args), args.out, args.format, args.keep)
 
@@ -56,8 +83,7 @@ def run_silver(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     paths = R.run_gold(spark, args.out, args.format, args.bin_width, args.tie_break)
     if args.export_url:
-        props = {k: v for k, v in (("user", args.export_user), ("password", args.export_password),
-                                   ("driver", args.export_driver)) if v}
+        props = credentials(args, "export")
         for name, target, capped in EXPORTS:
             df = spark.read.format(args.format).load(paths[name])
             write_jdbc(df, args.export_url, target, props, args.max_connections if capped else None,
@@ -73,18 +99,18 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source-table")
     p.add_argument("--source-format", default="parquet")
     p.add_argument("--source-filter", help="e.g. \"is_current = TRUE\"; pushed to the source")
-    for name in ("url", "table", "user", "password", "driver", "partition-column"):
+    for name in ("url", "table", "user", "password", "driver", "partition-column", "properties"):
         p.add_argument(f"--jdbc-{name}")
     p.add_argument("--jdbc-fetchsize", type=int)
-    p.add_argument("--jdbc-lower-bound", type=int, default=0)
-    p.add_argument("--jdbc-upper-bound", type=int, default=0)
-    p.add_argument("--jdbc-num-partitions", type=int, default=1)
+    p.add_argument("--jdbc-lower-bound", type=int, help="asked from the database when neither bound is given")
+    p.add_argument("--jdbc-upper-bound", type=int)
+    p.add_argument("--jdbc-num-partitions", type=int)
     p.add_argument("--keep", choices=["first", "last"], default="first")
     p.add_argument("--on-error", choices=["fail", "null"], default="fail")
     p.add_argument("--silver-partitions", type=int)
     p.add_argument("--bin-width", type=int, default=32)
     p.add_argument("--tie-break", nargs="*", default=[])
-    for name in ("url", "user", "password", "driver"):
+    for name in ("url", "user", "password", "driver", "properties"):
         p.add_argument(f"--export-{name}")
     p.add_argument("--max-connections", type=int, default=4)
     p.add_argument("--batchsize", type=int, default=200)
@@ -93,14 +119,22 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input-bytes", type=float, help="size shuffles for this input size (overrides --shuffle-partitions)")
     p.add_argument("--cores", type=int, default=8, help="total task slots, with --input-bytes")
     p.add_argument("--time-zone", default="UTC")
+    for name in SETTINGS:
+        p.add_argument(f"--{name.replace('_', '-')}")
+    for name in SWITCHES:
+        p.add_argument(f"--{name.replace('_', '-')}", action=argparse.BooleanOptionalAction)
+    p.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="any other Spark option")
     return p
 
 
 def settings_from(args: argparse.Namespace) -> Settings:
     """Sized from ``--input-bytes``/``--cores`` when given, else the fixed shuffle width."""
+    extra = dict(pair.partition("=")[::2] for pair in args.conf)
+    given = {n: getattr(args, n) for n in (*SETTINGS, *SWITCHES) if getattr(args, n) is not None}
+    common = {"time_zone": args.time_zone, "extra": extra, **given}
     if args.input_bytes:
-        return Settings.for_scale(args.input_bytes, args.cores, time_zone=args.time_zone)
-    return Settings(shuffle_partitions=args.shuffle_partitions, time_zone=args.time_zone)
+        return replace(Settings.for_scale(args.input_bytes, args.cores), **common)
+    return Settings(shuffle_partitions=args.shuffle_partitions, **common)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:

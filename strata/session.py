@@ -10,11 +10,15 @@ import math
 import os
 import tempfile
 import uuid
-from dataclasses import dataclass, replace
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import SparkSession
 
 
+_made: set[str] = set()
+
+
 @dataclass(frozen=True)
 class Settings:
     """Tuning knobs of a history job. Defaults are the reference's gold defaults."""
@@ -34,6 +38,9 @@ class Settings:
     shuffle_max_retries: str = "10"
     shuffle_retry_wait: str = "5s"
     kryo: bool = True
+    checkpoint_dir: str | None = None
+    #: Any further Spark options (SQL extensions, catalogs, packages, executor environment); they win.
+    extra: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
     def for_scale(
@@ -84,6 +91,8 @@ class Settings:
             conf["spark.executor.memoryOverhead"] = self.executor_memory_overhead
         if self.kryo:
             conf["spark.serializer"] = "org.apache.spark.serializer.KryoSerializer"
+        if self.checkpoint_dir:
+            conf["spark.checkpoint.dir"] = self.checkpoint_dir
         return conf
 
     def sql_conf(self) -> dict[str, str]:
@@ -104,7 +113,7 @@ def build_session(settings: Settings = Settings(), master: str | None = None) ->
     builder = SparkSession.builder.appName(settings.app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**settings.static_conf(), **settings.sql_conf()}.items():
+    for key, value in {**settings.static_conf(), **settings.sql_conf(), **settings.extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_sql_settings(spark, settings)
@@ -112,8 +121,12 @@ def build_session(settings: Settings = Settings(), master: str | None = None) ->
 
 
 def apply_sql_settings(spark: SparkSession, settings: Settings = Settings()) -> None:
+    """Set the runtime options, and those of ``settings.extra`` that a running session can change."""
     for key, value in settings.sql_conf().items():
         spark.conf.set(key, value)
+    for key, value in settings.extra.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -141,4 +154,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder (parquet cannot overwrite what it reads)."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _made.add(path)
+    return path
+
+
+def release(spark: SparkSession, path: str) -> bool:
+    """Delete a staged folder once nothing reads it any more (the counterpart of clearing a cache).
+
+    Only paths that :func:`fresh_path` made in this process are deleted; others are left, and False is
+    returned.
+    """
+    if path not in _made:
+        return False
+    _made.discard(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True))

@@ -24,6 +24,35 @@ class RangePartitioning:
     num_partitions: int
 
 
+    def __post_init__(self) -> None:
+        if self.num_partitions < 1 or self.lower_bound > self.upper_bound:
+            raise ValueError("a range read needs lower_bound <= upper_bound and at least one partition")
+
+
+def bounds_query(table: str, column: str, source_filter: str | None = None) -> str:
+    """``dbtable`` text for the smallest and largest value of ``column`` among the rows read."""
+    where = f" WHERE {source_filter}" if source_filter else ""
+    return f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}{where}) bounds"
+
+
+def derive_partitioning(
+    spark: SparkSession, url: str, table: str, column: str, num_partitions: int, source_filter: str | None = None, **access
+) -> RangePartitioning:
+    """Range partitioning whose bounds are asked from the database (one row); an empty table reads as one range."""
+    options = jdbc_read_options(url, bounds_query(table, column, source_filter), **access)
+    row = spark.read.format("jdbc").options(**options).load().first()
+    lo, hi = (0, 0) if row is None or row[0] is None else (int(row[0]), int(row[1]))
+    return RangePartitioning(column, lo, hi, num_partitions)
+
+
+def read_properties(path: str) -> dict[str, str]:
+    """``key=value`` lines (user, password, driver, ...); blank lines and those starting with # are skipped."""
+    with open(path, encoding="utf-8") as f:
+        lines = [line.strip() for line in f]
+    pairs = [line.partition("=") for line in lines if line and not line.startswith("#")]
+    return {key.strip(): value.strip() for key, _, value in pairs}
+
+
 def source_query(table: str, columns: Sequence[str] | None = None, source_filter: str | None = None) -> str:
     """``dbtable`` text: the table itself, or a subquery with projection and filter."""
     if not columns and not source_filter:
