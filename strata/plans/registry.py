@@ -25,6 +25,7 @@ from ..operators.asof import DEFAULT_BIN_WIDTH, AsOfSpec, interval_chain, start_
 from ..operators.history import Field, HistorySpec, explode_history, reopen_orphans
 from ..operators.layout import cluster, materialize
 from ..operators.ranking import first_per_key, latest_per_key
+from ..session import fresh_path, release
 from ..sources.tables import write_table
 
 KEY = "company_krs"
@@ -380,12 +381,19 @@ def write_silver(
     num_partitions: int | None = None,
     fmt: str = "parquet",
     concurrent_jobs: int = 4,
+    clustered: bool = False,
 ) -> None:
-    """Silver layout (L1, O1): clustered by entity, sorted by entry within each file."""
+    """Silver layout (L1, O1): clustered by entity, sorted by entry within each file. With ``clustered``
+    the documents the tables are exploded from lie clustered already: the explodes are narrow, so the
+    tables are only sorted, without a shuffle (``num_partitions`` then caps the files)."""
     jobs = {}
     for name, df in tables.items():
         order = "entry_number" if name == "registry" else "valid_from_entry"
-        jobs[name] = (cluster(df, num_partitions, [KEY], [KEY, order]), f"{root}/{name}")
+        if clustered:
+            laid = (df.coalesce(num_partitions) if num_partitions else df).sortWithinPartitions(KEY, order)
+        else:
+            laid = cluster(df, num_partitions, [KEY], [KEY, order])
+        jobs[name] = (laid, f"{root}/{name}")
     write_tables(jobs, fmt, concurrent_jobs)
 
 
@@ -406,13 +414,17 @@ def run_silver(
     on_error: str = "fail",
     num_partitions: int | None = None,
 ) -> None:
-    """Parse bronze once into ``parsed``; all 21 silver tables come from that one copy,
-    each branch reading only its nested column."""
-    parsed_path = f"{out_root}/parsed"
-    parsed = normalise(spark.read.format(fmt).load(f"{out_root}/bronze"))
-    write_table(parsed, parsed_path, fmt, overwrite_schema=True)
-    tables = silver(None, on_error, parsed=spark.read.format(fmt).load(parsed_path))
-    write_silver(tables, f"{out_root}/silver", num_partitions, fmt)
+    """Parse bronze once into a staged copy clustered by entity (the only shuffle); all 21 silver tables
+    come from it, each branch reading only its nested column. The copy is deleted afterwards."""
+    staged = fresh_path(spark, "parsed")
+    documents = cluster(spark.read.format(fmt).load(f"{out_root}/bronze"), None, [KEY])
+    parsed = normalise(documents)
+    write_table(parsed, staged, fmt, overwrite_schema=True)
+    try:
+        tables = silver(None, on_error, parsed=spark.read.format(fmt).load(staged))
+        write_silver(tables, f"{out_root}/silver", num_partitions, fmt, clustered=True)
+    finally:
+        release(spark, staged)
 
 
 def run_gold(

@@ -1,9 +1,15 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
+
+import pytest
 
 import __spark_entry__ as contract
 from strata import jobs
+from strata.plans import registry as R
+from strata.session import build_session, fresh_path, release, shared_dir
+from strata.sources import jdbc
 from tests.registry_fixtures import raw_rows
 from tests.test_registry import FULL_HISTORY_COLUMNS
 
@@ -49,3 +55,69 @@ def test_cli_settings():
     assert sized.shuffle_partitions == 18627 and sized.advisory_partition_size == "1024m"
     fixed = jobs.settings_from(jobs.parser().parse_args(["gold", "--out", "/x", "--shuffle-partitions", "500"]))
     assert fixed.shuffle_partitions == 500
+
+
+def test_cli_reaches_every_setting():
+    args = jobs.parser().parse_args(
+        ["all", "--out", "/x", "--executor-memory", "9g", "--network-timeout", "900s", "--no-skew-join",
+         "--checkpoint-dir", "/shared/ckpt", "--conf", "spark.sql.extensions=a.B", "--conf", "spark.executorEnv.X=k=v"]
+    )
+    s = jobs.settings_from(args)
+    conf = {**s.static_conf(), **s.sql_conf(), **s.extra}
+    assert conf["spark.executor.memory"] == "9g" and conf["spark.network.timeout"] == "900s"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "false" and conf["spark.checkpoint.dir"] == "/shared/ckpt"
+    assert conf["spark.sql.extensions"] == "a.B" and conf["spark.executorEnv.X"] == "k=v"
+    args = jobs.parser().parse_args(["all", "--out", "/x", "--input-bytes", "1e13", "--executor-memory", "9g"])
+    assert jobs.settings_from(args).executor_memory == "9g" and jobs.settings_from(args).shuffle_partitions == 18627
+
+
+def test_extra_options_reach_a_running_session(spark):
+    settings = jobs.Settings(extra={"spark.sql.caseSensitive": "true"})
+    before = {k: spark.conf.get(k, None) for k in (*settings.sql_conf(), *settings.extra, "spark.sql.session.timeZone")}
+    try:
+        assert build_session(settings).conf.get("spark.sql.caseSensitive") == "true"
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def test_credentials_come_from_a_file(tmp_path):
+    path = tmp_path / "db.properties"
+    path.write_text("# access\nuser = u\npassword=a=b\n\nurl=ignored\n")
+    args = jobs.parser().parse_args(["gold", "--out", "/x", "--export-properties", str(path), "--export-user", "v"])
+    assert jobs.credentials(args, "export") == {"user": "v", "password": "a=b"}
+    assert jobs.credentials(args, "jdbc") == {}
+
+
+def test_range_reads_need_bounds_and_a_count():
+    base = ["bronze", "--out", "/x", "--jdbc-url", "jdbc:x", "--jdbc-table", "t", "--jdbc-partition-column", "id"]
+    for more in ([], ["--jdbc-num-partitions", "8", "--jdbc-upper-bound", "9"]):
+        with pytest.raises(ValueError):
+            jobs.read_source(None, jobs.parser().parse_args(base + more))
+    with pytest.raises(ValueError):
+        jdbc.RangePartitioning("id", 9, 0, 4)
+    assert jdbc.bounds_query("t", "id", "c = 1") == "(SELECT MIN(id) AS lo, MAX(id) AS hi FROM t WHERE c = 1) bounds"
+
+
+def test_only_own_staged_folders_are_released(spark, tmp_path):
+    path = fresh_path(spark, "mine")
+    spark.range(3).write.parquet(path)
+    local = Path(path.removeprefix("file:"))
+    assert local.is_dir() and release(spark, path) and not local.exists() and not release(spark, path)
+    other = tmp_path / "other"
+    other.mkdir()
+    assert not release(spark, str(other)) and other.is_dir()
+
+
+def test_silver_layout_sorts_without_a_shuffle(spark, tmp_path):
+    raw = spark.createDataFrame(raw_rows(), "id long, krs_number string, raw_data string")
+    out = str(tmp_path / "lake")
+    R.run_bronze(raw, out)
+    R.run_silver(spark, out)
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("parsed-*"))
+    for name, df in R.silver(R.bronze(raw)).items():
+        got = spark.read.parquet(f"{out}/silver/{name}")
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, df.collect())), name
