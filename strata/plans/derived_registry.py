@@ -245,6 +245,23 @@ QUERIES = {
     "registry_current_info": q_registry_current_info,
 }
 
+#: The silver tables whose query has a name of its own above.
+_NAMED = {
+    "registry", "address", "identifiers", "has_opp_status", "statute_change", "total_shares_units",
+    "share_issues_series_name",
+}
+
+
+def _silver_query(table: str):
+    def query(spark, sf_dir):
+        return silver_tables(spark, sf_dir, stage=False)[table]
+
+    return query
+
+
+SILVER = [s.name for s in R.silver_specs() if s.name not in _NAMED]
+QUERIES |= {f"registry_{name}": _silver_query(name) for name in SILVER}
+
 
 # ------------------------------------------------------------------ oracle SQL (DuckDB)
 
@@ -294,12 +311,10 @@ def _ctes() -> str:
     )
     parts.append(_repaired("hs", "rs", ["change_or_amendment_of_statue_agreement"]))
     for alias, (key, col) in zip("scp", zip(ISSUE_SQL, ("series_name", "shares_in_series", "preference_info"))):
-        end = ", CAST(NULL AS INTEGER) AS valid_to_entry" if alias == "s" else ""
-        end_null = ", NULL" if alias == "s" else ""
         parts.append(
             f"issue_{alias} AS (SELECT source_id, company_krs, {ISSUE_SQL[key]} AS {col}, "
-            f"CAST(l_partkey % 3 AS INTEGER) AS valid_from_entry{end} FROM lines "
-            f"UNION ALL SELECT c.source_id, c.company_krs, NULL, NULL{end_null} FROM company c "
+            f"CAST(l_partkey % 3 AS INTEGER) AS valid_from_entry, CAST(NULL AS INTEGER) AS valid_to_entry FROM lines "
+            f"UNION ALL SELECT c.source_id, c.company_krs, NULL, NULL, NULL FROM company c "
             "WHERE NOT EXISTS (SELECT 1 FROM lines l WHERE l.l_orderkey = c.o_orderkey))"
         )
     return "WITH " + ",\n".join(parts)
@@ -336,7 +351,9 @@ def oracle_sql() -> dict[str, str]:
     units = {name: j for j, (name, _, _, _) in enumerate(R.HISTORIES)}["total_shares_units"]
     index = {name: j for j, (name, _, _, _) in enumerate(R.HISTORIES)}
     address = index["address"]
-    return {
+    source = {name: f"h{j}" for name, j in index.items()}
+    source |= {"share_issues_shares_in_series": "issue_c", "share_issues_preference_info": "issue_p"}
+    return {f"registry_{name}": f"{ctes}\nSELECT * FROM {source[name]}" for name in SILVER} | {
         "registry_bronze": "SELECT 2 * o_orderkey AS source_id, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS company_krs, "
         "o_orderpriority LIKE '1%' AS is_foreign FROM orders",
         "registry_timeline": f"{ctes}\nSELECT * FROM tl",

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from strata import jobs
+from strata.plans import derived_registry
 from strata.plans import registry as R
 from strata.session import build_session, fresh_path, release, shared_dir
 from strata.sources import jdbc
@@ -20,6 +21,10 @@ def test_every_query_has_an_oracle():
     assert own == {name for name in contract.oracle_sql() if name in own} and len(own) >= 35
 
 
+def test_every_silver_table_has_a_query():
+    assert len(derived_registry.SILVER) == 14 and len(derived_registry.QUERIES) == 26
+
+
 def test_entry_is_the_registry_full_history(spark):
     df = contract.entry(spark)
     assert df.columns == FULL_HISTORY_COLUMNS
