@@ -179,6 +179,7 @@ def document_tokens(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     names = written.where("ordinal >= 0").select(
         F.col("file").alias("d_file"), F.col("ordinal").alias("d_ordinal"), "doc_id"
     )
-    return counted.join(
+    # the planner sees only the blocks' small files, and would broadcast the counts of all documents
+    return counted.hint("merge").join(
         names, (F.col("file") == F.col("d_file")) & (F.col("ordinal") == F.col("d_ordinal"))
     ).select("doc_id", "n_tokens")
