@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,16 +89,63 @@ def _explode_step(df: DataFrame, carried: list[Column], array: Column, outer: bo
     return out.where(F.col(_POS).isNotNull()).drop(_POS)
 
 
+def _is_start(starts: Column, end: Column) -> Column:
+    """Whether the sorted array ``starts`` holds ``end``: binary search by halving steps, so a document
+    with a long history costs n log n and not n squared. NULL (sorted last) is never found."""
+    steps = F.reverse(F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.size(starts), F.lit(1)))).cast("int")))
+
+    def advance(at: Column, bit: Column) -> Column:
+        ahead = at + F.call_function("shiftleft", F.lit(1), bit)
+        return F.when(F.get(starts, ahead - 1) <= end, ahead).otherwise(at)
+
+    return F.get(starts, F.aggregate(steps, F.lit(0), advance) - 1) == end
+
+
+def _with_repaired_ends(array: Column, spec: HistorySpec, on_error: str) -> Column:
+    """Each element with its end, NULL where no element of the same array starts there (H1 in one document).
+    The one-element ``transform`` binds the sorted starts once per document."""
+
+    def bound(element: Column, field: str) -> Column:
+        return parse_int(element[field], on_error)
+
+    def repaired(starts: Column) -> Column:
+        return F.transform(array, lambda x: F.struct(
+            x.alias("element"), F.when(_is_start(starts, bound(x, spec.end)), bound(x, spec.end)).alias("end")
+        ))
+
+    starts = F.array_sort(F.transform(array, lambda x: bound(x, spec.start)))
+    return F.transform(F.array(starts), repaired)[0]
+
+
 def explode_history(
     df: DataFrame,
     spec: HistorySpec,
     carry: Sequence[str] = ("source_id", "company_krs"),
     document: str = "data",
     on_error: str = "fail",
+    repair_keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Explode ``spec.path`` of the parsed ``document`` into rows (narrow, no shuffle)."""
+    """Explode ``spec.path`` of the parsed ``document`` into rows (narrow, no shuffle).
+
+    ``repair_keys`` also repairs orphaned ends, as :func:`reopen_orphans` with these keys does, but without
+    its join: for tables that hold *one document per key* (as after a dedup by key), where an interval's
+    successor can only stand in the same array. One-level histories with an end only.
+    """
     carried = [F.col(c) for c in carry]
-    out = _explode_step(df, carried, F.col(f"{document}.{spec.path[0]}"), spec.outer)
+    array = F.col(f"{document}.{spec.path[0]}")
+    if repair_keys is not None:
+        if len(spec.path) > 1 or not spec.start or not spec.end:
+            raise ValueError(f"history {spec.name!r} cannot be repaired inside its documents")
+        out = _explode_step(df, carried, _with_repaired_ends(array, spec, on_error), spec.outer)
+        element = f"{_ELEM}.element"
+        keyed = reduce(and_, [F.col(k).isNotNull() for k in repair_keys])
+        return out.select(
+            *carried,
+            *(f.column(element, on_error) for f in spec.fields),
+            parse_int(F.col(f"{element}.{spec.start}"), on_error).alias(spec.start_col),
+            F.when(keyed, F.col(f"{_ELEM}.end")).alias(spec.end_col),
+        )
+    out = _explode_step(df, carried, array, spec.outer)
     for step in spec.path[1:]:
         out = _explode_step(out, carried, F.col(f"{_ELEM}.{step}"), spec.outer)
     cols = [*carried, *(f.column(_ELEM, on_error) for f in spec.fields)]

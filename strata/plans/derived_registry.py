@@ -215,7 +215,8 @@ def q_registry_share_series(spark, sf_dir):
 
 
 def q_registry_full_history(spark, sf_dir):
-    return R.full_history(silver_tables(spark, sf_dir))
+    parsed = parsed_documents(spark, sf_dir)
+    return R.full_history(R.silver(None, parsed=parsed), repaired=R.repaired_in_documents(parsed))
 
 
 def q_registry_shares_issues(spark, sf_dir):
@@ -227,7 +228,9 @@ def q_registry_amendments(spark, sf_dir):
 
 
 def q_registry_current_info(spark, sf_dir):
-    return R.current_info_direct(silver_tables(spark, sf_dir), tie_break=full_history_tie_break())
+    parsed = parsed_documents(spark, sf_dir)
+    repaired = R.repaired_in_documents(parsed)
+    return R.current_info_direct(R.silver(None, parsed=parsed), full_history_tie_break(), repaired)
 
 
 QUERIES = {

@@ -264,7 +264,23 @@ def repair_histories(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {n: (reopen_orphans(df, [KEY]) if n in closed else df) for n, df in tables.items() if n != "registry"}
 
 
-def current_info_direct(tables: Mapping[str, DataFrame], tie_break: Sequence[str] = ()) -> DataFrame:
+def repaired_in_documents(parsed: DataFrame, on_error: str = "fail") -> dict[str, DataFrame]:
+    """The 16 gold histories of parsed documents with H1 applied while they are exploded: no join, no shuffle.
+
+    Only for documents that are one per entity (bronze output): then all intervals of an entity stand in one
+    array. Silver tables read back, or several documents per entity, take :func:`repair_histories`.
+    """
+    wanted = {name for name, _, _ in GOLD_JOINS}
+    return {
+        spec.name: explode_history(parsed, spec, carry=CARRY, on_error=on_error, repair_keys=[KEY])
+        for spec in silver_specs()
+        if spec.name in wanted
+    }
+
+
+def current_info_direct(
+    tables: Mapping[str, DataFrame], tie_break: Sequence[str] = (), repaired: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """T6 without building the whole full history first.
 
     The latest full-history row of an entity can only come from its timeline rows
@@ -276,10 +292,10 @@ def current_info_direct(tables: Mapping[str, DataFrame], tie_break: Sequence[str
     """
     timeline = tables["registry"]
     entry, key = F.col("__strata_last"), F.col("__strata_key")
+    repaired = repair_histories(tables) if repaired is None else repaired
     last = timeline.groupBy(F.col(KEY).alias("__strata_key")).agg(F.max("entry_number").alias("__strata_last"))
     on = F.col(KEY).eqNullSafe(key) & F.col("entry_number").eqNullSafe(entry)
     out = timeline.join(last, on, "left_semi").select(*TIMELINE_OUTPUT)
-    repaired = repair_histories(tables)
     for table, cols, prefix in GOLD_JOINS:
         spec = AsOfSpec(repaired[table], cols, prefix)
         start, end = F.col("valid_from_entry"), F.col("valid_to_entry")
@@ -297,9 +313,14 @@ class GoldOutputs:
     current_info: DataFrame
 
 
-def full_history(tables: Mapping[str, DataFrame], bin_width: int = DEFAULT_BIN_WIDTH) -> DataFrame:
-    """Timeline (6 columns) with the 16 repaired histories attached, 43 columns."""
-    repaired = repair_histories(tables)
+def full_history(
+    tables: Mapping[str, DataFrame],
+    bin_width: int = DEFAULT_BIN_WIDTH,
+    repaired: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Timeline (6 columns) with the 16 repaired histories attached, 43 columns. ``repaired`` takes
+    histories repaired already (:func:`repaired_in_documents`); otherwise each is repaired by a join."""
+    repaired = repair_histories(tables) if repaired is None else repaired
     base = tables["registry"].select(*TIMELINE_OUTPUT)
     specs = [AsOfSpec(repaired[t], cols, prefix) for t, cols, prefix in GOLD_JOINS]
     return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_width=bin_width)
@@ -334,18 +355,19 @@ def gold(
     stage_path: str | None = None,
     stage: bool = True,
     current_from: str = "full",
+    repaired: Mapping[str, DataFrame] | None = None,
 ) -> GoldOutputs:
     """T3-T6. With ``stage`` the full history is written once to the shared folder
     and its export and current info read that copy (L3/L4). ``current_from="latest"``
     computes current info with :func:`current_info_direct` instead (joins only the
     latest timeline rows; cheaper when the full history fans out a lot)."""
-    full = full_history(tables, bin_width)
+    full = full_history(tables, bin_width, repaired)
     if stage:
         full = materialize(full, stage_path)
     if current_from == "full":
         current = current_info(full, tie_break)
     elif current_from == "latest":
-        current = current_info_direct(tables, tie_break)
+        current = current_info_direct(tables, tie_break, repaired)
     else:
         raise ValueError("current_from must be 'full' or 'latest'")
     return GoldOutputs(full, shares_issues(tables), amendments(tables), current)
@@ -407,30 +429,47 @@ def run_bronze(raw: DataFrame, out_root: str, fmt: str = "parquet", keep: str =
     return path
 
 
+def stage_documents(spark, out_root: str, fmt: str = "parquet") -> str:
+    """Bronze parsed once into a staged copy clustered by entity (one shuffle); the caller releases it."""
+    staged = fresh_path(spark, "parsed")
+    documents = cluster(spark.read.format(fmt).load(f"{out_root}/bronze"), None, [KEY])
+    write_table(normalise(documents), staged, fmt, overwrite_schema=True)
+    return staged
+
+
 def run_silver(
     spark,
     out_root: str,
     fmt: str = "parquet",
     on_error: str = "fail",
     num_partitions: int | None = None,
+    staged: str | None = None,
 ) -> None:
-    """Parse bronze once into a staged copy clustered by entity (the only shuffle); all 21 silver tables
-    come from it, each branch reading only its nested column. The copy is deleted afterwards."""
-    staged = fresh_path(spark, "parsed")
-    documents = cluster(spark.read.format(fmt).load(f"{out_root}/bronze"), None, [KEY])
-    parsed = normalise(documents)
-    write_table(parsed, staged, fmt, overwrite_schema=True)
+    """All 21 silver tables from one staged parse, each branch reading only its nested column. Without
+    ``staged`` the copy is made here and deleted afterwards."""
+    path = staged or stage_documents(spark, out_root, fmt)
     try:
-        tables = silver(None, on_error, parsed=spark.read.format(fmt).load(staged))
+        tables = silver(None, on_error, parsed=spark.read.format(fmt).load(path))
         write_silver(tables, f"{out_root}/silver", num_partitions, fmt, clustered=True)
     finally:
-        release(spark, staged)
+        if staged is None:
+            release(spark, path)
 
 
 def run_gold(
-    spark, out_root: str, fmt: str = "parquet", bin_width: int = DEFAULT_BIN_WIDTH, tie_break: Sequence[str] = ()
+    spark,
+    out_root: str,
+    fmt: str = "parquet",
+    bin_width: int = DEFAULT_BIN_WIDTH,
+    tie_break: Sequence[str] = (),
+    on_error: str = "fail",
+    staged: str | None = None,
 ) -> dict[str, str]:
-    out = gold(read_silver(spark, f"{out_root}/silver", fmt), bin_width, tie_break, f"{out_root}/gold/full_history")
+    """Gold from the silver tables. With the ``staged`` parse of bronze the histories come from it, repaired
+    as they are exploded; without, silver is read back and repaired by joins. Same rows."""
+    repaired = repaired_in_documents(spark.read.format(fmt).load(staged), on_error) if staged else None
+    tables = read_silver(spark, f"{out_root}/silver", fmt)
+    out = gold(tables, bin_width, tie_break, f"{out_root}/gold/full_history", repaired=repaired)
     paths = {"full_history": f"{out_root}/gold/full_history"}
     names = ("shares_issues", "amendments", "current_info")
     paths.update({name: f"{out_root}/gold/{name}" for name in names})
@@ -450,5 +489,9 @@ def run(
     """Bronze -> silver -> gold over ``raw`` (id, krs_number, raw_data), writing every layer."""
     spark = raw.sparkSession
     run_bronze(raw, out_root, fmt)
-    run_silver(spark, out_root, fmt, on_error, num_partitions)
-    return run_gold(spark, out_root, fmt, bin_width, tie_break)
+    staged = stage_documents(spark, out_root, fmt)
+    try:
+        run_silver(spark, out_root, fmt, on_error, num_partitions, staged)
+        return run_gold(spark, out_root, fmt, bin_width, tie_break, on_error, staged)
+    finally:
+        release(spark, staged)

@@ -213,3 +213,54 @@ def test_current_info_direct_keeps_rows_without_a_key_and_several_documents_per_
     tie = ["company_name"]
     got, want = R.current_info_direct(tables, tie), R.current_info(R.full_history(tables), tie)
     assert got.columns == want.columns and rows(got) == rows(want) and want.count() == 2
+
+
+def test_repair_inside_documents_equals_the_join(spark):
+    import random
+
+    draw = random.Random(7)
+    docs = []
+    for i in range(40):  # empty, short and long histories; ends with, without and before a start; repeats
+        n = draw.choice([0, 1, 2, 5, 40])
+        spans = [(f"n{j}", draw.randint(1, 30), draw.choice([None, draw.randint(1, 30)])) for j in range(n)]
+        docs.append((i, None if i % 9 == 0 else f"K{i}", document(ENTRIES_9, names=spans, units=spans or None)))
+    docs += [(90, "bad", "{"), (91, "void", None)]
+    parsed = R.normalise(spark.createDataFrame(docs, "source_id long, company_krs string, raw_json string"))
+    tables = R.silver(None, parsed=parsed)
+    got, want = R.repaired_in_documents(parsed), R.repair_histories(tables)
+    assert set(got) == {name for name, _, _ in R.GOLD_JOINS}
+    for name in ("names", "total_shares_units", "address"):
+        assert got[name].dtypes == want[name].dtypes and rows(got[name]) == rows(want[name]), name
+    assert "Join" not in got["names"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repair_inside_a_long_document_is_not_quadratic(spark):
+    n = 60_000  # an array_contains per element would take minutes
+    doc = document([(1, "01.01.2020")], names=[(f"n{i}", 2 * i, 2 * i + 2 - i % 2) for i in range(n)])
+    parsed = R.normalise(spark.createDataFrame([(1, "K", doc)], "source_id long, company_krs string, raw_json string"))
+    got = R.repaired_in_documents(parsed)["names"].where("valid_to_entry IS NOT NULL")
+    assert got.count() == n // 2
+
+
+def test_full_history_from_documents_repairs_without_exchanges(spark):
+    """Per history one exchange to the occupied nodes and one to the bins, besides three of the timeline;
+    the join form of the repair adds two for each."""
+    from strata.plans import derived_registry as D
+
+    parsed = D.parsed_documents(spark, "/root/testdata/sf0.001")
+    tables = R.silver(None, parsed=parsed)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        counts = [
+            sum("Exchange hashpartitioning" in line and "Reused" not in line for line in plan.splitlines())
+            for plan in (
+                R.full_history(tables, repaired=r)._jdf.queryExecution().executedPlan().toString()
+                for r in (R.repaired_in_documents(parsed), None)
+            )
+        ]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert counts[0] <= 2 * len(R.GOLD_JOINS) + 3 and counts[1] == counts[0] + 2 * len(R.GOLD_JOINS)
