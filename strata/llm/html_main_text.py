@@ -7,16 +7,19 @@ Menus, adverts and notices look and read alike on many pages and score low; an e
 importance combines its own presentation with its children's importance, bottom up. Branches of low
 importance are removed from every page of the host.
 
-Three guards keep main text whole: a host with fewer than ``MIN_PAGES`` pages showing the element
-proves nothing; prose elements of an ``article`` or ``main`` are never removed; nor is a branch that
+Three guards keep main text whole: an element shown on fewer than ``MIN_PAGES`` pages, or on less than
+``MIN_SHARE`` of its host's, proves nothing (full importance, never removed); prose elements of an ``article`` or ``main`` are never removed; nor is a branch that
 holds ``MAX_SHARE`` or more of the host's text (many copies of one article make it look like a
 template). Elements that declare what they are (nav, header, footer, aside, form, script, classes such
 as ``ad`` or ``comments``) go on any host. Where a page has an ``article`` or ``main``, only its text is
 taken.
 
 Scale: texts leave the tasks as hashes and counts, aggregated per (host, path, text) with partial
-sums, so a hot host spreads over its texts; one host's merged tree (paths, not pages) is scored in one
-group, and each host's removed paths join its pages (a skew join on the host if it is large).
+sums, so a hot host spreads over its texts. Only the elements that can prove anything are scored, one host
+in one group; the others are summed up under their parent before. As each is on ``MIN_SHARE`` of the pages,
+a host has at most (elements a page has on average) / ``MIN_SHARE`` of them, however many pages and
+page-specific elements it has. Each host's removed paths join its pages (a skew join on the host if it is
+large).
 
 Defined cases: null html is an empty page and null or unusable URLs share the host ``''``; unclosed and
 stray tags are tolerated (an ``article`` opened inside an unclosed dropped element still counts);
@@ -40,7 +43,8 @@ from pyspark.sql import types as T
 
 from .common import materialize
 
-MIN_PAGES, MIN_IMPORTANCE, MAX_SHARE, DECAY = 8, 0.2, 0.3, 0.9
+MIN_PAGES, MIN_SHARE, MIN_IMPORTANCE, MAX_SHARE, DECAY = 8, 0.001, 0.2, 0.3, 0.9
+SALTS = 16  # tasks that a host's elements are spread over when they meet its page count
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -191,20 +195,23 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             about = {e.path: (e.up.path if e.up else 0, e.prose) for e in page.elements}
             styles = Counter((e.path, _signed(repr(e.children).encode())) for e in page.elements)
             contents: Counter = Counter()
-            chars: Counter = Counter()
+            inside: Counter = Counter()  # characters in an element, those of its children included
             for text, e in page.blocks:
-                place = (e.path, _signed(text.encode("utf-8", "replace")))
-                contents[place] += 1
-                chars[place] += len(text)
-            rows += [(host, p, *about[p], PRESENCE, 0, 1, 0) for p in about]
+                contents[e.path, _signed(text.encode("utf-8", "replace"))] += 1
+                inside[e] += len(text)
+            chars: Counter = Counter()
+            for e in reversed(page.elements):  # children come after their parents
+                chars[e.path] += inside[e]
+                inside[e.up] += inside[e]
+            rows += [(host, p, *about[p], PRESENCE, 0, 1, chars[p]) for p in about]
             rows += [(host, p, *about[p], STYLE, f, n, 0) for (p, f), n in styles.items()]
-            rows += [(host, p, *about[p], CONTENT, f, n, chars[p, f]) for (p, f), n in contents.items()]
+            rows += [(host, p, *about[p], CONTENT, f, n, 0) for (p, f), n in contents.items()]
         columns = list(zip(*rows)) or [()] * len(schema)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def _low_branches(key: tuple, tree: pd.DataFrame) -> pd.DataFrame:
-    """The paths of one host whose branches go. ``tree``: a row per merged element."""
+    """The paths of one host whose branches go. ``tree``: a row per element that :func:`scored` keeps."""
     rows = {int(r["path"]): r for r in tree.to_dict("records")}
     children: dict[int, list[int]] = {}
     for p, r in rows.items():
@@ -215,33 +222,28 @@ def _low_branches(key: tuple, tree: pd.DataFrame) -> pd.DataFrame:
         p = stack.pop()
         order.append(p)
         stack += children.get(p, ())
-    importance, chars = {}, {}
-    for p in reversed(order):
+    importance: dict[int, float] = {}
+    for p in reversed(order[1:]):
         r, below = rows[p], children.get(p, [])
-        chars[p] = r["chars"] + sum(chars[c] for c in below)
-        if r["pages"] < 2:
-            importance[p] = 1.0
-            continue
         unit = math.log(r["pages"])
+        # (weight, importance): the children scored, those that prove nothing, the element's own texts
         parts = [(rows[c]["occurrences"], importance[c]) for c in below]
-        if r["texts"]:
-            parts.append((r["occurrences"], min(1.0, max(0.0, 1 - r["spread"] / unit / r["texts"]))))
+        parts += [(r["rare_occurrences"], 1.0)] if r["rare"] else []
+        parts += [(r["occurrences"], min(1.0, max(0.0, 1 - r["spread"] / unit / r["texts"])))] if r["texts"] else []
         looks = min(1.0, max(0.0, r["style"] / unit))
         if parts:
             inner = sum(w * i for w, i in parts) / sum(w for w, _ in parts)
-            fade = DECAY ** len(parts) if below else 0.0
+            n_parts = len(below) + r["rare"] + (r["texts"] > 0)
+            fade = DECAY**n_parts if below or r["rare"] else 0.0
             importance[p] = fade * looks + (1 - fade) * inner
         else:
             importance[p] = looks
-    whole = max(1, chars.get(0, 0))
     low = [
         p
-        for p in order
-        if p
-        and not rows[p]["kept"]
-        and rows[p]["pages"] >= MIN_PAGES
+        for p in order[1:]
+        if not rows[p]["kept"]
         and importance[p] < MIN_IMPORTANCE
-        and chars[p] < MAX_SHARE * whole
+        and rows[p]["chars"] < MAX_SHARE * max(1, rows[0]["chars"])
     ]
     return pd.DataFrame([(key[0], low)] if low else [], columns=["host", "low"])
 
@@ -252,7 +254,8 @@ def host(url: Column) -> Column:
 
 def style_tree(pages: DataFrame) -> DataFrame:
     """The merged tree: a row per (host, path) with parent, kept (never removed), pages, occurrences, texts,
-    spread (summed entropy of its texts over pages, in nats), style (entropy of its presentations), chars."""
+    spread (summed entropy of its texts over pages, in nats), style (entropy of its presentations), chars
+    (of all text in it)."""
     log = F.log(F.col("n").cast("double"))
     features = (
         pages.select(host(F.col("url")).alias("host"), "html")
@@ -288,8 +291,33 @@ def style_tree(pages: DataFrame) -> DataFrame:
     )
 
 
+def scored(tree: DataFrame, pages: DataFrame) -> DataFrame:
+    """The rows of ``tree`` on enough pages to be scored (and each host's root), with the number of their
+    children that are not, ``rare``, and those children's ``rare_occurrences``."""
+    hosts = (
+        pages.groupBy(host(F.col("url")).alias("page_host"))
+        .agg(F.count("*").alias("host_pages"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    salted = (F.col("host") == F.col("page_host")) & (F.pmod("path", F.lit(SALTS)) == F.col("salt"))
+    least = F.greatest(F.lit(float(MIN_PAGES)), F.col("host_pages") * MIN_SHARE)
+    is_scored = (F.col("path") == 0) | (F.col("pages") >= least)
+    own = [c for c in tree.columns if c not in ("host", "path")]
+    return (
+        tree.join(hosts, salted)
+        .withColumn("scored", is_scored)
+        .groupBy("host", F.when(F.col("scored"), F.col("path")).otherwise(F.col("parent")).alias("path"))
+        .agg(
+            *[F.max(F.when(F.col("scored"), F.col(c))).alias(c) for c in own],
+            F.count_if(~F.col("scored")).alias("rare"),
+            F.sum(F.when(F.col("scored"), 0).otherwise(F.col("occurrences"))).alias("rare_occurrences"),
+        )
+        .where(F.col("pages").isNotNull())
+    )
+
+
 def low_branches(tree: DataFrame) -> DataFrame:
-    """(host, low): the paths to remove, a row per host that has any."""
+    """(host, low): the paths to remove, a row per host that has any. ``tree``: rows of :func:`scored`."""
     return tree.groupBy("host").applyInPandas(_low_branches, "host string, low array<long>")
 
 
@@ -301,7 +329,7 @@ def _texts(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) as page_id, url, text: blocks joined by an empty line."""
-    low = materialize(low_branches(style_tree(pages))).withColumnRenamed("host", "low_host")
+    low = materialize(low_branches(scored(style_tree(pages), pages))).withColumnRenamed("host", "low_host")
     text = F.arrow_udf(_texts, T.StringType())
     return pages.join(low, host(F.col("url")) == F.col("low_host"), "left").select(
         "page_id", "url", text("html", "low").alias("text")

@@ -397,6 +397,28 @@ def test_style_tree_removes_templates(spark, none):
     assert html_main_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_style_tree_scores_only_recurring_elements(spark):
+    """Elements of single pages are summed up under their parent: what a host's group holds does not grow."""
+    rng = random.Random(8)
+
+    def name():
+        return "".join(rng.choice("ghijk") for _ in range(12))
+
+    def page():
+        own = "".join(f"<div id={name()}><p>{words(rng, 12, 4000)}</p></div>" for _ in range(20))
+        return f"<body><div class=strip>Same words everywhere</div><div class=story>{own}</div></body>"
+
+    made = spark.createDataFrame([(i, "https://h.example/", page()) for i in range(40)], "page_id long, url string, html string")
+    tree = html_main_text.style_tree(made)
+    assert tree.count() == 3 + 40 * 20 * 2  # root, strip, story and the pages' own
+    kept = {r["path"]: r for r in html_main_text.scored(tree, made).collect()}
+    assert len(kept) == 3 and sorted(r["rare"] for r in kept.values()) == [0, 0, 800]
+    whole = kept[0]["chars"]
+    assert whole == sum(r["chars"] for p, r in kept.items() if p)
+    texts = [r["text"] for r in html_main_text.extract(made).collect()]
+    assert all("Same words" not in t and t.count("\n\n") == 19 for t in texts)
+
+
 # ---------------------------------------------------------------- 9 token files
 
 
