@@ -1,8 +1,8 @@
 """License scan with ordered signature rules (operator 4).
 
 Rules are regular expressions over a text's words (joined by single spaces). Each has a priority, a
-confidence and keywords: one Aho-Corasick pass finds the keywords of all rules, and only rules whose
-keywords all occur are run. Overlapping detections are resolved in order of priority, then length:
+confidence and gates: one Aho-Corasick pass finds the keywords of all rules, and only rules with a keyword
+of every gate in the text are run. Overlapping detections are resolved in order of priority, then length:
 one lying inside an interval already kept is suppressed. The rules are every license name of
 ``NAMES`` in every phrase of ``PHRASES`` (hundreds).
 
@@ -35,15 +35,15 @@ WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 o
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 BASE_CONFIDENCE = 0.5
 
-# label, keyword, name as a pattern over words
+# label, keywords (any of them; each alternative of the name contains one), name as a pattern over words
 NAMES = [
     ("apache-1.1", "apache", r"apache(?: software)?(?: license)?(?: version| v)? ?1 1"),
     ("apache-2.0", "apache", r"apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
     ("apache", "apache", r"apache(?: software)?(?: public)?"),
     ("mit", "mit", r"mit(?: x11| expat)?"),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|two clause bsd|freebsd)"),
+    ("bsd-2-clause", "bsd|freebsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|two clause bsd|freebsd)"),
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd)"),
-    ("bsd", "bsd", r"(?:berkeley software distribution|bsd)"),
+    ("bsd", "bsd|berkeley", r"(?:berkeley software distribution|bsd)"),
     ("gpl-1.0", "g", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?1(?: 0)?"),
     ("gpl-2.0", "g", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?2(?: 0)?"),
     ("gpl-3.0", "g", r"(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?3(?: 0)?"),
@@ -95,18 +95,19 @@ class Rule(NamedTuple):
     priority: int
     label: str
     confidence: float
-    keywords: frozenset[str]
+    gates: frozenset[frozenset[str]]  # of each, one keyword must occur
     pattern: re.Pattern[bytes]
 
 
 def _rules() -> list[Rule]:
     out = []
-    for label, keyword, name in NAMES:
+    for label, keywords, name in NAMES:
         for priority, confidence, own, around in PHRASES:
             # a keyword of one letter stands for several spellings: the phrase's keyword gates alone
-            keys = frozenset([own, f" {keyword}"] if len(keyword) > 1 else [own])
+            names = [frozenset(f" {k}" for k in keywords.split("|"))] if len(keywords) > 1 else []
+            gates = frozenset([frozenset([own]), *names])
             pattern = re.compile(f"(?<= ){around.format(name=name)}(?= )".encode())
-            out.append(Rule(priority, label, confidence, keys, pattern))
+            out.append(Rule(priority, label, confidence, gates, pattern))
     return out
 
 
@@ -114,7 +115,8 @@ class Scanner:
     def __init__(self) -> None:
         self.rules = _rules()
         self.keywords = ahocorasick.Automaton()
-        for k in sorted({k for r in self.rules for k in r.keywords}):
+        self.gates = {gate for r in self.rules for gate in r.gates}
+        for k in sorted({k for gate in self.gates for k in gate}):
             self.keywords.add_word(k, k)
         self.keywords.make_automaton()
 
@@ -123,10 +125,11 @@ class Scanner:
         present = {k for _, k in self.keywords.iter(joined.decode("latin-1"))}
         if not present:
             return []
+        passed = {gate for gate in self.gates if not gate.isdisjoint(present)}
         found = [
             (r.priority, m.start() - m.end(), m.start(), r.label, r.confidence)
             for r in self.rules
-            if r.keywords <= present
+            if r.gates <= passed
             for m in r.pattern.finditer(joined)
         ]
         kept: list[tuple[int, int, str, float]] = []

@@ -8,6 +8,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from re import _constants, _parser
 
 import numpy as np
 import pytest
@@ -345,6 +346,39 @@ def test_suppression_equals_all_intervals():
         assert [d[:3] for d in scanner.detect(joined)] == kept
 
 
+def alternatives(parsed):
+    """Strings a pattern matches, each of its alternatives in one of them at least."""
+    parts = []
+    for op, arg in parsed:
+        if op is _constants.LITERAL:
+            parts.append([chr(arg)])
+        elif op is _constants.IN:
+            parts.append([chr(c) for kind, a in arg for c in ([a] if kind is _constants.LITERAL else range(a[0], a[1] + 1))])
+        elif op is _constants.BRANCH:
+            parts.append([s for branch in arg[1] for s in alternatives(branch)])
+        elif op is _constants.SUBPATTERN:
+            parts.append(alternatives(arg[3]))
+        elif op is _constants.MAX_REPEAT:
+            assert arg[:2] == (0, 1)
+            parts.append(["", *alternatives(arg[2])])
+        else:
+            assert op is _constants.ASSERT
+    first = [p[0] for p in parts]
+    return ["".join([*first[:i], s, *first[i + 1 :]]) for i, p in enumerate(parts) for s in p]
+
+
+def test_every_alternative_passes_its_gates():
+    scanner = licenses.Scanner()
+    for rule in scanner.rules:
+        for s in alternatives(_parser.parse(rule.pattern.pattern.decode())):
+            joined = f" {s.strip()} "
+            assert rule.pattern.search(joined.encode()), (rule, s)
+            present = {k for _, k in scanner.keywords.iter(joined)}
+            assert all(gate & present for gate in rule.gates), (rule, s)
+    assert scanner.scan(b"Licensed under the FreeBSD license")["labels"] == "bsd-2-clause"
+    assert scanner.scan(b"distributed under the Berkeley Software Distribution license")["labels"] == "bsd"
+
+
 def test_many_detections_in_one_text():
     got = licenses.Scanner().scan(b"cc by and licensed under the mit license " * 30_000)
     assert got["n_base"] == 30_000 and got["last_word"] == 8 * 29_999 and len(got["spans"]) == 30_000
