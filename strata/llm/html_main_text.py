@@ -22,7 +22,8 @@ page-specific elements it has. Each host's removed paths join its pages (a skew
 large).
 
 Defined cases: null html is an empty page and null or unusable URLs share the host ``''``; unclosed and
-stray tags are tolerated (an ``article`` opened inside an unclosed dropped element still counts);
+stray tags are tolerated (a ``head`` ends where something begins that it cannot hold; an ``article`` opened
+inside an unclosed dropped element still counts);
 repeated pages are extracted each; an empty table gives an empty result.
 """
 
@@ -64,6 +65,8 @@ NAMED = frozenset(
     "share sharing social related newsletter subscribe popup modal widget pagination".split()
 )
 
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript script style template".split())
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
     r"|</([a-zA-Z][^\s/>]*)[^>]*>"
@@ -114,7 +117,15 @@ class Page:
         self._add(source[at:])
         self._flush()
 
+    def _end_head(self) -> None:
+        """A head ends, closed or not, where something begins that it cannot hold."""
+        if self._stack[-1].tag == "head":
+            self._flush()
+            self._stack.pop()
+
     def _add(self, text: str) -> None:
+        if self._stack[-1].tag == "head" and not text.isspace():
+            self._end_head()
         if not self._stack[-1].dropped:
             self._text.append(entities.unescape(text))
 
@@ -125,6 +136,8 @@ class Page:
             self.blocks.append((text, self._stack[-1]))
 
     def _open(self, tag: str, rest: str) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag == "br" or tag in ("td", "th"):
             self._add(" ")
         if tag in VOID:

@@ -407,6 +407,17 @@ def test_page_text():
     assert html_main_text.Page(deep).text() == "x"
 
 
+def test_head_without_end_tag():
+    for page in (
+        "<html><head><meta charset=utf-8><title>T</title><body><div><p>text</p></div></body>",
+        "<head><title>T</title><style>p{}</style>\n<p>text",
+        "<head><title>T</title>text",
+        "<head><title>T</title><b>te</b>xt",
+        "<head><title>T</title></head><body>text",
+    ):
+        assert html_main_text.Page(page).text() == "text", page
+
+
 def test_deeply_nested_page():
     page = html_main_text.Page("<div class=a>x" * 30_000)
     assert page.text() == "\n\n".join("x" * 30_000)
