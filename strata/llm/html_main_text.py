@@ -23,7 +23,7 @@ large).
 
 Defined cases: null html is an empty page and null or unusable URLs share the host ``''``; unclosed and
 stray tags are tolerated (a ``head`` ends where something begins that it cannot hold; an ``article`` opened
-inside an unclosed dropped element still counts);
+inside dropped elements counts if none of them but a ``form`` has an end tag, and leaves the other text in);
 repeated pages are extracted each; an empty table gives an empty result.
 """
 
@@ -65,6 +65,7 @@ NAMED = frozenset(
     "share sharing social related newsletter subscribe popup modal widget pagination".split()
 )
 
+MAIN = frozenset(("article", "main"))
 IN_HEAD = frozenset("base basefont bgsound link meta title noscript script style template".split())
 
 _TAG = re.compile(
@@ -79,11 +80,19 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 
 
 class _Element:
-    __slots__ = ("tag", "path", "up", "dropped", "inside", "prose", "children")
-
-    def __init__(self, tag: str, path: int, up: _Element | None, dropped: bool, inside: bool, prose: bool):
-        self.tag, self.path, self.up = tag, path, up
-        self.dropped, self.inside, self.prose = dropped, inside, prose
+    """``up``: the element around it. ``shown``: the nearest one around it that is not dropped. ``drops``:
+    declares itself dropped. ``under``: the nearest around it that does. ``lost``: such an element has an end tag,
+    or one around it has."""
+
+    __slots__ = ("tag", "path", "up", "shown", "drops", "under", "lost", "dropped", "inside", "prose", "children")
+
+    def __init__(self, tag: str, path: int, up: _Element | None, drops: bool, inside: bool, prose: bool):
+        self.tag, self.path, self.up, self.drops = tag, path, up, drops
+        self.shown = up.shown if up and up.dropped else up
+        self.under = up if up and up.drops else up and up.under
+        self.lost = False
+        self.dropped = drops or bool(up and up.dropped and tag not in MAIN)
+        self.inside, self.prose = inside, prose
         self.children: list[int] = []
 
 
@@ -100,6 +109,7 @@ class Page:
         self.elements = [root]
         self.blocks: list[tuple[str, _Element]] = []
         self._stack, self._text = [root], []
+        self._drops: list[_Element] = []
         at = 0
         while m := _TAG.search(source, at):
             if m.start() > at:
@@ -116,6 +126,13 @@ class Page:
                 self._close(m[1].lower())
         self._add(source[at:])
         self._flush()
+        for e in self._drops:
+            e.lost = e.lost or bool(e.under and e.under.lost)
+        if any(e.lost for e in self._drops):
+            self.elements = [e for e in self.elements if not (e.under and e.under.lost)]
+            self.blocks = [(text, e) for text, e in self.blocks if not (e.under and e.under.lost)]
+        for e in self.elements[1:]:
+            e.shown.children.append(e.path)
 
     def _end_head(self) -> None:
         """A head ends, closed or not, where something begins that it cannot hold."""
@@ -157,15 +174,15 @@ class Page:
         up = self._stack[-1]
         if rest.endswith("/>") and tag not in ("p", "div", "article", "section"):
             return
-        key = f"{tag}.{' '.join(sorted(named.get('class', '').split()))}#{named.get('id', '')}"
+        # the path tells which elements are dropped, so one path has one parent
+        key = f"{'!' * drops}{tag}.{' '.join(sorted(named.get('class', '').split()))}#{named.get('id', '')}"
         path = _signed(up.path.to_bytes(8, "big", signed=True) + _DIGITS.sub("0", key).encode("utf-8", "replace"))
-        main = tag in ("article", "main")
+        main = tag in MAIN
         inside = main or up.inside
-        new = _Element(
-            tag, path, up, drops or (up.dropped and not main), inside, main or (inside and tag in PROSE)
-        )
+        new = _Element(tag, path, up, drops, inside, main or (inside and tag in PROSE))
+        if drops:
+            self._drops.append(new)
         if not new.dropped:
-            up.children.append(path)
             self.elements.append(new)
         self._stack.append(new)
 
@@ -173,11 +190,12 @@ class Page:
         for i in range(len(self._stack) - 1, 0, -1):
             if self._stack[i].tag == tag:
                 self._flush()
+                self._stack[i].lost = self._stack[i].drops and tag != "form"  # some sites' forms hold the whole page
                 del self._stack[i:]
                 return
 
     def text(self, removed: frozenset[int] = frozenset()) -> str:
-        only = any(e.inside for _, e in self.blocks)
+        only = any(e.inside and not e.under for _, e in self.blocks)
         known: dict[_Element | None, bool] = {None: False}
 
         def gone(element: _Element) -> bool:
@@ -205,7 +223,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
-            about = {e.path: (e.up.path if e.up else 0, e.prose) for e in page.elements}
+            about = {e.path: (e.shown.path if e.shown else 0, e.prose) for e in page.elements}
             styles = Counter((e.path, _signed(repr(e.children).encode())) for e in page.elements)
             contents: Counter = Counter()
             inside: Counter = Counter()  # characters in an element, those of its children included
@@ -215,7 +233,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chars: Counter = Counter()
             for e in reversed(page.elements):  # children come after their parents
                 chars[e.path] += inside[e]
-                inside[e.up] += inside[e]
+                inside[e.shown] += inside[e]
             rows += [(host, p, *about[p], PRESENCE, 0, 1, chars[p]) for p in about]
             rows += [(host, p, *about[p], STYLE, f, n, 0) for (p, f), n in styles.items()]
             rows += [(host, p, *about[p], CONTENT, f, n, 0) for (p, f), n in contents.items()]

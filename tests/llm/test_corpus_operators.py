@@ -407,6 +407,22 @@ def test_page_text():
     assert html_main_text.Page(deep).text() == "x"
 
 
+def test_articles_in_dropped_elements():
+    def text(page):
+        return html_main_text.Page(page).text()
+
+    assert text("<div><p>story</p></div><aside><article><p>teaser</p></article></aside>") == "story"
+    comments = "<section class=comments><article><p>reader comment</p></article></section>"
+    assert text(comments) == "" and text(f"<article><p>story</p>{comments}</article>") == "story"
+    assert text("<div>intro</div><nav>menu<article><p>in</article>") == "intro\n\nin"
+    assert text("<nav>menu<article>in<aside><article>teaser</article></aside>") == "in"
+    assert text("<aside><nav>menu<article>teaser</article></aside><p>story") == "story"
+    assert text("<form><div>search<article>story</article></div></form>") == "story"
+    deep = html_main_text.Page("<aside><article>x" * 30_000)
+    assert deep.text() == "\n\n".join("x" * 30_000)
+    assert html_main_text.Page("<aside>" + "<aside><article>x" * 30_000 + "</article></aside>" * 30_001).text() == ""
+
+
 def test_head_without_end_tag():
     for page in (
         "<html><head><meta charset=utf-8><title>T</title><body><div><p>text</p></div></body>",
