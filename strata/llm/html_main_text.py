@@ -8,11 +8,12 @@ importance combines its own presentation with its children's importance, bottom
 importance are removed from every page of the host.
 
 Three guards keep main text whole: an element shown on fewer than ``MIN_PAGES`` pages, or on less than
-``MIN_SHARE`` of its host's, proves nothing (full importance, never removed); prose elements of an ``article`` or ``main`` are never removed; nor is a branch that
+``MIN_SHARE`` of its host's, proves nothing (full importance, never removed); a branch is not removed while
+any text in it varies (by the entropy of its contents, in an ``article`` as elsewhere); nor is a branch that
 holds ``MAX_SHARE`` or more of the host's text (many copies of one article make it look like a
 template). Elements that declare what they are (nav, header, footer, aside, form, script, classes such
-as ``ad`` or ``comments``) go on any host. Where a page has an ``article`` or ``main``, only its text is
-taken.
+as ``ad`` or ``comments``) go on any host. Where a page has an ``article`` or ``main`` that is not
+removed, only its text is taken.
 
 Scale: texts leave the tasks as hashes and counts, aggregated per (host, path, text) with partial
 sums, so a hot host spreads over its texts. Only the elements that can prove anything are scored, one host
@@ -54,7 +55,6 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var ruby rt rp wbr img".split()
 )
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table tbody thead tr td th figure figcaption".split())
 DROPPED = frozenset(
     "nav header footer aside form button select option fieldset menu dialog head svg canvas object audio video math".split()
 )
@@ -84,15 +84,15 @@ class _Element:
     declares itself dropped. ``under``: the nearest around it that does. ``lost``: such an element has an end tag,
     or one around it has."""
 
-    __slots__ = ("tag", "path", "up", "shown", "drops", "under", "lost", "dropped", "inside", "prose", "children")
+    __slots__ = ("tag", "path", "up", "shown", "drops", "under", "lost", "dropped", "inside", "children")
 
-    def __init__(self, tag: str, path: int, up: _Element | None, drops: bool, inside: bool, prose: bool):
+    def __init__(self, tag: str, path: int, up: _Element | None, drops: bool, inside: bool):
         self.tag, self.path, self.up, self.drops = tag, path, up, drops
         self.shown = up.shown if up and up.dropped else up
         self.under = up if up and up.drops else up and up.under
         self.lost = False
         self.dropped = drops or bool(up and up.dropped and tag not in MAIN)
-        self.inside, self.prose = inside, prose
+        self.inside = inside
         self.children: list[int] = []
 
 
@@ -105,7 +105,7 @@ class Page:
     stands in)."""
 
     def __init__(self, source: str):
-        root = _Element("body", 0, None, False, False, False)
+        root = _Element("body", 0, None, False, False)
         self.elements = [root]
         self.blocks: list[tuple[str, _Element]] = []
         self._stack, self._text = [root], []
@@ -177,9 +177,7 @@ class Page:
         # the path tells which elements are dropped, so one path has one parent
         key = f"{'!' * drops}{tag}.{' '.join(sorted(named.get('class', '').split()))}#{named.get('id', '')}"
         path = _signed(up.path.to_bytes(8, "big", signed=True) + _DIGITS.sub("0", key).encode("utf-8", "replace"))
-        main = tag in MAIN
-        inside = main or up.inside
-        new = _Element(tag, path, up, drops, inside, main or (inside and tag in PROSE))
+        new = _Element(tag, path, up, drops, tag in MAIN or up.inside)
         if drops:
             self._drops.append(new)
         if not new.dropped:
@@ -195,7 +193,6 @@ class Page:
                 return
 
     def text(self, removed: frozenset[int] = frozenset()) -> str:
-        only = any(e.inside and not e.under for _, e in self.blocks)
         known: dict[_Element | None, bool] = {None: False}
 
         def gone(element: _Element) -> bool:
@@ -209,21 +206,23 @@ class Page:
                 low = known[e] = low or e.path in removed
             return low
 
-        return "\n\n".join(text for text, e in self.blocks if (e.inside or not only) and not gone(e))
+        stay = [(text, e) for text, e in self.blocks if not gone(e)]
+        only = any(e.inside and not e.under for _, e in stay)
+        return "\n\n".join(text for text, e in stay if e.inside or not only)
 
 
 PRESENCE, STYLE, CONTENT = 0, 1, 2
-_FEATURE = "host string, path long, parent long, kept boolean, kind int, feature long, n long, chars long"
+_FEATURE = "host string, path long, parent long, kind int, feature long, n long, chars long"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32()}
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
     schema = pa.schema([(n, kinds[k]) for n, k in (c.split() for c in _FEATURE.split(", "))])
     for batch in batches:
         rows: list[tuple] = []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
-            about = {e.path: (e.shown.path if e.shown else 0, e.prose) for e in page.elements}
+            parent = {e.path: e.shown.path if e.shown else 0 for e in page.elements}
             styles = Counter((e.path, _signed(repr(e.children).encode())) for e in page.elements)
             contents: Counter = Counter()
             inside: Counter = Counter()  # characters in an element, those of its children included
@@ -234,9 +233,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for e in reversed(page.elements):  # children come after their parents
                 chars[e.path] += inside[e]
                 inside[e.shown] += inside[e]
-            rows += [(host, p, *about[p], PRESENCE, 0, 1, chars[p]) for p in about]
-            rows += [(host, p, *about[p], STYLE, f, n, 0) for (p, f), n in styles.items()]
-            rows += [(host, p, *about[p], CONTENT, f, n, 0) for (p, f), n in contents.items()]
+            rows += [(host, p, parent[p], PRESENCE, 0, 1, chars[p]) for p in parent]
+            rows += [(host, p, parent[p], STYLE, f, n, 0) for (p, f), n in styles.items()]
+            rows += [(host, p, parent[p], CONTENT, f, n, 0) for (p, f), n in contents.items()]
         columns = list(zip(*rows)) or [()] * len(schema)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -254,13 +253,16 @@ def _low_branches(key: tuple, tree: pd.DataFrame) -> pd.DataFrame:
         order.append(p)
         stack += children.get(p, ())
     importance: dict[int, float] = {}
+    best: dict[int, float] = {}  # importance of the most important text in the branch
     for p in reversed(order[1:]):
         r, below = rows[p], children.get(p, [])
         unit = math.log(r["pages"])
+        own = min(1.0, max(0.0, 1 - r["spread"] / unit / r["texts"])) if r["texts"] else 0.0
+        best[p] = max(own, 1.0 if r["rare_chars"] else 0.0, *(best[c] for c in below))
         # (weight, importance): the children scored, those that prove nothing, the element's own texts
         parts = [(rows[c]["occurrences"], importance[c]) for c in below]
         parts += [(r["rare_occurrences"], 1.0)] if r["rare"] else []
-        parts += [(r["occurrences"], min(1.0, max(0.0, 1 - r["spread"] / unit / r["texts"])))] if r["texts"] else []
+        parts += [(r["occurrences"], own)] if r["texts"] else []
         looks = min(1.0, max(0.0, r["style"] / unit))
         if parts:
             inner = sum(w * i for w, i in parts) / sum(w for w, _ in parts)
@@ -272,8 +274,8 @@ def _low_branches(key: tuple, tree: pd.DataFrame) -> pd.DataFrame:
     low = [
         p
         for p in order[1:]
-        if not rows[p]["kept"]
-        and importance[p] < MIN_IMPORTANCE
+        if importance[p] < MIN_IMPORTANCE
+        and best[p] < MIN_IMPORTANCE
         and rows[p]["chars"] < MAX_SHARE * max(1, rows[0]["chars"])
     ]
     return pd.DataFrame([(key[0], low)] if low else [], columns=["host", "low"])
@@ -284,7 +286,7 @@ def host(url: Column) -> Column:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """The merged tree: a row per (host, path) with parent, kept (never removed), pages, occurrences, texts,
+    """The merged tree: a row per (host, path) with parent, pages, occurrences, texts,
     spread (summed entropy of its texts over pages, in nats), style (entropy of its presentations), chars
     (of all text in it)."""
     log = F.log(F.col("n").cast("double"))
@@ -294,7 +296,6 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .groupBy("host", "path", "kind", "feature")
         .agg(
             F.min("parent").alias("parent"),
-            F.max("kept").alias("kept"),
             F.sum("n").alias("c"),
             F.sum(F.col("n") * log).alias("s"),
             F.sum("chars").alias("chars"),
@@ -306,7 +307,6 @@ def style_tree(pages: DataFrame) -> DataFrame:
         features.groupBy("host", "path")
         .agg(
             F.min("parent").alias("parent"),
-            F.max("kept").alias("kept"),
             F.sum(F.when(F.col("kind") == PRESENCE, F.col("c")).otherwise(0)).alias("pages"),
             F.sum(F.when(style, F.col("c")).otherwise(0)).alias("occurrences"),
             F.sum(F.when(style, c * F.log(c)).otherwise(0.0)).alias("style_sum"),
@@ -324,7 +324,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 def scored(tree: DataFrame, pages: DataFrame) -> DataFrame:
     """The rows of ``tree`` on enough pages to be scored (and each host's root), with the number of their
-    children that are not, ``rare``, and those children's ``rare_occurrences``."""
+    children that are not, ``rare``, and those children's ``rare_occurrences`` and ``rare_chars``."""
     hosts = (
         pages.groupBy(host(F.col("url")).alias("page_host"))
         .agg(F.count("*").alias("host_pages"))
@@ -342,6 +342,7 @@ def scored(tree: DataFrame, pages: DataFrame) -> DataFrame:
             *[F.max(F.when(F.col("scored"), F.col(c))).alias(c) for c in own],
             F.count_if(~F.col("scored")).alias("rare"),
             F.sum(F.when(F.col("scored"), 0).otherwise(F.col("occurrences"))).alias("rare_occurrences"),
+            F.sum(F.when(F.col("scored"), 0).otherwise(F.col("chars"))).alias("rare_chars"),
         )
         .where(F.col("pages").isNotNull())
     )

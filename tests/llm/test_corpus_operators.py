@@ -458,6 +458,21 @@ def test_style_tree_removes_templates(spark, none):
     assert html_main_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_style_tree_decides_inside_articles(spark):
+    rng = random.Random(9)
+
+    def page(i):
+        story = "".join(f"<p>{words(rng, 30, 4000)}</p>" for _ in range(4))
+        if i % 2:  # the article is a template, the story stands beside it
+            return f"<div class=story>{story}</div><article class=teaser><p>The same teaser on each of the pages</p></article>"
+        return f"<article><h1>{words(rng, 5)}</h1>{story}<p class=letter>Get our letter</p></article>"
+
+    made = [(i, f"https://{'ab'[i % 2]}.example/{i}", page(i)) for i in range(40)]
+    got = html_main_text.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()
+    assert all("letter" not in r["text"] and "teaser" not in r["text"] for r in got)
+    assert all(r["text"].count("\n\n") == (3 if r["page_id"] % 2 else 4) for r in got)
+
+
 def test_style_tree_scores_only_recurring_elements(spark):
     """Elements of single pages are summed up under their parent: what a host's group holds does not grow."""
     rng = random.Random(8)
