@@ -7,20 +7,19 @@ Menus, adverts and notices look and read alike on many pages and score low; an e
 importance combines its own presentation with its children's importance, bottom up. Branches of low
 importance are removed from every page of the host.
 
-Three guards keep main text whole: an element shown on fewer than ``MIN_PAGES`` pages, or on less than
-``MIN_SHARE`` of its host's, proves nothing (full importance, never removed); a branch is not removed while
-any text in it varies (by the entropy of its contents, in an ``article`` as elsewhere); nor is a branch that
-holds ``MAX_SHARE`` or more of the host's text (many copies of one article make it look like a
-template). Elements that declare what they are (nav, header, footer, aside, form, script, classes such
+Three guards keep main text whole: an element shown on fewer than ``MIN_PAGES`` pages proves nothing (full
+importance, never removed); a branch is not removed while any text in it varies (by the entropy of its contents,
+in an ``article`` as elsewhere); and pages prove a branch a template only as far as they differ outside of it
+(copies of one article make it look like a template): the entropy of the other texts of its pages, those of
+``MIN_TEXT`` characters and more, must be that of ``MIN_PAGES`` different pages. Elements that declare what they are (nav, header, footer, aside, form, script, classes such
 as ``ad`` or ``comments``) go on any host. Where a page has an ``article`` or ``main`` that is not
 removed, only its text is taken.
 
 Scale: texts leave the tasks as hashes and counts, aggregated per (host, path, text) with partial
-sums, so a hot host spreads over its texts. Only the elements that can prove anything are scored, one host
-in one group; the others are summed up under their parent before. As each is on ``MIN_SHARE`` of the pages,
-a host has at most (elements a page has on average) / ``MIN_SHARE`` of them, however many pages and
-page-specific elements it has. Each host's removed paths join its pages (a skew join on the host if it is
-large).
+sums, so a hot host spreads over its texts. Elements that prove nothing are summed up under their parent. A host
+of up to ``GROUP`` others is scored in one group and its removed paths join its pages as one list. The rest are
+scored from the deepest elements up, one join on (host, path) per depth, and their removed paths join the paths
+of each page, so no task holds a host; the same rules hold for both.
 
 Defined cases: null html is an empty page and null or unusable URLs share the host ``''``; unclosed and
 stray tags are tolerated (a ``head`` ends where something begins that it cannot hold; an ``article`` opened
@@ -45,8 +44,9 @@ from pyspark.sql import types as T
 
 from .common import materialize
 
-MIN_PAGES, MIN_SHARE, MIN_IMPORTANCE, MAX_SHARE, DECAY = 8, 0.001, 0.2, 0.3, 0.9
-SALTS = 16  # tasks that a host's elements are spread over when they meet its page count
+MIN_PAGES, MIN_IMPORTANCE, MIN_TEXT, DECAY = 8, 0.2, 40, 0.9
+GROUP = 5_000  # hosts of more scored elements are not scored in one group, but depth by depth
+SALTS = 16  # tasks that a path's pages are spread over when such a host's paths meet their pages
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -84,13 +84,14 @@ class _Element:
     declares itself dropped. ``under``: the nearest around it that does. ``lost``: such an element has an end tag,
     or one around it has."""
 
-    __slots__ = ("tag", "path", "up", "shown", "drops", "under", "lost", "dropped", "inside", "children")
+    __slots__ = ("tag", "path", "up", "shown", "drops", "under", "lost", "depth", "dropped", "inside", "children")
 
     def __init__(self, tag: str, path: int, up: _Element | None, drops: bool, inside: bool):
         self.tag, self.path, self.up, self.drops = tag, path, up, drops
         self.shown = up.shown if up and up.dropped else up
         self.under = up if up and up.drops else up and up.under
         self.lost = False
+        self.depth: int = self.shown.depth + 1 if self.shown else 0
         self.dropped = drops or bool(up and up.dropped and tag not in MAIN)
         self.inside = inside
         self.children: list[int] = []
@@ -212,7 +213,7 @@ class Page:
 
 
 PRESENCE, STYLE, CONTENT = 0, 1, 2
-_FEATURE = "host string, path long, parent long, kind int, feature long, n long, chars long"
+_FEATURE = "host string, path long, parent long, depth int, kind int, feature long, n long, chars long"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,72 +223,88 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
-            parent = {e.path: e.shown.path if e.shown else 0 for e in page.elements}
+            parent = {e.path: (e.shown.path if e.shown else 0, e.depth) for e in page.elements}
             styles = Counter((e.path, _signed(repr(e.children).encode())) for e in page.elements)
             contents: Counter = Counter()
             inside: Counter = Counter()  # characters in an element, those of its children included
+            long: Counter = Counter()  # sum of the hashes of the long texts in it
             for text, e in page.blocks:
                 contents[e.path, _signed(text.encode("utf-8", "replace"))] += 1
                 inside[e] += len(text)
+                long[e] += _signed(text.encode("utf-8", "replace")) if len(text) >= MIN_TEXT else 0
             chars: Counter = Counter()
+            other: Counter = Counter()  # the same sum over the texts outside of a path
             for e in reversed(page.elements):  # children come after their parents
                 chars[e.path] += inside[e]
+                other[e.path] -= long[e]
                 inside[e.shown] += inside[e]
-            rows += [(host, p, parent[p], PRESENCE, 0, 1, chars[p]) for p in parent]
-            rows += [(host, p, parent[p], STYLE, f, n, 0) for (p, f), n in styles.items()]
-            rows += [(host, p, parent[p], CONTENT, f, n, 0) for (p, f), n in contents.items()]
+                long[e.shown] += long[e]
+            for p in parent:
+                other[p] = (other[p] + long[None] + (1 << 63)) % (1 << 64) - (1 << 63)
+            rows += [(host, p, *parent[p], PRESENCE, other[p], 1, chars[p]) for p in parent]
+            rows += [(host, p, *parent[p], STYLE, f, n, 0) for (p, f), n in styles.items()]
+            rows += [(host, p, *parent[p], CONTENT, f, n, 0) for (p, f), n in contents.items()]
         columns = list(zip(*rows)) or [()] * len(schema)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _rate(r: dict, n: int, weight: float, weighted: float, best: float) -> tuple[float, float]:
+    """Importance of an element, and of the most important text in its branch. Of its scored children: how many,
+    their occurrences, the sum of these times importance, and their ``best``."""
+    unit = math.log(r["pages"])
+    own = min(1.0, max(0.0, 1 - r["spread"] / unit / r["texts"])) if r["texts"] else 0.0
+    best = max(own, best, 1.0 if r["rare_chars"] else 0.0)
+    looks = min(1.0, max(0.0, r["style"] / unit))
+    if not (n or r["rare"] or r["texts"]):
+        return looks, best
+    # the children scored, those that prove nothing, the element's own texts
+    own_weight = r["occurrences"] if r["texts"] else 0
+    inner = (weighted + r["rare_occurrences"] + own_weight * own) / (weight + r["rare_occurrences"] + own_weight)
+    fade = DECAY ** (n + r["rare"] + (r["texts"] > 0)) if n or r["rare"] else 0.0
+    return fade * looks + (1 - fade) * inner, best
+
+
+def _is_low(r: dict, importance: float, best: float) -> bool:
+    # rounding must not undo MIN_PAGES pages that all differ
+    return importance < MIN_IMPORTANCE and best < MIN_IMPORTANCE and r["others"] > math.log(MIN_PAGES) - 1e-9
+
+
 def _low_branches(key: tuple, tree: pd.DataFrame) -> pd.DataFrame:
     """The paths of one host whose branches go. ``tree``: a row per element that :func:`scored` keeps."""
     rows = {int(r["path"]): r for r in tree.to_dict("records")}
-    children: dict[int, list[int]] = {}
-    for p, r in rows.items():
-        if p:
-            children.setdefault(int(r["parent"]), []).append(p)
-    order, stack = [], [0] if 0 in rows else []
-    while stack:
-        p = stack.pop()
-        order.append(p)
-        stack += children.get(p, ())
-    importance: dict[int, float] = {}
-    best: dict[int, float] = {}  # importance of the most important text in the branch
-    for p in reversed(order[1:]):
-        r, below = rows[p], children.get(p, [])
-        unit = math.log(r["pages"])
-        own = min(1.0, max(0.0, 1 - r["spread"] / unit / r["texts"])) if r["texts"] else 0.0
-        best[p] = max(own, 1.0 if r["rare_chars"] else 0.0, *(best[c] for c in below))
-        # (weight, importance): the children scored, those that prove nothing, the element's own texts
-        parts = [(rows[c]["occurrences"], importance[c]) for c in below]
-        parts += [(r["rare_occurrences"], 1.0)] if r["rare"] else []
-        parts += [(r["occurrences"], own)] if r["texts"] else []
-        looks = min(1.0, max(0.0, r["style"] / unit))
-        if parts:
-            inner = sum(w * i for w, i in parts) / sum(w for w, _ in parts)
-            n_parts = len(below) + r["rare"] + (r["texts"] > 0)
-            fade = DECAY**n_parts if below or r["rare"] else 0.0
-            importance[p] = fade * looks + (1 - fade) * inner
-        else:
-            importance[p] = looks
-    low = [
-        p
-        for p in order[1:]
-        if importance[p] < MIN_IMPORTANCE
-        and best[p] < MIN_IMPORTANCE
-        and rows[p]["chars"] < MAX_SHARE * max(1, rows[0]["chars"])
-    ]
+    below = {p: [0, 0.0, 0.0, 0.0] for p in rows}
+    low = []
+    for p in sorted(rows, key=lambda p: -rows[p]["depth"]):
+        if not p:
+            continue
+        r = rows[p]
+        importance, best = _rate(r, *below[p])
+        b = below[int(r["parent"])]
+        b[0] += 1
+        b[1] += r["occurrences"]
+        b[2] += r["occurrences"] * importance
+        b[3] = max(b[3], best)
+        if _is_low(r, importance, best):
+            low.append(p)
     return pd.DataFrame([(key[0], low)] if low else [], columns=["host", "low"])
 
 
+def _rate_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        out = []
+        for r in frame.to_dict("records"):
+            importance, best = _rate(r, r["n"], r["weight"], r["weighted"], r["best"])
+            out.append((r["host"], r["path"], r["parent"], r["occurrences"], importance, best, _is_low(r, importance, best)))
+        yield pd.DataFrame(out, columns=["host", "path", "parent", "occurrences", "importance", "best", "low"])
+
+
 def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """The merged tree: a row per (host, path) with parent, pages, occurrences, texts,
-    spread (summed entropy of its texts over pages, in nats), style (entropy of its presentations), chars
+    """The merged tree: a row per (host, path) with parent, depth, pages, others
+    (entropy of the other texts of its pages), occurrences, texts, spread (summed entropy of its texts over pages, in nats), style (entropy of its presentations), chars
     (of all text in it)."""
     log = F.log(F.col("n").cast("double"))
     features = (
@@ -296,18 +313,21 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .groupBy("host", "path", "kind", "feature")
         .agg(
             F.min("parent").alias("parent"),
+            F.min("depth").alias("depth"),
             F.sum("n").alias("c"),
             F.sum(F.col("n") * log).alias("s"),
             F.sum("chars").alias("chars"),
         )
     )
     c = F.col("c").cast("double")
-    style, content = F.col("kind") == STYLE, F.col("kind") == CONTENT
+    presence, style, content = (F.col("kind") == k for k in (PRESENCE, STYLE, CONTENT))
     return (
         features.groupBy("host", "path")
         .agg(
             F.min("parent").alias("parent"),
-            F.sum(F.when(F.col("kind") == PRESENCE, F.col("c")).otherwise(0)).alias("pages"),
+            F.min("depth").alias("depth"),
+            F.sum(F.when(presence, F.col("c")).otherwise(0)).alias("pages"),
+            F.sum(F.when(presence, c * F.log(c)).otherwise(0.0)).alias("other_sum"),
             F.sum(F.when(style, F.col("c")).otherwise(0)).alias("occurrences"),
             F.sum(F.when(style, c * F.log(c)).otherwise(0.0)).alias("style_sum"),
             F.sum(F.when(content, 1).otherwise(0)).alias("texts"),
@@ -318,25 +338,19 @@ def style_tree(pages: DataFrame) -> DataFrame:
             "style",
             F.coalesce(F.log("occurrences") - F.try_divide(F.col("style_sum"), F.col("occurrences")), F.lit(0.0)),
         )
-        .drop("style_sum")
+        .withColumn("others", F.log("pages") - F.col("other_sum") / F.col("pages"))
+        .drop("style_sum", "other_sum")
     )
 
 
-def scored(tree: DataFrame, pages: DataFrame) -> DataFrame:
+def scored(tree: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """The rows of ``tree`` on enough pages to be scored (and each host's root), with the number of their
-    children that are not, ``rare``, and those children's ``rare_occurrences`` and ``rare_chars``."""
-    hosts = (
-        pages.groupBy(host(F.col("url")).alias("page_host"))
-        .agg(F.count("*").alias("host_pages"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    salted = (F.col("host") == F.col("page_host")) & (F.pmod("path", F.lit(SALTS)) == F.col("salt"))
-    least = F.greatest(F.lit(float(MIN_PAGES)), F.col("host_pages") * MIN_SHARE)
-    is_scored = (F.col("path") == 0) | (F.col("pages") >= least)
+    children that are not, ``rare``, and those children's ``rare_occurrences`` and ``rare_chars``. ``pages`` is
+    not read: what is enough does not depend on the host's size."""
+    is_scored = (F.col("path") == 0) | (F.col("pages") >= MIN_PAGES)
     own = [c for c in tree.columns if c not in ("host", "path")]
     return (
-        tree.join(hosts, salted)
-        .withColumn("scored", is_scored)
+        tree.withColumn("scored", is_scored)
         .groupBy("host", F.when(F.col("scored"), F.col("path")).otherwise(F.col("parent")).alias("path"))
         .agg(
             *[F.max(F.when(F.col("scored"), F.col(c))).alias(c) for c in own],
@@ -353,6 +367,59 @@ def low_branches(tree: DataFrame) -> DataFrame:
     return tree.groupBy("host").applyInPandas(_low_branches, "host string, low array<long>")
 
 
+def low_by_depth(tree: DataFrame) -> DataFrame | None:
+    """(host, path) of the branches to remove, as :func:`low_branches` finds them but with no host in one task."""
+    deepest = tree.agg(F.max("depth")).first()[0] or 0
+    zero = {"n": F.lit(0).cast("long"), "weight": F.lit(0.0), "weighted": F.lit(0.0), "best": F.lit(0.0)}
+    below, low = None, None
+    for depth in range(deepest, 0, -1):
+        level = tree.where(F.col("depth") == depth)
+        if below is None:
+            level = level.withColumns(zero)
+        else:
+            level = level.join(below, ["host", "path"], "left")
+            level = level.withColumns({c: F.coalesce(c, z) for c, z in zero.items()})
+        rated = materialize(
+            level.mapInPandas(
+                _rate_rows,
+                "host string, path long, parent long, occurrences long, importance double, best double, low boolean",
+            )
+        )
+        below = rated.groupBy("host", F.col("parent").alias("path")).agg(
+            F.count("*").alias("n"),
+            F.sum("occurrences").cast("double").alias("weight"),
+            F.sum(F.col("occurrences") * F.col("importance")).alias("weighted"),
+            F.max("best").alias("best"),
+        )
+        gone = rated.where("low").select("host", "path")
+        low = gone if low is None else low.unionByName(gone)
+    return low
+
+
+def _paths(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for source in columns:
+        yield pa.array([list({e.path for e in Page(h or "").elements}) for h in source.to_pylist()], pa.list_(pa.int64()))
+
+
+def low_of_pages(pages: DataFrame, low: DataFrame) -> DataFrame:
+    """(low_host, low_key, low): the paths to remove that a page shows, by its host and :func:`page_key`."""
+    paths = F.arrow_udf(_paths, T.ArrayType(T.LongType()))
+    shown = (
+        pages.select(host(F.col("url")).alias("host"), page_key().alias("low_key"), F.explode(paths("html")).alias("path"))
+        .withColumn("salt", F.pmod(F.xxhash64("low_key"), F.lit(SALTS)).cast("int"))
+    )
+    salted = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (
+        shown.join(salted, ["host", "path", "salt"])
+        .groupBy(F.col("host").alias("low_host"), "low_key")
+        .agg(F.collect_set("path").alias("low"))
+    )
+
+
+def page_key() -> Column:
+    return F.sha2(F.coalesce("html", F.lit("")), 256)
+
+
 def _texts(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for source, low in columns:
         pairs = zip(source.to_pylist(), low.to_pylist())
@@ -361,8 +428,24 @@ def _texts(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) as page_id, url, text: blocks joined by an empty line."""
-    low = materialize(low_branches(scored(style_tree(pages), pages))).withColumnRenamed("host", "low_host")
     text = F.arrow_udf(_texts, T.StringType())
-    return pages.join(low, host(F.col("url")) == F.col("low_host"), "left").select(
-        "page_id", "url", text("html", "low").alias("text")
+    out = ("page_id", "url", text("html", "low").alias("text"))
+    page_host = host(F.col("url"))
+    tree = materialize(scored(style_tree(pages)))
+    large = tree.groupBy(F.col("host").alias("large")).agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("large")
+    by_depth = None if large.isEmpty() else low_by_depth(tree.join(large, F.col("host") == F.col("large"), "left_semi"))
+    if by_depth is None:
+        low = materialize(low_branches(tree)).withColumnRenamed("host", "low_host")
+        return pages.join(low, page_host == F.col("low_host"), "left").select(*out)
+    large = materialize(large)
+    small = tree.join(large, F.col("host") == F.col("large"), "left_anti")
+    low = materialize(low_branches(small)).withColumnRenamed("host", "low_host")
+    rest = pages.join(large, page_host == F.col("large"), "left_anti")
+    hot = pages.join(large, page_host == F.col("large"), "left_semi")
+    hot_low = materialize(low_of_pages(hot, by_depth))
+    same = (page_host == F.col("low_host")) & (page_key() == F.col("low_key"))
+    return (
+        rest.join(low, page_host == F.col("low_host"), "left")
+        .select(*out)
+        .unionByName(hot.join(hot_low, same, "left").select(*out))
     )

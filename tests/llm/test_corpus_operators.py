@@ -473,6 +473,40 @@ def test_style_tree_decides_inside_articles(spark):
     assert all(r["text"].count("\n\n") == (3 if r["page_id"] % 2 else 4) for r in got)
 
 
+def varied_pages():
+    """Hosts with a rare notice, long legal notices on thin pages, near copies and nested menus."""
+    rng = random.Random(10)
+    made = []
+    for i in range(10_000):
+        notice = "<div class=maintained>We are maintained at night</div>" if i % 1250 == 0 else ""
+        made.append(("rare", f"{notice}<p>{words(rng, 12, 4000)}</p>"))
+    legal = f"<div class=legal><h3>Terms</h3><p class=a>{words(rng, 150)}</p><p class=b>{words(rng, 100)}</p></div>"
+    other = f"<div class=rules>{words(rng, 90)}</div>"
+    made += [("thin", f"<div class=story><p>{words(rng, 15, 4000)}</p></div>{legal}{other}") for _ in range(30)]
+    article = f"<article><h1>{words(rng, 12)}</h1><p>{words(rng, 200)}</p></article>"
+    made += [("near", f"<div class=date>May {i}</div><div class=by>{words(rng, 2, 4000)}</div>{article}") for i in range(30)]
+    menu = "".join(f"<div class=m{k}><div class=n><div>Item {k}</div></div></div>" for k in "abcdef")
+    made += [("menu", f"<div class=box>{menu}</div><section><p>{words(rng, 15, 4000)}</p></section>") for _ in range(20)]
+    return [(i, f"https://{h}.example/{i}", html) for i, (h, html) in enumerate(made)]
+
+
+def test_style_tree_at_every_size(spark, monkeypatch):
+    made = varied_pages()
+    pages = spark.createDataFrame(made, "page_id long, url string, html string").repartition(4).cache()
+    got = {r["page_id"]: r["text"] for r in html_main_text.extract(pages).collect()}
+    assert len(got) == len(made)
+    for i, url, html in made:
+        if "near" in url:  # copies of one article are no template, though their dates and names differ
+            assert got[i] == html_main_text.Page(html).text() and got[i].count("\n\n") == 1
+        else:
+            assert got[i] and "\n" not in got[i] and f"<p>{got[i]}</p>" in html, url
+    monkeypatch.setattr(html_main_text, "GROUP", 5)  # "thin" and "menu" by depth, the others in groups
+    assert {r["page_id"]: r["text"] for r in html_main_text.extract(pages).collect()} == got
+    tree = html_main_text.scored(html_main_text.style_tree(pages)).cache()
+    groups = {(r["host"], p) for r in html_main_text.low_branches(tree).collect() for p in r["low"]}
+    assert groups and {tuple(r) for r in html_main_text.low_by_depth(tree).collect()} == groups
+
+
 def test_style_tree_scores_only_recurring_elements(spark):
     """Elements of single pages are summed up under their parent: what a host's group holds does not grow."""
     rng = random.Random(8)
