@@ -314,6 +314,28 @@ def test_ring_moves_little():
     assert sum(a[c] != b[c] for c in loads) < 0.2 * len(loads)
 
 
+def test_hot_keys_are_spread_over_tasks(spark, monkeypatch):
+    rng = random.Random(11)
+    made = [(7, words(rng, 5)) for _ in range(2000)]  # one id, many texts
+    made += [(None, "same text")] * 2000 + [(8, "same row")] * 2000 + [(100 + i, words(rng, 9)) for i in range(2000)]
+    staged = []
+    monkeypatch.setattr(sharding, "materialize", lambda df, keep=sharding.materialize: staged.append(keep(df)) or staged[-1])
+    frame = spark.createDataFrame(made, "doc_id long, text string").repartition(8)
+    got = sharding.assign(frame).collect()
+    want = Counter((d, len(t) + 1, zlib.crc32(t.encode())) for d, t in made)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    slots, load = defaultdict(list), Counter()
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        load[r["shard"]] += r["size"]
+    assert len(slots) == sharding.SHARDS and all(sorted(x) == list(range(len(x))) for x in slots.values())
+    bound = -(-sum(load.values()) // sharding.SHARDS)
+    assert max(load.values()) <= int(bound * (1 + sharding.SLACK)) + 1 + max(r["size"] for r in got)
+    # running sums meet few rows of a key: copies as counts, texts of one id by salt
+    windows = staged[-1].groupBy("cell", "salt").count().agg(F.max("count")).first()[0]
+    assert windows < 200
+
+
 # ---------------------------------------------------------------- 4 licenses
 
 
