@@ -1,13 +1,13 @@
-"""N-gram Jaccard join with a MinHash LSH forest (operator 3).
+"""N-gram Jaccard join with MinHash banding (operator 3).
 
 A text is the set of its five-word shingles (words: runs without ASCII white space, A-Z lower-cased;
 a text of fewer words is one shingle). Two texts are linked when their sets' Jaccard similarity is at
 least ``threshold``.
 
-Forest: ``trees`` prefix tries over the MinHash signature, each over its own ``depth`` values. Every
-trie is matched at its full depth first and the matched prefix is shortened value by value until a
-pair at the threshold meets in some trie with probability ``recall`` (:func:`matched_depth`); texts
-sharing the prefix are one trie node. Nodes with the same members in several tries are matched once.
+Banding: the MinHash signature has ``trees`` parts of ``depth`` values. Of each part a prefix is matched, as
+long as a pair at the threshold still meets in some part with probability ``recall`` (:func:`matched_depth`):
+one length for all texts, 3 of 6 values for the parameters used, the rest of a signature is not read. Texts
+sharing a part's prefix are one node. Nodes with the same members in several tries are matched once.
 Each pair of a node is then verified exactly on the whole shingle sets.
 
 Scale: equal texts are folded into one representative before anything is matched, so a hot group of
