@@ -7,8 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_main_text, licenses, mixing, near_dup, quality, sharding, suffix_dedup, token_scan, warc_zip
+from . import (
+    classifier,
+    clustering,
+    decontaminate,
+    html_main_text,
+    licenses,
+    mixing,
+    near_dup,
+    quality,
+    sharding,
+    spelling,
+    suffix_dedup,
+    token_scan,
+    warc_zip,
+)
 from .common import documents, pages, table
+from .oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +101,21 @@ def op10_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents under their common spelling."""
+    return spelling.group(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op12_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return classifier.classify(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+def op13_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector."""
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_string_tiling": op1_string_tiling,
     "op2_site_style_tree": op2_site_style_tree,
@@ -95,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_zip_warc": op8_zip_warc,
     "op9_separator_scan": op9_separator_scan,
     "op10_hash_ring": op10_hash_ring,
+    "op11_pivotal_grams": op11_pivotal_grams,
+    "op12_positive_unlabelled": op12_positive_unlabelled,
+    "op13_orchard": op13_orchard,
 }
-
-ORACLES: dict[str, str] = {}
