@@ -81,11 +81,11 @@ def run_silver(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
-    paths = R.run_gold(spark, args.out, args.format, args.bin_width, args.tie_break)
+    paths = R.run_gold(spark, args.out, args.format, args.bin_rows, args.tie_break)
     if args.export_url:
         props = credentials(args, "export")
         for name, target, capped in EXPORTS:
-            df = spark.read.format(args.format).load(paths[name])
+            df = read_table(spark, paths[name], args.format)
             write_jdbc(df, args.export_url, target, props, args.max_connections if capped else None,
                        args.truncate, args.batchsize)
     return paths
@@ -108,7 +108,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--keep", choices=["first", "last"], default="first")
     p.add_argument("--on-error", choices=["fail", "null"], default="fail")
     p.add_argument("--silver-partitions", type=int)
-    p.add_argument("--bin-width", type=int, default=32)
+    p.add_argument("--bin-rows", type=int, default=R.BIN_ROWS)
     p.add_argument("--tie-break", nargs="*", default=[])
     for name in ("url", "user", "password", "driver", "properties"):
         p.add_argument(f"--export-{name}")

@@ -14,6 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import count_at_most
 from ..functions.documents import parse_date, parse_int, typed_null
 
 _ELEM = "__strata_elem"
@@ -90,15 +91,9 @@ def _explode_step(df: DataFrame, carried: list[Column], array: Column, outer: bo
 
 
 def _is_start(starts: Column, end: Column) -> Column:
-    """Whether the sorted array ``starts`` holds ``end``: binary search by halving steps, so a document
-    with a long history costs n log n and not n squared. NULL (sorted last) is never found."""
-    steps = F.reverse(F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.size(starts), F.lit(1)))).cast("int")))
-
-    def advance(at: Column, bit: Column) -> Column:
-        ahead = at + F.call_function("shiftleft", F.lit(1), bit)
-        return F.when(F.get(starts, ahead - 1) <= end, ahead).otherwise(at)
-
-    return F.get(starts, F.aggregate(steps, F.lit(0), advance) - 1) == end
+    """Whether the sorted array ``starts`` holds ``end``: a document with a long history costs n log n and
+    not n squared. NULL (sorted last) is never found."""
+    return F.get(starts, count_at_most(starts, end) - 1) == end
 
 
 def _with_repaired_ends(array: Column, spec: HistorySpec, on_error: str) -> Column:

@@ -21,18 +21,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.documents import contains_marker, parse_json, rewrite_keys
-from ..operators.asof import DEFAULT_BIN_WIDTH, AsOfSpec, interval_chain, start_match_chain
+from ..operators.asof import BIN_ROWS, AsOfSpec, interval_chain, start_match_chain
 from ..operators.history import Field, HistorySpec, explode_history, reopen_orphans
 from ..operators.layout import cluster, materialize
-from ..operators.ranking import first_per_key, latest_per_key
-from ..session import fresh_path, release
-from ..sources.tables import write_table
+from ..operators.ranking import first_per_key_late, latest_per_key, top_per_key
+from ..session import fresh_path, staging
+from ..sources.tables import read_table, write_table
 
 KEY = "company_krs"
 SOURCE_ID = "source_id"
 CARRY = (SOURCE_ID, KEY)
-# the document's first/last entry number, computed once at parse time; histories may
-# carry it so the gold as-of joins clamp open intervals without a per-key join
 
 # ------------------------------------------------------------------ fixed values
 # JSON keys of the registry documents and the dialect rewrite rules. These must
@@ -226,11 +224,12 @@ def bronze(
     json_col: str = "raw_data",
     keep: str = "first",
 ) -> DataFrame:
-    """Canonical names (P1), then one document per entity by source id (H3, Q2)."""
+    """Canonical names (P1), then one document per entity by source id (H3, Q2). A pass over ids and keys
+    runs at once; the documents themselves are then only filtered (:func:`first_per_key_late`)."""
     renamed = raw.select(
         F.col(id_col).alias(SOURCE_ID), F.col(key_col).alias(KEY), F.col(json_col).alias("raw_json")
     )
-    return first_per_key(renamed, [KEY], [SOURCE_ID], keep=keep)
+    return first_per_key_late(renamed, [KEY], [SOURCE_ID], keep=keep)
 
 
 def normalise(bronze_df: DataFrame) -> DataFrame:
@@ -281,28 +280,30 @@ def repaired_in_documents(parsed: DataFrame, on_error: str = "fail") -> dict[str
 def current_info_direct(
     tables: Mapping[str, DataFrame], tie_break: Sequence[str] = (), repaired: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """T6 without building the whole full history first.
-
-    The latest full-history row of an entity can only come from its timeline rows
-    with the highest entry number (NULL only when all are NULL, as in ``DESC NULLS
-    LAST``), so only those rows are kept (null-safe, so an entity without a key keeps its
-    row) and each history is first cut to the intervals that cover its entity's last
-    entry: both are equi-joins with one row per key, without bins. Same result as :func:`current_info` over :func:`full_history`
-    whenever ``tie_break`` makes the order total.
+    """T6 without the full history, one row per key in every intermediate.
+
+    The latest full-history row of an entity can only come from its timeline rows with the highest entry
+    number (NULL only when all are NULL, as in ``DESC NULLS LAST``), combined with the intervals of each
+    history that cover that entry. The combinations are a product, and the largest of a product in
+    ``tie_break`` order has the largest timeline row and the largest row of each history, each by its own
+    columns in that order: they are chosen before the join, so 16 fan-outs never multiply. All of it is
+    partitioned by the key: each history is shuffled once. Same result as :func:`current_info` over
+    :func:`full_history` whenever ``tie_break`` makes the order total.
     """
-    timeline = tables["registry"]
-    entry, key = F.col("__strata_last"), F.col("__strata_key")
     repaired = repair_histories(tables) if repaired is None else repaired
+    timeline = tables["registry"].select(*TIMELINE_OUTPUT)
+    out = latest_per_key(timeline, [KEY], "entry_number", [c for c in tie_break if c in TIMELINE_OUTPUT])
+    entry, key = F.col("__strata_last"), F.col("__strata_key")
     last = timeline.groupBy(F.col(KEY).alias("__strata_key")).agg(F.max("entry_number").alias("__strata_last"))
-    on = F.col(KEY).eqNullSafe(key) & F.col("entry_number").eqNullSafe(entry)
-    out = timeline.join(last, on, "left_semi").select(*TIMELINE_OUTPUT)
+    start, end = F.col("valid_from_entry"), F.col("valid_to_entry")
     for table, cols, prefix in GOLD_JOINS:
-        spec = AsOfSpec(repaired[table], cols, prefix)
-        start, end = F.col("valid_from_entry"), F.col("valid_to_entry")
-        covering = spec.history.join(last, (F.col(KEY) == key) & (start <= entry) & (end.isNull() | (end > entry)))
-        covering = covering.select("__strata_key", *[F.col(c).alias(n) for c, n in zip(cols, spec.output_names())])
-        out = out.join(covering, out[KEY] == covering["__strata_key"], "left").drop("__strata_key")
-    return current_info(out, tie_break)
+        names = AsOfSpec(repaired[table], cols, prefix).output_names()
+        covering = repaired[table].join(last, (F.col(KEY) == key) & (start <= entry) & (end.isNull() | (end > entry)))
+        covering = covering.select("__strata_key", *[F.col(c).alias(n) for c, n in zip(cols, names)])
+        order = [F.col(c).desc_nulls_last() for c in tie_break if c in names]
+        top = top_per_key(covering, ["__strata_key"], order or [F.lit(0)])
+        out = out.join(top, out[KEY] == top["__strata_key"], "left").drop("__strata_key")
+    return out
 
 
 @dataclass(frozen=True)
@@ -315,7 +316,7 @@ class GoldOutputs:
 
 def full_history(
     tables: Mapping[str, DataFrame],
-    bin_width: int = DEFAULT_BIN_WIDTH,
+    bin_rows: int = BIN_ROWS,
     repaired: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Timeline (6 columns) with the 16 repaired histories attached, 43 columns. ``repaired`` takes
@@ -323,7 +324,7 @@ def full_history(
     repaired = repair_histories(tables) if repaired is None else repaired
     base = tables["registry"].select(*TIMELINE_OUTPUT)
     specs = [AsOfSpec(repaired[t], cols, prefix) for t, cols, prefix in GOLD_JOINS]
-    return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_width=bin_width)
+    return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_rows=bin_rows)
 
 
 def shares_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -350,20 +351,24 @@ def current_info(full: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
 
 def gold(
     tables: Mapping[str, DataFrame],
-    bin_width: int = DEFAULT_BIN_WIDTH,
+    bin_rows: int = BIN_ROWS,
     tie_break: Sequence[str] = (),
     stage_path: str | None = None,
     stage: bool = True,
     current_from: str = "full",
     repaired: Mapping[str, DataFrame] | None = None,
+    fmt: str = "parquet",
 ) -> GoldOutputs:
-    """T3-T6. With ``stage`` the full history is written once to the shared folder
-    and its export and current info read that copy (L3/L4). ``current_from="latest"``
+    """T3-T6. With ``stage`` the full history is written once (published at ``stage_path``, or a copy in the
+    shared folder) and its export and current info read that copy (L3/L4). ``current_from="latest"``
     computes current info with :func:`current_info_direct` instead (joins only the
     latest timeline rows; cheaper when the full history fans out a lot)."""
-    full = full_history(tables, bin_width, repaired)
-    if stage:
-        full = materialize(full, stage_path)
+    full = full_history(tables, bin_rows, repaired)
+    if stage and stage_path:
+        write_table(full, stage_path, fmt, overwrite_schema=True)
+        full = read_table(full.sparkSession, stage_path, fmt)
+    elif stage:
+        full = materialize(full)
     if current_from == "full":
         current = current_info(full, tie_break)
     elif current_from == "latest":
@@ -376,7 +381,9 @@ def gold(
 # ------------------------------------------------------------------ job
 
 
-def write_tables(jobs: Mapping[str, tuple[DataFrame, str]], fmt: str, concurrent_jobs: int) -> None:
+def write_tables(
+    jobs: Mapping[str, tuple[DataFrame, str]], fmt: str, concurrent_jobs: int, atomic: bool | None = None
+) -> None:
     """Write independent tables; ``concurrent_jobs`` of them are submitted at once.
 
     Only job submission runs in driver threads - each write is an ordinary
@@ -386,7 +393,7 @@ def write_tables(jobs: Mapping[str, tuple[DataFrame, str]], fmt: str, concurrent
 
     def write(item):
         df, path = item
-        write_table(df, path, fmt, overwrite_schema=True)
+        write_table(df, path, fmt, overwrite_schema=True, atomic=atomic)
 
     if concurrent_jobs <= 1:
         for item in jobs.values():
@@ -420,20 +427,21 @@ def write_silver(
 
 
 def read_silver(spark, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    return {s.name: spark.read.format(fmt).load(f"{root}/{s.name}") for s in silver_specs()}
+    return {s.name: read_table(spark, f"{root}/{s.name}", fmt) for s in silver_specs()}
 
 
 def run_bronze(raw: DataFrame, out_root: str, fmt: str = "parquet", keep: str = "first") -> str:
     path = f"{out_root}/bronze"
-    write_table(bronze(raw, keep=keep), path, fmt, overwrite_schema=True)
+    with staging(raw.sparkSession):
+        write_table(bronze(raw, keep=keep), path, fmt, overwrite_schema=True)
     return path
 
 
 def stage_documents(spark, out_root: str, fmt: str = "parquet") -> str:
-    """Bronze parsed once into a staged copy clustered by entity (one shuffle); the caller releases it."""
+    """Bronze parsed once into a staged copy clustered by entity (one shuffle), for use inside a ``staging`` block."""
     staged = fresh_path(spark, "parsed")
-    documents = cluster(spark.read.format(fmt).load(f"{out_root}/bronze"), None, [KEY])
-    write_table(normalise(documents), staged, fmt, overwrite_schema=True)
+    documents = cluster(read_table(spark, f"{out_root}/bronze", fmt), None, [KEY])
+    write_table(normalise(documents), staged, fmt, atomic=False)
     return staged
 
 
@@ -447,33 +455,30 @@ def run_silver(
 ) -> None:
     """All 21 silver tables from one staged parse, each branch reading only its nested column. Without
     ``staged`` the copy is made here and deleted afterwards."""
-    path = staged or stage_documents(spark, out_root, fmt)
-    try:
+    with staging(spark):
+        path = staged or stage_documents(spark, out_root, fmt)
         tables = silver(None, on_error, parsed=spark.read.format(fmt).load(path))
         write_silver(tables, f"{out_root}/silver", num_partitions, fmt, clustered=True)
-    finally:
-        if staged is None:
-            release(spark, path)
 
 
 def run_gold(
     spark,
     out_root: str,
     fmt: str = "parquet",
-    bin_width: int = DEFAULT_BIN_WIDTH,
+    bin_rows: int = BIN_ROWS,
     tie_break: Sequence[str] = (),
     on_error: str = "fail",
     staged: str | None = None,
 ) -> dict[str, str]:
     """Gold from the silver tables. With the ``staged`` parse of bronze the histories come from it, repaired
     as they are exploded; without, silver is read back and repaired by joins. Same rows."""
-    repaired = repaired_in_documents(spark.read.format(fmt).load(staged), on_error) if staged else None
-    tables = read_silver(spark, f"{out_root}/silver", fmt)
-    out = gold(tables, bin_width, tie_break, f"{out_root}/gold/full_history", repaired=repaired)
-    paths = {"full_history": f"{out_root}/gold/full_history"}
-    names = ("shares_issues", "amendments", "current_info")
-    paths.update({name: f"{out_root}/gold/{name}" for name in names})
-    write_tables({name: (getattr(out, name), paths[name]) for name in names}, fmt, concurrent_jobs=3)
+    paths = {n: f"{out_root}/gold/{n}" for n in ("full_history", "shares_issues", "amendments", "current_info")}
+    with staging(spark):
+        repaired = repaired_in_documents(spark.read.format(fmt).load(staged), on_error) if staged else None
+        tables = read_silver(spark, f"{out_root}/silver", fmt)
+        out = gold(tables, bin_rows, tie_break, paths["full_history"], repaired=repaired, fmt=fmt)
+        jobs = {name: (getattr(out, name), path) for name, path in paths.items() if name != "full_history"}
+        write_tables(jobs, fmt, concurrent_jobs=3)
     return paths
 
 
@@ -482,16 +487,14 @@ def run(
     out_root: str,
     fmt: str = "parquet",
     on_error: str = "fail",
-    bin_width: int = DEFAULT_BIN_WIDTH,
+    bin_rows: int = BIN_ROWS,
     tie_break: Sequence[str] = (),
     num_partitions: int | None = None,
 ) -> dict[str, str]:
     """Bronze -> silver -> gold over ``raw`` (id, krs_number, raw_data), writing every layer."""
     spark = raw.sparkSession
     run_bronze(raw, out_root, fmt)
-    staged = stage_documents(spark, out_root, fmt)
-    try:
+    with staging(spark):
+        staged = stage_documents(spark, out_root, fmt)
         run_silver(spark, out_root, fmt, on_error, num_partitions, staged)
-        return run_gold(spark, out_root, fmt, bin_width, tie_break, on_error, staged)
-    finally:
-        release(spark, staged)
+        return run_gold(spark, out_root, fmt, bin_rows, tie_break, on_error, staged)

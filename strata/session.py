@@ -10,7 +10,8 @@ import math
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import SparkSession
@@ -159,6 +160,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Staged copies made inside are deleted at the end, also after a failure.
+
+    For jobs that write their results: whatever was read from the copies is in a table by then. A lazy result
+    that is used after the block must not read a copy made in it.
+    """
+    before = set(_made)
+    try:
+        yield
+    finally:
+        for path in _made - before:
+            release(spark, path)
+
+
 def release(spark: SparkSession, path: str) -> bool:
     """Delete a staged folder once nothing reads it any more (the counterpart of clearing a cache).
 

@@ -2,7 +2,7 @@
 
 The document stages (one document per entity, dialect folding, parse, explode) work
 per document, so they run unchanged on each micro-batch. ``foreachBatch`` parses the
-batch once into the shared folder and fans it out to the 21 silver tables. Each
+batch once into the shared folder, fans it out to the 21 silver tables and deletes the copy. Each
 batch writes under its own ``batch_id=N`` folder with overwrite, so a batch replayed
 after a failure rewrites the same files (exactly-once output with the checkpoint).
 
@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..operators.layout import materialize
 from ..plans import registry as R
+from ..session import staging
 
 RAW_SCHEMA = StructType([
     StructField("id", LongType()), StructField("krs_number", StringType()), StructField("raw_data", StringType())
@@ -29,11 +31,11 @@ def silver_batch_writer(out_root: str, fmt: str = "parquet", on_error: str = "fa
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed_path = f"{out_root}/_parsed/batch_id={batch_id}"
-        R.normalise(R.bronze(batch)).write.format(fmt).mode("overwrite").save(parsed_path)
-        parsed = spark.read.format(fmt).load(parsed_path)
-        tables = R.silver(None, on_error, parsed=parsed)
-        R.write_tables({n: (t, f"{out_root}/{n}/batch_id={batch_id}") for n, t in tables.items()}, fmt, 4)
+        with staging(spark):
+            parsed = materialize(R.normalise(R.bronze(batch)), fmt=fmt)
+            tables = R.silver(None, on_error, parsed=parsed)
+            jobs = {n: (t, f"{out_root}/{n}/batch_id={batch_id}") for n, t in tables.items()}
+            R.write_tables(jobs, fmt, 4, atomic=False)
 
     return write
 

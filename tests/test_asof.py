@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from strata.operators import asof
 from strata import AsOfSpec, interval_chain, interval_join, start_match_chain, start_match_join
 from tests.conftest import rows
 
@@ -19,7 +20,7 @@ def brute_force(base, hist):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("method,width", [("binned", 1), ("binned", 2), ("binned", 32), ("key", 32)])
+@pytest.mark.parametrize("method,width", [("measured", 1), ("measured", 2), ("measured", 32), ("key", 32)])
 def test_fixture_cases(spark, method, width):
     base = [("A", 1), ("A", 3), ("A", 9), ("B", 1), ("B", 2), ("C", 5)]
     hist = [
@@ -30,7 +31,7 @@ def test_fixture_cases(spark, method, width):
         ("C", "n", None, None),  # NULL start never matches
     ]
     out = interval_join(
-        spark.createDataFrame(base, BASE), spark.createDataFrame(hist, HIST), ["v"], bin_width=width, method=method
+        spark.createDataFrame(base, BASE), spark.createDataFrame(hist, HIST), ["v"], bin_rows=width, method=method
     )
     assert rows(out) == brute_force(base, hist)
 
@@ -61,7 +62,7 @@ cases = st.tuples(
 @given(cases)
 def test_binned_join_equals_brute_force(spark, case):
     base, hist, width = case
-    out = interval_join(spark.createDataFrame(base, BASE), spark.createDataFrame(hist, HIST), ["v"], bin_width=width)
+    out = interval_join(spark.createDataFrame(base, BASE), spark.createDataFrame(hist, HIST), ["v"], bin_rows=width)
     assert rows(out) == brute_force(base, hist)
 
 
@@ -79,12 +80,15 @@ def test_chain_does_not_reshuffle_the_base(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        base = spark.createDataFrame([("A", 5)], BASE)
         hs = [spark.createDataFrame([("A", "a", 1, 7)], HIST) for _ in range(4)]
-        out = interval_chain(base, [AsOfSpec(h, ("v",), f"p{i}") for i, h in enumerate(hs)])
-        plan = out._jdf.queryExecution().executedPlan().toString()
+        specs = [AsOfSpec(h, ("v",), f"p{i}") for i, h in enumerate(hs)]
+        # few rows per key: the plain key join, one shuffle for the base and one for each history, no replicas
+        plan = interval_chain(spark.createDataFrame([("A", 5)], BASE), specs)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 5 and "Generate" not in plan
+        many = spark.createDataFrame([("A", i) for i in range(300)], BASE)
+        plan = interval_chain(many, specs, bin_rows=8)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
-        # the base is shuffled to (key, bin) once; later joins reuse that partitioning
+        # the base is shuffled to (key, range, bin) once; later joins reuse that partitioning
         import re
 
         assert len(re.findall(r"Exchange hashpartitioning\([^)]*__strata_bin#", plan)) == 1
@@ -102,7 +106,7 @@ def test_date_axis(spark):
         [("A", "x", d(2020, 1, 1), d(2020, 6, 1)), ("A", "y", d(2020, 6, 1), None)],
         "company_krs string, v string, valid_from_entry date, valid_to_entry date",
     )
-    assert rows(interval_join(base, hist, ["v"], bin_width=30), "v") == [("x",), ("y",)]
+    assert rows(interval_join(base, hist, ["v"], bin_rows=30), "v") == [("x",), ("y",)]
 
 
 def test_start_match_join_keeps_all_pairs(spark):
@@ -122,7 +126,7 @@ def test_huge_interval_is_clamped_to_the_key_extent(spark):
     hist = spark.createDataFrame(
         [("A", "far", -2_000_000_000, 2_000_000_000), ("A", "open", 6, None), ("B", "short", 1, 3)], HIST
     )
-    out = interval_join(base, hist, ["v"], bin_width=2)
+    out = interval_join(base, hist, ["v"], bin_rows=2)
     assert rows(out) == brute_force(
         [("A", 5), ("A", 6), ("B", 1)],
         [("A", "far", -2_000_000_000, 2_000_000_000), ("A", "open", 6, None), ("B", "short", 1, 3)],
@@ -167,7 +171,7 @@ def test_chain_equals_brute_force_product(spark, base, h1, h2, width):
 
     want = sorted(((k, e, a, b) for k, e in base for a in matches(h1, k, e) for b in matches(h2, k, e)), key=repr)
     specs = [AsOfSpec(spark.createDataFrame(h, HIST), ("v",), p) for h, p in ((h1, "one"), (h2, "two"))]
-    got = interval_chain(spark.createDataFrame(base, BASE), specs, bin_width=width)
+    got = interval_chain(spark.createDataFrame(base, BASE), specs, bin_rows=width)
     assert rows(got) == want
 
 
@@ -206,3 +210,89 @@ def test_timestamp_axis_over_years(spark):
         ["v"],
     )
     assert rows(out) == brute_force(base, hist)
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 200)), min_size=20, max_size=120),
+    st.lists(
+        st.tuples(st.sampled_from(["A", "B"]), st.text("xyz", min_size=1, max_size=2), st.integers(-5, 200),
+                  st.one_of(st.none(), st.integers(0, 230))),
+        max_size=30,
+    ),
+)
+def test_bins_and_ranges_equal_brute_force(spark, base, hist):
+    # one row a bin and few partitions: every key is cut into ranges and bins
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        left = spark.createDataFrame(base, BASE)
+        assert asof.measure(left, ["company_krs"], "entry_number", 1) is not None
+        out = interval_join(left, spark.createDataFrame(hist, HIST), ["v"], bin_rows=1)
+        assert rows(out) == brute_force(base, hist)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_timestamps_need_no_more_bins_than_rows(spark):
+    # one hot key on a microsecond axis: edges are sampled rows, about one for each bin_rows rows
+    base = spark.range(20_000).selectExpr("'K' AS k", "timestamp_micros(id * 977 + id % 7) AS at")
+    split = asof.measure(base, ["k"], "at", 32)
+    edges = split.bins.selectExpr("sum(size(__strata_edges)) AS n").first()["n"]
+    assert 0.5 * 20_000 / 32 < edges < 2 * 20_000 / 32
+    hist = base.where("unix_micros(at) % 3 = 0").selectExpr(
+        "k", "unix_micros(at) AS v", "at AS s", "timestamp_micros(unix_micros(at) + 5000) AS e"
+    )
+    placed = asof.binned_history(asof.AsOfSpec(hist, ("v",)), ["k"], "s", "e", base.schema["at"].dataType, split)
+    assert placed.count() < 3 * hist.count()
+
+
+def _hot_issue(spark, k):
+    """``k`` series, counts and preferences at one entry of one company, and a few ordinary rows."""
+    def side(name, n):
+        hot = spark.range(n).selectExpr("'HOT' AS company_krs", f"concat('{name}', id) AS v", "1 AS valid_from_entry",
+                                        "CAST(NULL AS INT) AS valid_to_entry")
+        few = spark.createDataFrame([("K1", f"{name}a", 1, None), ("K1", f"{name}b", 2, None), (None, "n", 1, None)], HIST)
+        return hot.unionByName(few)
+
+    return side("s", k), side("c", k).where("v <> 'ca'"), side("p", 3)
+
+
+def test_hot_pairs_are_dealt_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        series, counts, prefs = _hot_issue(spark, 300)
+        specs = [AsOfSpec(counts, ("v",), "c"), AsOfSpec(prefs, ("v",), "p")]
+        plain = start_match_chain(series, specs)
+        dealt = start_match_chain(series, specs, pair_rows=16)
+        assert dealt.columns == plain.columns
+        assert plain.count() == dealt.count() == 300 * 300 * 3 + 1 + 1 + 1
+        assert plain.exceptAll(dealt).count() == 0
+        assert rows(dealt.where("company_krs = 'K1' OR company_krs IS NULL")) == rows(
+            plain.where("company_krs = 'K1' OR company_krs IS NULL")
+        )
+
+        def largest(df):
+            n = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+            return max(n) / sum(n)
+
+        assert largest(plain) > 0.9 and largest(dealt) < 0.35
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@settings(max_examples=10, deadline=None)
+@given(hist_rows, hist_rows, hist_rows)
+def test_dealt_start_match_equals_brute_force(spark, s, c, p):
+    def partners(other, k, start):
+        return [v for ok, v, os_, _ in other if ok == k and start is not None and os_ == start] or [None]
+
+    want = sorted(
+        ((k, v, start, end, a, b) for k, v, start, end in s for a in partners(c, k, start) for b in partners(p, k, start)),
+        key=repr,
+    )
+    specs = [AsOfSpec(spark.createDataFrame(c, HIST), ("v",), "c"), AsOfSpec(spark.createDataFrame(p, HIST), ("v",), "p")]
+    assert rows(start_match_chain(spark.createDataFrame(s, HIST), specs, pair_rows=1)) == want

@@ -11,6 +11,7 @@ from strata.plans import derived_registry
 from strata.plans import registry as R
 from strata.session import build_session, fresh_path, release, shared_dir
 from strata.sources import jdbc
+from strata.sources.tables import read_table
 from tests.registry_fixtures import raw_rows
 from tests.test_registry import FULL_HISTORY_COLUMNS
 
@@ -36,10 +37,10 @@ def test_jobs_run_all_stages(spark, tmp_path):
     spark.createDataFrame(raw_rows(), "id long, krs_number string, raw_data string").write.parquet(src)
     out = str(tmp_path / "lake")
     jobs.main(["all", "--source-table", src, "--out", out, "--tie-break", "company_name", "address_street"], spark=spark)
-    cur = spark.read.parquet(f"{out}/gold/current_info")
+    cur = read_table(spark, f"{out}/gold/current_info")
     assert cur.columns == FULL_HISTORY_COLUMNS and cur.count() == 3
-    assert spark.read.parquet(f"{out}/bronze").count() == 4
-    assert spark.read.parquet(f"{out}/gold/shares_issues").count() > 0
+    assert read_table(spark, f"{out}/bronze").count() == 4
+    assert read_table(spark, f"{out}/gold/shares_issues").count() > 0
 
 
 def test_export_targets_match_reference_tables():
@@ -124,5 +125,5 @@ def test_silver_layout_sorts_without_a_shuffle(spark, tmp_path):
     R.run_silver(spark, out)
     assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("parsed-*"))
     for name, df in R.silver(R.bronze(raw)).items():
-        got = spark.read.parquet(f"{out}/silver/{name}")
+        got = read_table(spark, f"{out}/silver/{name}")
         assert sorted(map(repr, got.collect())) == sorted(map(repr, df.collect())), name

@@ -76,3 +76,40 @@ def test_latest_is_one_row_per_key_and_the_maximum(spark, data):
         if k not in want or key > want[k][0]:
             want[k] = (key, (e, t))
     assert got == {k: v for k, (_, v) in want.items()}
+
+
+DOCS = "source_id int, company_krs string, raw_json string"
+DOC_ROWS = [
+    (3, "A", "a3"), (1, "A", "a1"), (2, "B", "b2"), (2, "B", "b2"), (2, "B", "b2x"), (None, "C", "cn"), (4, "C", "c4"),
+    (5, None, "n5"), (6, None, "n6"), (7, "D", None),
+]
+
+
+def test_late_top1_equals_the_window(spark):
+    from strata.operators.ranking import first_per_key, first_per_key_late
+
+    df = spark.createDataFrame(DOC_ROWS, DOCS)
+    for keep in ("first", "last"):
+        for limit in (0, 1 << 20):  # hashed and broadcast
+            late = first_per_key_late(df, ["company_krs"], ["source_id"], keep, broadcast_bytes=limit)
+            want = first_per_key(df, ["company_krs"], ["source_id"], keep)
+            assert late.columns == df.columns
+            assert rows(late, "company_krs", "source_id") == rows(want, "company_krs", "source_id")
+            assert late.where("company_krs = 'B'").count() == 1
+    assert rows(first_per_key_late(df.limit(0), ["company_krs"], ["source_id"])) == []
+
+
+def test_bronze_neither_sorts_nor_shuffles_the_documents(spark):
+    from strata.plans import registry as R
+
+    raw = spark.range(400).selectExpr(
+        "id", "CAST(id % 300 AS STRING) AS krs_number", "repeat(CAST(id AS STRING), 50) AS raw_data"
+    )
+    for limit in (0, 1 << 20):
+        plan_of = R.first_per_key_late(raw, ["krs_number"], ["id"], broadcast_bytes=limit)
+        plan = plan_of._jdf.queryExecution().executedPlan().toString()
+        assert "Sort [" not in plan and "Window" not in plan and ("BroadcastExchange" in plan) == (limit > 0)
+    out = R.bronze(raw)
+    assert out.count() == 300 and out.agg(F.max("source_id")).first()[0] == 299
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "Sort [" not in text

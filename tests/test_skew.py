@@ -43,7 +43,7 @@ def test_binned_join_spreads_a_hot_key(spark):
     _no_adaptive(spark)
     try:
         base, hist = _skewed(spark)
-        binned, used = _partition_shares(interval_join(base, hist, ["v"], bin_width=16))
+        binned, used = _partition_shares(interval_join(base, hist, ["v"], bin_rows=16))
         keyed, _ = _partition_shares(interval_join(base, hist, ["v"], method="key"))
         assert keyed > 0.9  # the reference plan: one task holds the hot key
         assert binned < 0.3 and used >= 6
@@ -66,20 +66,26 @@ def test_repair_spreads_a_hot_key(spark):
 
 
 def test_interval_replication_spreads_a_hot_key(spark):
+    """2,000 open intervals of one key: the tasks that replicate them and join grow with the partitions."""
     from strata.operators import asof
 
     _no_adaptive(spark)
     try:
         base, hist = _skewed(spark)
-        binned = base.withColumn(asof._BIN, asof._bin_of(F.col("entry_number").cast("long"), 16))
-        occupied = asof._occupied_nodes(binned, ["company_krs"], asof._levels(base.schema["entry_number"].dataType))
-        spec = asof.AsOfSpec(hist, ("v",))
-        spread = asof._binned_history(
-            spec, ["company_krs"], "valid_from_entry", "valid_to_entry", occupied, 16, base.schema["entry_number"].dataType
-        )
-        share, used = _partition_shares(spread)
-        assert share < 0.3 and used >= 6
+        hist = hist.where("company_krs = 'HOT'").limit(2000).withColumn("valid_to_entry", F.lit(None).cast("int"))
+        used = {}
+        for n in (8, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            split = asof.measure(base, ["company_krs"], "entry_number", 16)
+            assert split.ranges.count() == 1  # only the hot key is cut into ranges
+            spec = asof.AsOfSpec(hist, ("v",))
+            at_type = base.schema["entry_number"].dataType
+            spread = asof.binned_history(spec, ["company_krs"], "valid_from_entry", "valid_to_entry", at_type, split)
+            share, used[n] = _partition_shares(spread)
+            assert share < 3 / min(n, 30), (n, share)
+        assert used[8] >= 6 and used[64] > 3 * used[8]
     finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
         _restore(spark)
 
 

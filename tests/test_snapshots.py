@@ -1,0 +1,150 @@
+"""Atomic publishing: old rows stay readable until the new ones are whole, whatever happens to the writer."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.session import fresh_path, shared_dir, staging
+from strata.sources import snapshots
+from strata.sources.tables import read_clustered, read_table, write_table
+from tests.conftest import rows
+
+
+def _table(spark, path, values, **options):
+    write_table(spark.createDataFrame([(v, str(v)) for v in values], "k int, v string"), path, **options)
+
+
+def _keys(spark, path):
+    return [k for (k,) in rows(read_table(spark, path, columns=["k"]))]
+
+
+def test_a_write_that_dies_leaves_the_old_rows(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [1, 2])
+    broken = spark.range(100).repartition(4).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("boom")).cast("int")).otherwise(F.col("id").cast("int")).alias("k"),
+        F.lit("x").alias("v"),
+    )
+    with pytest.raises(Exception, match="boom"):
+        write_table(broken, path)
+    assert _keys(spark, path) == [1, 2]
+    folders = Path(path.removeprefix("file:")) / snapshots.SNAPSHOTS
+    assert len(list(folders.iterdir())) == 2  # the dead write's files are named by no version
+    assert snapshots.vacuum(spark, path) == 0 and snapshots.vacuum(spark, path, older_than_s=0) == 1
+    assert _keys(spark, path) == [1, 2]
+
+
+def test_a_version_cut_off_in_the_middle_is_passed_over(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [1])
+    (Path(path.removeprefix("file:")) / snapshots.VERSIONS / f"{2:012d}").write_text('{"folders": ["_sna')
+    assert _keys(spark, path) == [1] and snapshots.current(spark, path).number == 1
+    _table(spark, path, [3])
+    assert _keys(spark, path) == [3] and snapshots.current(spark, path).number == 3
+
+
+def test_a_table_is_overwritten_by_a_query_that_reads_it(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [1, 2])
+    write_table(read_table(spark, path).withColumn("k", F.col("k") + 10), path)
+    assert _keys(spark, path) == [11, 12]
+
+
+def test_a_running_reader_keeps_its_version(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [1])
+    before = read_table(spark, path)
+    _table(spark, path, [2])
+    assert rows(before, "k") == [(1,)] and _keys(spark, path) == [2]
+    first = snapshots.versions(spark, path)[0].number
+    assert rows(snapshots.load(spark, path, version=first), "k") == [(1,)]
+    _table(spark, path, [3])  # keeps two versions
+    assert [v.number for v in snapshots.versions(spark, path)] == [2, 3]
+    assert len(list((Path(path.removeprefix("file:")) / snapshots.SNAPSHOTS).iterdir())) == 2
+
+
+def test_schema_changes_must_be_asked_for(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [1])
+    other = spark.createDataFrame([("a", 2.0)], "name string, k double")
+    with pytest.raises(snapshots.SchemaChange):
+        write_table(other, path)
+    assert read_table(spark, path).columns == ["k", "v"]
+    write_table(other, path, overwrite_schema=True)
+    assert read_table(spark, path).dtypes == [("name", "string"), ("k", "double")]
+    with pytest.raises(snapshots.SchemaChange):
+        write_table(spark.range(1), path, mode="append", overwrite_schema=True)
+
+
+def test_of_two_writers_one_fails(spark, monkeypatch):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [1])
+    stale = snapshots._numbers(spark, path)
+    _table(spark, path, [2])
+    monkeypatch.setattr(snapshots, "_numbers", lambda *_: stale)  # a writer that looked before the other's commit
+    with pytest.raises(snapshots.ConcurrentWrite):
+        _table(spark, path, [3])
+    monkeypatch.undo()
+    assert _keys(spark, path) == [2]
+
+
+def test_append_and_partitions(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [1, 2], partition_by=["v"])
+    _table(spark, path, [3], mode="append", partition_by=["v"])
+    back = read_table(spark, path, source_filter="v = '3'")
+    assert rows(back) == [(3, "3")] and _keys(spark, path) == [1, 2, 3]
+    plain = fresh_path(spark, "t")
+    _table(spark, plain, [1])
+    _table(spark, plain, [2], mode="append")
+    assert _keys(spark, plain) == [1, 2]
+
+
+def test_plain_folders_are_read_and_replaced(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [1], atomic=False)
+    assert _keys(spark, path) == [1]
+    _table(spark, path, [2], mode="append")
+    assert _keys(spark, path) == [1, 2]
+    other = fresh_path(spark, "t")
+    _table(spark, other, [1], atomic=False)
+    _table(spark, other, [5])
+    assert _keys(spark, other) == [5]
+    assert sorted(p.name for p in Path(other.removeprefix("file:")).iterdir()) == [snapshots.SNAPSHOTS, snapshots.VERSIONS]
+
+
+def test_empty_tables_keep_their_schema(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, [])
+    assert read_table(spark, path).dtypes == [("k", "int"), ("v", "string")] and _keys(spark, path) == []
+    with pytest.raises(ValueError):
+        _table(spark, path, [1], mode="ignore")
+
+
+def test_filters_reach_the_scan_and_layout_is_sorted(spark):
+    path = fresh_path(spark, "t")
+    _table(spark, path, range(50))
+    plan = read_table(spark, path, columns=["v"], source_filter="k = 7")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(k,7)" in plan
+    clustered = read_clustered(spark, path, keys=["k"], sort_by=["k"], num_partitions=3)
+    ends = clustered.groupBy(F.spark_partition_id().alias("p")).agg(F.min("k"), F.max("k")).orderBy("p").collect()
+    assert all(a[2] < b[1] for a, b in zip(ends, ends[1:])) and len(ends) == 3
+
+
+def test_staging_deletes_what_was_made_inside(spark):
+    from strata import materialize
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    out = fresh_path(spark, "out")
+    before = set(folder.iterdir())
+    with staging(spark):
+        write_table(materialize(spark.range(5)), out)
+        assert set(folder.iterdir()) > before
+    assert {p.name for p in set(folder.iterdir()) - before} == {Path(out).name}
+    with pytest.raises(RuntimeError), staging(spark):
+        materialize(spark.range(5))
+        raise RuntimeError
+    assert {p.name for p in set(folder.iterdir()) - before} == {Path(out).name}
