@@ -257,13 +257,13 @@ def _cells(rows: Column, others: Column, pair_rows: int) -> Column:
 def hot_pairs(base: DataFrame, specs: Sequence[AsOfSpec], on: Sequence[str], pair_rows: int) -> DataFrame | None:
     """``on`` with ``__strata_l{i}`` and ``__strata_r{i}``, the parts of either side at step ``i``, for the pairs that
     are hot at some step; None if there are none. Counts only: the joins themselves are not run for it."""
-    counts = base.groupBy(*on).agg(F.count("*").alias("__strata_n")).dropna(subset=list(on))
-    left = F.col("__strata_n")
-    parts = []
-    for i, spec in enumerate(specs):
-        n = f"__strata_n{i}"
-        counts = counts.join(spec.history.groupBy(*on).agg(F.count("*").alias(n)), list(on), "left")
-        right = F.coalesce(F.col(n), F.lit(0))
+    tables = [base, *[spec.history for spec in specs]]
+    ones = [F.sum(F.when(F.col("__strata_of") == i, 1).otherwise(0)).alias(f"__strata_n{i}") for i in range(len(tables))]
+    keyed = [df.select(*on, F.lit(i).alias("__strata_of")) for i, df in enumerate(tables)]
+    counts = reduce(DataFrame.unionByName, keyed).dropna(subset=list(on)).groupBy(*on).agg(*ones)  # one shuffle of counts
+    left, parts = F.col("__strata_n0"), []
+    for i in range(len(specs)):
+        right = F.col(f"__strata_n{i + 1}")
         parts += [_cells(left, right, pair_rows).alias(f"__strata_l{i}"), _cells(right, left, pair_rows).alias(f"__strata_r{i}")]
         left = left * F.greatest(right, F.lit(1))
     table = counts.select(*on, *parts)

@@ -24,7 +24,7 @@ from ..functions.documents import contains_marker, parse_json, rewrite_keys
 from ..operators.asof import BIN_ROWS, AsOfSpec, interval_chain, start_match_chain
 from ..operators.history import Field, HistorySpec, explode_history, reopen_orphans
 from ..operators.layout import cluster, materialize
-from ..operators.ranking import first_per_key_late, latest_per_key, top_per_key
+from ..operators.ranking import first_per_key_late, latest_per_key
 from ..session import fresh_path, staging
 from ..sources.tables import read_table, write_table
 
@@ -287,7 +287,7 @@ def current_info_direct(
     history that cover that entry. The combinations are a product, and the largest of a product in
     ``tie_break`` order has the largest timeline row and the largest row of each history, each by its own
     columns in that order: they are chosen before the join, so 16 fan-outs never multiply. All of it is
-    partitioned by the key: each history is shuffled once. Same result as :func:`current_info` over
+    partitioned by the key, and a history's largest row is a map-side combined aggregate. Same result as :func:`current_info` over
     :func:`full_history` whenever ``tie_break`` makes the order total.
     """
     repaired = repair_histories(tables) if repaired is None else repaired
@@ -300,8 +300,10 @@ def current_info_direct(
         names = AsOfSpec(repaired[table], cols, prefix).output_names()
         covering = repaired[table].join(last, (F.col(KEY) == key) & (start <= entry) & (end.isNull() | (end > entry)))
         covering = covering.select("__strata_key", *[F.col(c).alias(n) for c, n in zip(cols, names)])
-        order = [F.col(c).desc_nulls_last() for c in tie_break if c in names]
-        top = top_per_key(covering, ["__strata_key"], order or [F.lit(0)])
+        first = [c for c in tie_break if c in names]
+        best = F.max(F.struct(*first, *[c for c in names if c not in first]))  # NULLs are smallest: last
+        top = covering.groupBy("__strata_key").agg(best.alias("__strata_best"))
+        top = top.select("__strata_key", *[F.col(f"__strata_best.{n}").alias(n) for n in names])
         out = out.join(top, out[KEY] == top["__strata_key"], "left").drop("__strata_key")
     return out
 

@@ -58,7 +58,7 @@ cases = st.tuples(
 )
 
 
-@settings(max_examples=30, deadline=None)
+@settings(max_examples=20, deadline=None)
 @given(cases)
 def test_binned_join_equals_brute_force(spark, case):
     base, hist, width = case
@@ -158,7 +158,7 @@ hist_rows = st.lists(
 )
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=12, deadline=None)
 @given(
     st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 40)), max_size=15),
     hist_rows,
@@ -212,7 +212,7 @@ def test_timestamp_axis_over_years(spark):
     assert rows(out) == brute_force(base, hist)
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(
     st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 200)), min_size=20, max_size=120),
     st.lists(
@@ -284,7 +284,7 @@ def test_hot_pairs_are_dealt_over_tasks(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(hist_rows, hist_rows, hist_rows)
 def test_dealt_start_match_equals_brute_force(spark, s, c, p):
     def partners(other, k, start):

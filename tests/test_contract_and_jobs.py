@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from pathlib import Path
 
 import pytest
@@ -17,11 +18,23 @@ from tests.test_registry import FULL_HISTORY_COLUMNS
 
 
 def test_every_query_has_an_oracle():
-    # the optional corpus operators have no SQL form; their own tests hold them against brute force
+    # most of the optional corpus operators have no SQL form; their own tests hold them against brute force
     own = {name for name in contract.queries() if not re.fullmatch(r"op\d+_.*|pipeline", name)}
     assert own == {name for name in contract.oracle_sql() if name in own} and len(own) >= 35
 
 
+def test_missing_packages_of_optional_operators_leave_the_rest(monkeypatch):
+    """Also a folder that is there but does not import: the other queries stay."""
+    code = Path(contract.__file__).read_text()
+    monkeypatch.setitem(sys.modules, "strata.llm.queries", None)  # importing it raises ImportError
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    monkeypatch.delattr("strata.llm.queries", raising=False)
+    names: dict = {"__name__": "entry_without_optional"}
+    exec(compile(code, contract.__file__, "exec"), names)
+    left = names["queries"]()
+    assert set(left) == set(names["oracle_sql"]()) and len(left) == 51
+
+
 def test_every_silver_table_has_a_query():
     assert len(derived_registry.SILVER) == 14 and len(derived_registry.QUERIES) == 26
 
