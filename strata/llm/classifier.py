@@ -11,7 +11,8 @@ the positives among them; when a batch makes it negative (overfitting), the step
 The class prior is estimated beforehand from the same two samples (:func:`estimated_prior`): a first
 classifier tells positives from unlabelled, and the share of unlabelled documents above a score, divided by
 the share of positives above it, is an upper bound on the prior; the score with the least upper confidence
-limit gives the estimate.
+limit gives the estimate. A classifier trained with that prior is put to the same test, and the lower bound
+of the two is used. Both score only rows they were not trained on.
 
 Texts are read whole. Features are frequencies of pairs of character classes (letters, digits, space, kinds
 of punctuation, others) and ratios of words, lines and repetitions; neither labels nor language, source or
@@ -137,25 +138,26 @@ class Network:
     def probability(self, rows: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.margin(self.standard(rows))[0].astype("f8"), -30, 30)))
 
-    def train(self, x: np.ndarray, slope, epochs: int, batch: int, seed: int, rate: float = 2e-3, decay: float = 1e-3):
-        """``slope(margin, chosen rows)`` is the derivative of the risk by each margin."""
+    def train(self, x: np.ndarray, slope, steps: int, batch: int, seed: int, rate: float = 2e-3, decay: float = 1e-3):
+        """``steps`` steps on shuffled batches; ``slope(margin, chosen rows)`` is the derivative of the risk by each
+        margin."""
         draw = np.random.default_rng(seed)
         first = [np.zeros_like(p) for p in self.parts]
         second = [np.zeros_like(p) for p in self.parts]
-        step = 0
-        for _ in range(epochs):
-            order = draw.permutation(len(x))
-            for at in range(0, len(x), batch):
-                chosen, step = order[at : at + batch], step + 1
-                z, hidden = self.margin(x[chosen])
-                g = slope(z, chosen).astype("f4")
-                back = np.outer(g, self.parts[2]) * (hidden > 0)
-                gradient = [x[chosen].T @ back, back.sum(0), hidden.T @ g, np.array([g.sum()], "f4")]
-                for k, (p, d) in enumerate(zip(self.parts, gradient)):
-                    d = d + decay * p if p.ndim > 1 else d
-                    first[k] = 0.9 * first[k] + 0.1 * d
-                    second[k] = 0.999 * second[k] + 0.001 * d * d
-                    p -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+        order = np.zeros(0, dtype=np.int64)
+        for step in range(1, steps + 1):
+            if len(order) < min(batch, len(x)):
+                order = draw.permutation(len(x))
+            chosen, order = order[:batch], order[batch:]
+            z, hidden = self.margin(x[chosen])
+            g = slope(z, chosen).astype("f4")
+            back = np.outer(g, self.parts[2]) * (hidden > 0)
+            gradient = [x[chosen].T @ back, back.sum(0), hidden.T @ g, np.array([g.sum()], "f4")]
+            for k, (p, d) in enumerate(zip(self.parts, gradient)):
+                d = d + decay * p if p.ndim > 1 else d
+                first[k] = 0.9 * first[k] + 0.1 * d
+                second[k] = 0.999 * second[k] + 0.001 * d * d
+                p -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -184,7 +186,7 @@ def _positive_from_unlabelled(x: np.ndarray, is_positive: np.ndarray, net: Netwo
     def slope(z, chosen):
         return (_sigmoid(z) - is_positive[chosen]) * weight[chosen] / len(chosen)
 
-    net.train(x, slope, epochs=8, batch=512, seed=seed)
+    net.train(x, slope, steps=200, batch=512, seed=seed)
 
 
 def _non_negative_risk(x: np.ndarray, is_positive: np.ndarray, prior: float, net: Network, seed: int) -> None:
@@ -199,7 +201,7 @@ def _non_negative_risk(x: np.ndarray, is_positive: np.ndarray, prior: float, net
             return -bad
         return bad + np.where(p, prior * (as_bad - 1) / n_p, 0)
 
-    net.train(x, slope, epochs=30, batch=1024, seed=seed)
+    net.train(x, slope, steps=700, batch=1024, seed=seed)
 
 
 def fit(rows: np.ndarray, is_positive: np.ndarray, seed: int = 12) -> tuple[Network, float]:
@@ -208,15 +210,23 @@ def fit(rows: np.ndarray, is_positive: np.ndarray, seed: int = 12) -> tuple[Netw
     scale[scale < 1e-3] = 1e-3
     mean = rows.mean(axis=0)
     even = np.arange(len(rows)) % 2 == 0
-    scores = np.zeros(len(rows))
-    for half in (even, ~even):  # each half is scored by a network trained on the other
-        net = Network(mean, scale, 16, seed)
-        if half.any() and (~half).any():
-            _positive_from_unlabelled(net.standard(rows[~half]), is_positive[~half], net, seed)
+
+    def crossed(hidden: int, train) -> np.ndarray:
+        """Scores of either half by a network trained on the other."""
+        scores = np.zeros(len(rows))
+        for half in (even, ~even):
+            net = Network(mean, scale, hidden, seed)
+            train(net.standard(rows[~half]), is_positive[~half], net)
             scores[half] = net.probability(rows[half])
+        return scores
+
     prior = 0.5
-    if is_positive.any() and not is_positive.all():
+    if all(is_positive[h].any() and not is_positive[h].all() for h in (even, ~even)):
+        scores = crossed(16, lambda x, p, net: _positive_from_unlabelled(x, p, net, seed))
         prior = estimated_prior(scores[is_positive], scores[~is_positive])
+        # every scorer bounds the prior from above, and one trained with a prior ranks better: the least bound
+        scores = crossed(32, lambda x, p, net: _non_negative_risk(x, p, prior, net, seed))
+        prior = min(prior, estimated_prior(scores[is_positive], scores[~is_positive]))
     net = Network(mean, scale, 32, seed)
     _non_negative_risk(net.standard(rows), is_positive, prior, net, seed)
     return net, prior
