@@ -91,11 +91,18 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return counts.where(F.col("n") >= MIN_COUNT)
 
 
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: Counter[str] = Counter()
+    for batch in batches:
+        for word in batch.column(0).to_pylist():
+            total.update(map("".join, zip(word, word[1:])))
+    yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["gram", "n"])
+
+
 def gram_frequencies(words: DataFrame) -> dict[str, int]:
     """Places of each bigram over the distinct words: one entry per pair of letters at most."""
-    places = F.sequence(F.lit(1), F.length("word") - (GRAM - 1))
-    grams = words.select(F.explode(F.transform(places, lambda i: F.substr("word", i, F.lit(GRAM)))).alias("gram"))
-    return {r["gram"]: r["count"] for r in grams.groupBy("gram").count().collect()}
+    grams = words.select("word").mapInArrow(_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return {r["gram"]: r["n"] for r in grams.collect()}
 
 
 def choose_pivots(places: list[tuple[int, int]], wanted: int = EDITS + 1) -> list[int]:
