@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.layout import materialize
 
-__all__ = ["byte_values", "digest", "documents", "groups", "materialize", "pages", "table"]
+__all__ = ["byte_values", "digest", "documents", "groups", "materialize", "pages", "spread", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,13 @@ def byte_values(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(kind).to_pylist()]
 
 
+def spread(df: DataFrame, n_rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over a number of tasks of its own. Rows that only name work (files, blocks) are so
+    small that adaptive execution would merge their partitions into one; a given count is not merged."""
+    wide = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(n_rows, max(wide, -(-n_rows // 16)))), *keys)
+
+
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[dict]]]:
     """Runs of equal ``key`` in a stream of record batches that arrive sorted by ``key``."""
     current, rows = None, []

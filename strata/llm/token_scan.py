@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from .common import materialize
+from .common import materialize, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SEPARATOR = 50256
@@ -120,8 +120,9 @@ def count_tokens(
 ) -> DataFrame:
     """(file, ordinal, n_tokens) of every document in ``files`` (file, bytes), read from ``folder``'s store."""
     schema = pa.schema(
-        [("file", pa.string()), ("block", pa.int64()), ("closed", pa.list_(pa.int64())), ("open", pa.int64())]
-    )
+        [("file", pa.string()), ("block", pa.int64()), ("closed", pa.list_(pa.int64())), ("n_closed", pa.int64()),
+         ("tokens", pa.int64()), ("open", pa.int64())]
+    )
     step = block_bytes // width * width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,30 +132,40 @@ def count_tokens(
                 with system.open_input_file(r["file"]) as f:
                     data = f.read_at(min(step, r["bytes"] - r["block"] * step), r["block"] * step)
                 closed, rest = block_separators(data, separator, width)
-                row = {"file": r["file"], "block": r["block"], "closed": closed, "open": rest}
+                row = {"file": r["file"], "block": r["block"], "closed": closed, "n_closed": len(closed),
+                       "tokens": len(data) // width, "open": rest}
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
 
+    files = files.where("bytes > 0")
     last = F.floor((F.col("bytes") - 1) / step)
+    n_blocks = files.agg(F.sum(last + 1)).first()[0] or 0
+    blocks = files.select("file", "bytes", F.explode(F.sequence(F.lit(0), last)).alias("block"))
     scanned = materialize(
-        files.where("bytes > 0")
-        .select("file", "bytes", F.explode(F.sequence(F.lit(0), last)).alias("block"))
-        .repartition("file", "block")
-        .mapInArrow(run, "file string, block long, closed array<long>, open long")
+        spread(blocks, n_blocks, "file", "block").mapInArrow(
+            run, "file string, block long, closed array<long>, n_closed long, tokens long, open long"
+        )
     )
-    # prefix scan: tokens up to each block's end, and where the last separator before a block stood
-    order = Window.partitionBy("file").orderBy("block")
+    # prefix scan over counts alone, so that a file's separators never meet in one task: tokens up to each block's
+    # end, and where the last separator before a block stood
+    order = Window.partitionBy("s_file").orderBy("s_block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    tokens = F.aggregate("closed", F.lit(0).cast("long"), lambda a, x: a + x) + F.size("closed") + F.col("open")
-    stitched = (
-        scanned.withColumn("upto", F.sum(tokens).over(order))
-        .withColumn("restart", F.when(F.size("closed") > 0, F.col("upto") - F.col("open")))
-        .withColumn(
-            "carried",
-            F.coalesce(F.lag("upto").over(order), F.lit(0))
-            - F.coalesce(F.last("restart", ignorenulls=True).over(before), F.lit(0)),
+    sums = scanned.select(
+        F.col("file").alias("s_file"), F.col("block").alias("s_block"), "n_closed", "tokens", F.col("open").alias("left")
+    )
+    sums = (
+        sums.withColumn("upto", F.sum("tokens").over(order))
+        .withColumn("restart", F.when(F.col("n_closed") > 0, F.col("upto") - F.col("left")))
+        .select(
+            "s_file",
+            "s_block",
+            (F.coalesce(F.lag("upto").over(order), F.lit(0))
+             - F.coalesce(F.last("restart", ignorenulls=True).over(before), F.lit(0))).alias("carried"),
+            F.coalesce(F.sum("n_closed").over(before), F.lit(0)).alias("first"),
+            F.lead("s_block").over(order).isNull().alias("final"),
         )
-        .withColumn("first", F.coalesce(F.sum(F.size("closed")).over(before), F.lit(0)))
-        .withColumn("final", F.lead("block").over(order).isNull())
+    )
+    stitched = scanned.select("file", "block", "closed", "open").join(
+        sums, (F.col("file") == F.col("s_file")) & (F.col("block") == F.col("s_block"))
     )
     rest = F.when(F.size("closed") > 0, F.col("open")).otherwise(F.col("open") + F.col("carried"))
     closed = stitched.select(
