@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from .common import materialize
+from .common import materialize, spread
 from .token_scan import open_folder
 
 PACKAGE_BYTES = 128 << 20
@@ -162,7 +162,11 @@ def write_archives(pages: DataFrame, least: int = 0) -> DataFrame:
         .where("same > 1")
         .drop("same")
     )
-    typed = rows.join(firsts, F.col("digest") == F.col("f_digest"), "left").select("page_id", "url", "html", "first_id")
+    # equal payloads meet as ids only; pages then meet their own id, so no task gets all pages of a payload
+    copies = rows.select(F.col("page_id").alias("c_id"), F.col("digest").alias("c_digest")).dropDuplicates()
+    copies = copies.join(firsts, F.col("c_digest") == F.col("f_digest")).select("c_id", "c_digest", "first_id")
+    same = (F.col("digest") == F.col("c_digest")) & F.col("page_id").eqNullSafe(F.col("c_id"))
+    typed = rows.join(copies, same, "left").select("page_id", "url", "html", "first_id")
     schema = pa.schema([("package", pa.string()), ("records", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,4 +310,4 @@ def read_archives(packages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     kind = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return packages.select("package").repartition("package").mapInArrow(run, kind)
+    return spread(packages.select("package"), packages.count(), "package").mapInArrow(run, kind)
