@@ -5,20 +5,21 @@
         --source-filter "is_current = TRUE" --out /shared/lake --export-url jdbc:postgresql://h/dw
 
 Sources: a table path (``--source-table``) or JDBC (``--jdbc-*``). Gold optionally exports
-the four staging tables over JDBC. Settings come from arguments, not the environment.
+the four staging tables over JDBC. Settings come from arguments, or from the environment as STRATA_<ARGUMENT>.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+import os
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import registry as R
 from .session import Settings, build_session
-from .sources.jdbc import RangePartitioning, derive_partitioning, read_jdbc, read_properties, write_jdbc
+from .sources.jdbc import RangePartitioning, derive_partitioning, derive_predicates, read_jdbc, read_properties, write_jdbc
 from .sources.tables import read_table
 
 # Target table names of the JDBC export and whether each is capped to
@@ -36,6 +37,8 @@ SETTINGS = (
     "app_name", "executor_memory", "executor_cores", "executor_memory_overhead", "network_timeout",
     "shuffle_max_retries", "shuffle_retry_wait", "advisory_partition_size", "max_partition_bytes", "checkpoint_dir",
 )
+#: Of environment variables that stand in for arguments.
+PREFIX = "STRATA_"
 SWITCHES = ("adaptive", "skew_join", "coalesce_partitions", "kryo")
 
 
@@ -44,7 +47,15 @@ def read_source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return read_table(spark, args.source_table, args.source_format, source_filter=args.source_filter)
     access = credentials(args, "jdbc")
     partitioning = None
-    if args.jdbc_partition_column:
+    predicates = None
+    if args.jdbc_quantiles:
+        if not (args.jdbc_partition_column and args.jdbc_num_partitions):
+            raise ValueError("--jdbc-quantiles needs --jdbc-partition-column and --jdbc-num-partitions")
+        predicates = derive_predicates(
+            spark, args.jdbc_url, args.jdbc_table, args.jdbc_partition_column, args.jdbc_num_partitions,
+            args.source_filter, args.jdbc_quantiles, **access,
+        )
+    elif args.jdbc_partition_column:
         column, parts = args.jdbc_partition_column, args.jdbc_num_partitions
         if parts is None:
             raise ValueError("--jdbc-partition-column needs --jdbc-num-partitions")
@@ -59,7 +70,8 @@ def read_source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             partitioning = RangePartitioning(column, *bounds, parts)
     return read_jdbc(
         spark, args.jdbc_url, args.jdbc_table, fetchsize=args.jdbc_fetchsize,
-        columns=["id", "krs_number", "raw_data"], source_filter=args.source_filter, partitioning=partitioning, **access,
+        columns=["id", "krs_number", "raw_data"], source_filter=args.source_filter, partitioning=partitioning,
+        predicates=predicates, **access,
     )
 
 
@@ -91,7 +103,7 @@ def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     return paths
 
 
-def parser() -> argparse.ArgumentParser:
+def parser(environment: Mapping[str, str] | None = None) -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata.jobs", description=__doc__.split("\n")[0])
     p.add_argument("stage", choices=["bronze", "silver", "gold", "all"])
     p.add_argument("--out", required=True, help="lake root on shared storage")
@@ -105,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-lower-bound", type=int, help="asked from the database when neither bound is given")
     p.add_argument("--jdbc-upper-bound", type=int)
     p.add_argument("--jdbc-num-partitions", type=int)
+    p.add_argument("--jdbc-quantiles", type=int, metavar="N", help="cut at quantiles of every N-th id, not at equal strides")
     p.add_argument("--keep", choices=["first", "last"], default="first")
     p.add_argument("--on-error", choices=["fail", "null"], default="fail")
     p.add_argument("--silver-partitions", type=int)
@@ -124,9 +137,24 @@ def parser() -> argparse.ArgumentParser:
     for name in SWITCHES:
         p.add_argument(f"--{name.replace('_', '-')}", action=argparse.BooleanOptionalAction)
     p.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="any other Spark option")
+    from_environment(p, os.environ if environment is None else environment)
     return p
 
 
+def from_environment(p: argparse.ArgumentParser, environment: Mapping[str, str]) -> None:
+    """Defaults of the arguments from ``STRATA_<ARGUMENT>`` (lists separated by commas); the command line wins."""
+    for action in p._actions:
+        value = environment.get(f"{PREFIX}{action.dest.upper()}")
+        if value is None or not action.option_strings:
+            continue
+        if isinstance(action, argparse.BooleanOptionalAction):
+            action.default = value.lower() in ("1", "true", "yes")
+        elif action.nargs == "*" or isinstance(action, argparse._AppendAction):
+            action.default = [v for v in value.split(",") if v]
+        else:
+            action.default, action.required = value, False  # argparse applies the type to a text default
+
+
 def settings_from(args: argparse.Namespace) -> Settings:
     """Sized from ``--input-bytes``/``--cores`` when given, else the fixed shuffle width."""
     extra = dict(pair.partition("=")[::2] for pair in args.conf)

@@ -87,8 +87,49 @@ def jdbc_read_options(
     return opts
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **kwargs) -> DataFrame:
-    """JDBC scan (S1) with the source filter applied in the database."""
+def quantile_predicates(cuts: Sequence[int], column: str) -> list[str]:
+    """One WHERE clause per read task: the ranges between ``cuts``, which together hold every row once, rows
+    without ``column`` included (they go to the first)."""
+    cuts = sorted(set(cuts))
+    if not cuts:
+        return ["1 = 1"]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *middle, f"{column} >= {cuts[-1]}"]
+
+
+def sample_query(table: str, column: str, one_in: int, source_filter: str | None = None) -> str:
+    """``dbtable`` text of every ``one_in``-th id (by value), computed in the database."""
+    where = f"({source_filter}) AND " if source_filter else ""
+    return f"(SELECT {column} AS v FROM {table} WHERE {where}MOD({column}, {one_in}) = 0) ids"
+
+
+def quantile_cuts(ids: DataFrame, num_partitions: int) -> list[int]:
+    """Up to ``num_partitions - 1`` values of ``ids`` (column ``v``) that split it into equal shares; the quantiles are
+    sketched by Spark, only they reach the driver."""
+    if num_partitions < 1:
+        raise ValueError("num_partitions must be positive")
+    shares = [i / num_partitions for i in range(1, num_partitions)]
+    return sorted({int(v) for v in ids.approxQuantile("v", shares, 0.1 / num_partitions)}) if shares else []
+
+
+def derive_predicates(
+    spark: SparkSession, url: str, table: str, column: str, num_partitions: int,
+    source_filter: str | None = None, one_in: int = 1000, **access: str,
+) -> list[str]:
+    """Predicates of about equal numbers of rows from a sample of the ids, so that gaps and dense stretches do not
+    leave one task with most rows, as equal strides between the bounds do."""
+    options = jdbc_read_options(url, sample_query(table, column, one_in, source_filter), **access)
+    return quantile_predicates(quantile_cuts(spark.read.format("jdbc").options(**options).load(), num_partitions), column)
+
+
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, predicates: Sequence[str] | None = None, **kwargs
+) -> DataFrame:
+    """JDBC scan (S1) with the source filter applied in the database (S2); one task per predicate when given."""
+    if predicates:
+        options = jdbc_read_options(url, table, **kwargs)
+        where = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(url, options["dbtable"], predicates=list(predicates), properties=where)
     return spark.read.format("jdbc").options(**jdbc_read_options(url, table, **kwargs)).load()
 
 

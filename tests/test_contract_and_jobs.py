@@ -140,3 +140,31 @@ def test_silver_layout_sorts_without_a_shuffle(spark, tmp_path):
     for name, df in R.silver(R.bronze(raw)).items():
         got = read_table(spark, f"{out}/silver/{name}")
         assert sorted(map(repr, got.collect())) == sorted(map(repr, df.collect())), name
+
+
+def test_quantile_reads_hold_every_row_once(spark):
+    """Ids with a gap and a dense stretch: equal shares per task, where equal strides leave one with most rows."""
+    ids = spark.range(100, 5100).selectExpr("id AS v").unionByName(spark.range(1_000_000, 1_000_500).selectExpr("id AS v"))
+    cuts = jdbc.quantile_cuts(ids, 8)
+    clauses = jdbc.quantile_predicates(cuts, "v")
+    table = ids.unionByName(spark.createDataFrame([(None,), (-5,)], "v long"))
+    counts = [table.where(c).count() for c in clauses]
+    assert len(clauses) == 8 and sum(counts) == table.count() and max(counts) < 1.3 * table.count() / 8
+    assert jdbc.quantile_predicates([], "v") == ["1 = 1"] and jdbc.quantile_cuts(ids, 1) == []
+    assert jdbc.quantile_predicates([7, 3, 7], "v") == ["v < 3 OR v IS NULL", "v >= 3 AND v < 7", "v >= 7"]
+    assert jdbc.sample_query("t", "id", 10, "c = 1") == "(SELECT id AS v FROM t WHERE (c = 1) AND MOD(id, 10) = 0) ids"
+    bad = ["bronze", "--out", "/x", "--jdbc-url", "jdbc:x", "--jdbc-table", "t", "--jdbc-quantiles", "100"]
+    with pytest.raises(ValueError):
+        jobs.read_source(None, jobs.parser().parse_args(bad))
+
+
+def test_environment_gives_defaults():
+    given = {"STRATA_OUT": "/lake", "STRATA_SHUFFLE_PARTITIONS": "500", "STRATA_TIE_BREAK": "a,b", "STRATA_KRYO": "false",
+             "STRATA_CONF": "x.y=1,x.z=2", "STRATA_TRUNCATE": "false", "OUT": "/other"}
+    args = jobs.parser(given).parse_args(["gold"])
+    assert (args.out, args.shuffle_partitions, args.tie_break, args.kryo) == ("/lake", 500, ["a", "b"], False)
+    assert args.conf == ["x.y=1", "x.z=2"] and args.truncate is False
+    assert jobs.settings_from(args).extra == {"x.y": "1", "x.z": "2"}
+    assert jobs.parser(given).parse_args(["gold", "--out", "/y", "--shuffle-partitions", "7"]).shuffle_partitions == 7
+    with pytest.raises(SystemExit):
+        jobs.parser({}).parse_args(["gold"])
