@@ -6,11 +6,12 @@ sequence of slots, ``shard_slots`` to an output shard, and each slot holds one b
 * targets: the sizes of all sources together, shared out by weight; a target stops at ``repeat``
   times its source's size and the excess is shared again by weight (solved at once: in the order of
   cap / weight the capped sources come first);
-* a source fills ``target`` words' worth of slots; the slots of all sources are dealt over the output
-  shards by a pseudorandom permutation of the slot numbers. A shard's source counts are thus
-  multinomial draws given the totals, so the totals meet the targets to within one block (free
+* a source fills ``target`` words' worth of slots; a pseudorandom permutation of the slot numbers deals
+  them over the output shards and so draws each shard's source counts (:func:`shard_counts`):
+  multinomial given the totals, so the totals meet the targets to within one block (free
   draws would miss small sources' targets by their standard deviation);
-* a source's i-th slot takes block ``permutation(i mod blocks)``, another permutation in each round
+* in a shard, a source's slots are its next ones after those of the shards before (a running sum of its
+  counts). Its i-th slot takes block ``permutation(i mod blocks)``, another permutation in each round
   through its blocks, so no block is taken more than ``repeat`` times;
 * slots join blocks on (source, block index).
 
@@ -18,8 +19,8 @@ Permutations are swap-or-not networks: exact on any range, computed per row, not
 
 Scale: word counts are made once and stored without the texts; a source's running offsets are sums in
 ``PACKS`` hash packs plus sums over packs, so a hot source spreads over as many tasks; slots are
-numbered in runs of ``RUN`` and spread before they are listed. Only one row per source, never per
-document, meets in one task.
+numbered in runs of ``RUN`` and spread before they are listed; running sums over shards are sums in spans of
+``SPAN`` shards plus sums over spans. Only one row per source, never per document, meets in one task.
 
 Defined cases: null text has no words and is taken 0 times; a null source is a source (last in order);
 null ids and repeated rows count as rows of their own; empty tables give empty results.
@@ -39,6 +40,7 @@ BLOCK = 128
 SHARD_SLOTS = 64
 PACKS = 1024
 RUN = 4096
+SPAN = 4096
 ROUNDS = 24
 SEED = 20
 
@@ -105,28 +107,56 @@ def quotas(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def slots(quota: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """The mix: shard, slot, sid, round, block."""
+def shard_counts(quota: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The draw: shard, sid, blocks, n (slots of the shard that the source fills) and ahead (slots it fills in
+    the shards before). Staged: a row per shard and source in it."""
     runs = quota.where("slots > 0").select(
         "sid", "blocks", "slots", "first", "all_slots",
         F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / RUN))).alias("run"),
     )
     low = F.col("run") * RUN
     i = F.explode(F.sequence(low, F.least(low + RUN, F.col("slots")) - 1)).alias("i")
-    # a count of its own, as the few runs would be merged into one task before they are listed
-    tasks = int(quota.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    listed = runs.repartition(tasks, "sid", "run").select("sid", "blocks", "first", "all_slots", i)
+    listed = _dealt(runs, "sid", "run").select("sid", "blocks", "first", "all_slots", i)
     place = permuted(F.col("first") + F.col("i"), F.col("all_slots"))
-    turn = F.floor(F.col("i") / F.col("blocks"))
-    return listed.select("sid", "blocks", "i", place.alias("place"), turn.alias("round")).select(
-        F.floor(F.col("place") / shard_slots).alias("shard"),
-        (F.col("place") % shard_slots).alias("slot"),
+    drawn = materialize(
+        listed.groupBy("sid", "blocks", F.floor(place / shard_slots).alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+    ).withColumn("span", F.floor(F.col("shard") / SPAN))
+    sums = drawn.groupBy(F.col("sid").alias("b_sid"), F.col("span").alias("b_span")).agg(F.sum("n").alias("total"))
+    before = F.sum("total").over(Window.partitionBy("b_sid").orderBy("b_span")) - F.col("total")
+    in_span = F.sum("n").over(Window.partitionBy("sid", "span").orderBy("shard")) - F.col("n")
+    return (
+        drawn.withColumn("in_span", in_span)
+        .join(sums.withColumn("before", before), (F.col("sid") == F.col("b_sid")) & (F.col("span") == F.col("b_span")))
+        .select("shard", "sid", "blocks", "n", (F.col("before") + F.col("in_span")).alias("ahead"))
+    )
+
+
+def slots(quota: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The mix: shard, slot, sid, round, block."""
+    counts = shard_counts(quota, shard_slots)
+    lower = F.sum("n").over(Window.partitionBy("shard").orderBy("sid")) - F.col("n")
+    j = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j")
+    held = counts.withColumn("lower", lower).withColumn("held", F.sum("n").over(Window.partitionBy("shard")))
+    listed = (
+        _dealt(held, "sid", "shard")
+        .select("shard", "sid", "blocks", "ahead", "lower", "held", j)
+        .withColumn("i", F.col("ahead") + F.col("j"))
+        .withColumn("round", F.floor(F.col("i") / F.col("blocks")))
+    )
+    return listed.select(
+        "shard",
+        permuted(F.col("lower") + F.col("j"), F.col("held"), F.col("shard")).alias("slot"),
         "sid",
         "round",
         permuted(F.col("i") % F.col("blocks"), F.col("blocks"), F.col("sid"), F.col("round")).alias("block"),
     )
 
 
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Few ``rows`` that list many: a count of its own, as they would be merged into one task before."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def packed(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """``sized`` rows with words, plus sid and start (first word in the source's stream; unique there)."""
     ids = targets.select("sid", F.col("source").alias("s_source"))
@@ -136,7 +166,10 @@ def packed(sized: DataFrame, targets: DataFrame) -> DataFrame:
         .drop("s_source")
         .withColumn("pack", F.pmod(F.xxhash64("doc_id", "size"), F.lit(PACKS)))
     )
-    in_pack = Window.partitionBy("sid", "pack").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    others = [c for c in sized.columns if c not in ("doc_id", "source", "size")]
+    in_pack = (
+        Window.partitionBy("sid", "pack").orderBy("doc_id", "size", *others).rowsBetween(Window.unboundedPreceding, 0)
+    )
     sums = rows.groupBy("sid", "pack").agg(F.sum("size").alias("pack_size"))
     bases = sums.select(
         F.col("sid").alias("b_sid"),
@@ -174,27 +207,34 @@ def mix(sized: DataFrame, targets: DataFrame, block: int = BLOCK, shard_slots: i
 
 def words_taken(docs: DataFrame, *extra: Column, block: int = BLOCK) -> DataFrame:
     """A row per row of ``docs`` (doc_id, source, text): doc_id, source, size, ``extra`` columns,
-    source_size, target, taken (words of it that the mix takes, repeats counted)."""
+    source_size, target, taken (words of it that the mix takes, repeats counted), first_shard (the smallest
+    output shard that holds words of it, else null)."""
     names = [c for c in docs.select(*extra).columns] if extra else []
     sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *extra))
     targets = materialize(source_targets(sized))
     uses = (
-        slots(quotas(targets, block)).groupBy(F.col("sid").alias("u_sid"), F.col("block").alias("u_block")).count()
+        slots(quotas(targets, block))
+        .groupBy(F.col("sid").alias("u_sid"), F.col("block").alias("u_block"))
+        .agg(F.count(F.lit(1)).alias("count"), F.min("shard").alias("u_shard"))
     )
     members = block_members(packed(sized, targets), block)
     carried = ["doc_id", "source", "size", *names]
     taken = (
         members.join(uses.hint("merge"), (F.col("sid") == F.col("u_sid")) & (F.col("block") == F.col("u_block")), "left")
         .groupBy("sid", "start", *carried)
-        .agg(F.sum(F.coalesce("count", F.lit(0)) * F.col("words")).alias("taken"))
-        .select(*carried, "taken")
+        .agg(
+            F.sum(F.coalesce("count", F.lit(0)) * F.col("words")).alias("taken"), F.min("u_shard").alias("first_shard")
+        )
+        .select(*carried, "taken", "first_shard")
+    )
+    rest = sized.where("size = 0").select(
+        *carried, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_shard")
     )
-    rest = sized.where("size = 0").select(*carried, F.lit(0).cast("long").alias("taken"))
     about = targets.select(F.col("source").alias("t_source"), "source_size", "target")
     return (
         taken.unionByName(rest)
         .join(about, F.col("source").eqNullSafe(F.col("t_source")), "left")
-        .select(*carried, "source_size", "target", "taken")
+        .select(*carried, "source_size", "target", "taken", "first_shard")
     )
 
 

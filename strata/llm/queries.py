@@ -36,9 +36,9 @@ def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of every document that the mix of sources takes."""
+    """Words of every document that the mix of sources takes, and the first output shard that holds some."""
     return mixing.words_taken(documents(spark, sf_dir, "doc_id", "source", "text")).select(
-        "doc_id", "size", "source_size", "target", "taken"
+        "doc_id", "size", "source_size", "target", "taken", "first_shard"
     )
 
 

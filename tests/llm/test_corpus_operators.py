@@ -286,6 +286,46 @@ def test_mix_holds_whole_blocks(spark):
     assert sum(r["w"] < mixing.BLOCK for r in held) <= 6  # only a source's last block is short
 
 
+def test_taken_words_come_from_the_shard_draw(spark, monkeypatch):
+    """Brute force: block uses replayed from the staged shard counts, in pure Python, give words and shards."""
+    monkeypatch.setattr(mixing, "SPAN", 3)
+    rng = random.Random(4)
+    made = [(i, rng.choice("aaaab"), words(rng, rng.randrange(0, 300))) for i in range(300)] + [(900, "c", None)]
+    df = spark.createDataFrame(made, "doc_id long, source string, text string")
+    sized = df.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
+    targets = mixing.source_targets(sized)
+    quota = mixing.quotas(targets)
+    counts = mixing.shard_counts(quota, 8).collect()
+    filled = {r["sid"]: r["slots"] for r in quota.collect()}
+    total, in_shard = Counter(), Counter()
+    for r in sorted(counts, key=lambda r: (r["sid"], r["shard"])):
+        assert r["ahead"] == total[r["sid"]]
+        total[r["sid"]] += r["n"]
+        in_shard[r["shard"]] += r["n"]
+    assert all(total[s] == n for s, n in filled.items())
+    assert all(n == 8 for s, n in in_shard.items() if s < max(in_shard)) and len(in_shard) > 9
+    held = mixing.slots(quota, 8).collect()
+    assert len({(r["shard"], r["slot"]) for r in held}) == len(held) == sum(filled.values())
+    assert all(0 <= r["slot"] < in_shard[r["shard"]] for r in held)
+    blocks = {r["sid"]: r["blocks"] for r in counts}
+    uses = Counter((r["sid"], r["block"]) for r in held)
+    for s, n in filled.items():  # whole rounds through the blocks, then part of one more
+        assert all(uses[s, b] in (n // blocks[s], -(-n // blocks[s])) for b in range(blocks.get(s, 0)))
+    uses, first = Counter(), {}
+    for r in mixing.slots(quota).collect():
+        uses[r["sid"], r["block"]] += 1
+        first[r["sid"], r["block"]] = min(first.get((r["sid"], r["block"]), 1 << 60), r["shard"])
+    expect = {r["doc_id"]: (0, None) for r in sized.collect()}
+    for r in mixing.packed(sized, targets).collect():
+        at = Counter((r["sid"], w // mixing.BLOCK) for w in range(r["start"], r["start"] + r["size"]))
+        expect[r["doc_id"]] = (
+            sum(uses[k] * n for k, n in at.items()),
+            min((first[k] for k in at if k in first), default=None),
+        )
+    taken = mixing.words_taken(df)
+    assert {r["doc_id"]: (r["taken"], r["first_shard"]) for r in taken.collect()} == expect
+
+
 # ---------------------------------------------------------------- 10 sharding
 
 
