@@ -1,14 +1,19 @@
-"""N-gram Jaccard join with MinHash banding (operator 3).
+"""N-gram Jaccard join with a MinHash LSH forest (operator 3).
 
 A text is the set of its five-word shingles (words: runs without ASCII white space, A-Z lower-cased;
 a text of fewer words is one shingle). Two texts are linked when their sets' Jaccard similarity is at
 least ``threshold``.
 
-Banding: the MinHash signature has ``trees`` parts of ``depth`` values. Of each part a prefix is matched, as
-long as a pair at the threshold still meets in some part with probability ``recall`` (:func:`matched_depth`):
-one length for all texts, 3 of 6 values for the parameters used, the rest of a signature is not read. Texts
-sharing a part's prefix are one node. Nodes with the same members in several tries are matched once.
-Each pair of a node is then verified exactly on the whole shingle sets.
+Forest: a signature has a run of MinHash values for each tree; the texts that agree on a tree's first ``d``
+values are one node of its prefix trie. The shorter the prefix, the fewer trees find a pair at the threshold
+(:func:`forest`: 16 trees at 4 values, 12 at 3, 8 at 2). Every text begins at the full prefix and shortens it,
+dropping the trees it no longer needs, to the length that leaves it the fewest candidates (each further value
+must leave less than 1 / ``WORTH`` of them): texts among many
+alike by chance keep long prefixes, texts with true copies only get short ones. A node is matched if one of its
+texts stopped there; it then meets all texts of the node, however long their own prefixes. Whichever length a
+text chooses, and though it looks at the node sizes to choose, a pair at the threshold is lost with a probability
+of at most 1 - ``recall``: each length may lose a share of it, and the shares add up. Nodes with the same
+members are matched once. Each pair of a node is then verified exactly on the whole shingle sets.
 
 Scale: equal texts are folded into one representative before anything is matched, so a hot group of
 copies costs one row. A node of many different texts is cut into chunks, and each pair of chunks is a
@@ -28,6 +33,7 @@ empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +47,11 @@ from .common import byte_values, digest, groups, materialize
 
 WORDS = 5
 THRESHOLD = 0.8
-TREES, DEPTH, RECALL = 10, 6, 0.999
+DEPTHS, RECALL = (2, 3, 4), 0.999
+#: A prefix is left longer by a value if that divides the candidates by more than this.
+WORTH = 4
+#: Most MinHash values of a signature.
+VALUES = 500
 #: Most texts and shingles of a chunk; a block holds two chunks.
 CHUNK_TEXTS, CHUNK_SHINGLES = 512, 1 << 21
 
@@ -87,13 +97,14 @@ def signature(hashes: np.ndarray, length: int) -> np.ndarray:
     return (best >> np.uint64(32)).astype(">u4")
 
 
-def matched_depth(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """Longest prefix at which a pair at ``threshold`` still meets in a trie with probability ``recall``:
-    the full depth, shortened value by value."""
-    for d in range(depth, 0, -1):
-        if 1 - (1 - threshold**d) ** trees >= recall:
-            return d
-    raise ValueError("more trees are needed for this recall")
+def forest(threshold: float, recall: float = RECALL, depths: tuple[int, ...] = DEPTHS) -> dict[int, int]:
+    """Trees for each prefix length, so that a text may settle for any of them: at each, a pair at
+    ``threshold`` meets in no tree with probability (1 - ``recall``) / lengths at most."""
+    lost = (1 - recall) / len(depths)
+    trees = {d: math.ceil(math.log(lost) / math.log1p(-(threshold**d))) if threshold < 1 else 1 for d in depths}
+    if max(trees.values()) * max(depths) > VALUES:
+        raise ValueError(f"a signature of {VALUES} values is too short for this threshold and recall")
+    return trees
 
 
 def _signatures(length: int):
@@ -235,25 +246,51 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def matched_nodes(texts: DataFrame, trees: dict[int, int]) -> DataFrame:
+    """(tk, n, depth, node): the texts (tk, n, sig) of every node at which one of them stops."""
+    deepest = max(trees)
+    keys = F.array(
+        *[
+            F.struct(
+                F.lit(d).alias("depth"),
+                F.xxhash64(F.lit(d), F.lit(t), F.substring("sig", 4 * deepest * t + 1, 4 * d)).alias("node"),
+            )
+            for d in trees
+            for t in range(trees[d])
+        ]
+    )
+    placed = texts.where("n > 0").select("tk", "n", F.explode(keys).alias("k")).select("tk", "n", "k.depth", "k.node")
+    sizes = placed.groupBy(F.col("node").alias("s_node")).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = materialize(placed.join(sizes, F.col("node") == F.col("s_node")).drop("s_node"))
+    # true copies hardly thin out along a prefix: only much fewer candidates are worth the trees of a longer one
+    candidates = {
+        d: F.sum(F.when(F.col("depth") == d, (F.col("members") - 1) * WORTH ** (d - min(trees))).otherwise(0))
+        for d in trees
+    }
+    stops = shared.groupBy(F.col("tk").alias("c_tk")).agg(
+        F.least(*[F.struct(c.alias("candidates"), F.lit(d).alias("depth")) for d, c in candidates.items()]).alias("stop")
+    )
+    reached = (
+        shared.join(stops, (F.col("tk") == F.col("c_tk")) & (F.col("depth") == F.col("stop.depth")))
+        .select(F.col("node").alias("r_node"))
+        .distinct()
+    )
+    return shared.join(reached, F.col("node") == F.col("r_node")).select("tk", "n", "depth", "node")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per distinct text of ``docs`` (doc_id, text): tk (its digest), rep (smallest doc_id),
     copies, links (documents linked with it, copies included), class_id, keeper (the class's one text
     that stays)."""
-    depth = matched_depth(threshold)
-    sig = _signatures(TREES * DEPTH)(F.col("text"))
+    trees = forest(threshold)
+    sig = _signatures(max(trees.values()) * max(trees))(F.col("text"))
     texts = materialize(
         docs.select("doc_id", digest(F.col("text")).alias("tk"), sig.alias("s"))
         .groupBy("tk")
         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("s").alias("s"))
         .select("tk", "rep", "copies", "s.n", "s.sig")
     )
-    keys = F.array(
-        *[
-            F.xxhash64(F.lit(t), F.substring("sig", 4 * DEPTH * t + 1, 4 * depth))  # the prefix's trie node
-            for t in range(TREES)
-        ]
-    )
-    placed = texts.where("n > 0").select("tk", "n", F.explode(keys).alias("node"))
+    placed = matched_nodes(texts, trees)
     nodes = (
         placed.groupBy("node")
         .agg(

@@ -174,10 +174,39 @@ def test_blocks_count_each_pair_once():
         assert whole.get(r["tk"], 0) == expect
 
 
-def test_prefix_is_shortened_to_the_recall():
-    assert near_dup.matched_depth(0.8, 10, 6, 0.9) > near_dup.matched_depth(0.8, 10, 6, 0.999)
-    d = near_dup.matched_depth(0.8)
-    assert 1 - (1 - 0.8**d) ** near_dup.TREES >= near_dup.RECALL
+def test_every_length_keeps_the_recall():
+    trees = near_dup.forest(0.8)
+    assert sum((1 - 0.8**d) ** n for d, n in trees.items()) <= 1 - near_dup.RECALL + 1e-12
+    assert all((1 - 0.8**d) ** (n - 1) > (1 - near_dup.RECALL) / len(trees) for d, n in trees.items())  # none too many
+    assert near_dup.forest(1.0) == {2: 1, 3: 1, 4: 1}
+    with pytest.raises(ValueError):
+        near_dup.forest(0.3)
+
+
+def test_texts_stop_at_different_prefixes(spark):
+    """Brute force: tries built in Python, every text at the length with the fewest candidates."""
+    trees = {1: 2, 2: 3}
+    rng = random.Random(6)
+    sigs = {i: [rng.randrange(4) for _ in range(6)] for i in range(40)}  # alike by chance
+    for i in range(40, 60):  # true copies far from the others
+        sigs[i] = [100 + i // 2] * 6
+    made = [(bytes([i]), 5, np.array(v, ">u4").tobytes()) for i, v in sigs.items()] + [(b"none", 0, b"")]
+    got = near_dup.matched_nodes(spark.createDataFrame(made, "tk binary, n long, sig binary"), trees).collect()
+    tries = defaultdict(set)
+    for i, v in sigs.items():
+        for d in trees:
+            for t in range(trees[d]):
+                tries[d, t, tuple(v[2 * t : 2 * t + d])].add(i)
+    stop = {}
+    for i in sigs:
+        load = {d: sum(len(m) - 1 for k, m in tries.items() if k[0] == d and i in m) for d in trees}
+        stop[i] = min((load[d] * near_dup.WORTH ** (d - 1), d) for d in trees)[1]
+    assert set(stop.values()) == {1, 2} and all(stop[i] == 1 for i in range(40, 60))
+    expect = [m for k, m in tries.items() if len(m) > 1 and any(stop[i] == k[0] for i in m)]
+    found = defaultdict(set)
+    for r in got:
+        found[r["node"]].add(r["tk"][0])
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, expect))
 
 
 # ---------------------------------------------------------------- 1 decontamination
