@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from re import _constants, _parser
@@ -470,6 +471,50 @@ def test_every_alternative_passes_its_gates():
     assert scanner.scan(b"distributed under the Berkeley Software Distribution license")["labels"] == "bsd"
 
 
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+         'documentation files (the "Software"), to deal in the Software without restriction', "mit"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+        ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International", "cc-by-nc-nd"),
+        ("the Mozilla Public License, v. 2.0", "mpl-2.0"),
+        ("This map is in the public domain.", "public-domain"),
+        ("it under the terms of the GNU General Public License as published by the Free Software Foundation, either "
+         "version 3 of the License, or (at your option) any later version", "gpl-3.0-or-later"),
+        ("http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"),
+        ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa"),
+    ],
+)
+def test_signatures_of_texts(text, label):
+    scanner = licenses.Scanner()
+    assert label in scanner.scan(text.encode())["labels"].split(",")
+    broken = text.replace(" ", " zz ").replace("/", "/zz/")  # the same words apart: no signature
+    assert label not in scanner.scan(broken.encode())["labels"].split(",")
+
+
+def test_clean_prose_has_no_labels():
+    text = "The public library is open. Permission was granted to the author, who may copy the source and use it in any form."
+    assert licenses.Scanner().scan(text.encode())["labels"] == ""
+
+
+def test_base_counts_equal_a_word_loop(docs):
+    rng = random.Random(12)
+    parts = ["cc", "by", "CC", "general", "public", "license", "all", "rights", "reserved", "Ünder", "x1", "-", "é"]
+    phrases = {("cc", "by"): "cc-by", ("general", "public", "license"): "gpl", ("all", "rights", "reserved"): "reserved"}
+    scanner = licenses.Scanner()
+    for k in range(200):
+        text = rng.choice([" ", ", ", "\n"]).join(rng.choices(parts, k=k))
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        seen = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+        at = [(i, v) for i in range(len(seen)) for p, v in phrases.items() if tuple(seen[i : i + len(p)]) == p]
+        got = scanner.scan(text.encode())
+        assert got["n_words"] == len(seen) and got["n_base"] == len(at)
+        assert got["first_word"] == (at[0][0] if at else None) and got["last_word"] == (at[-1][0] if at else None)
+        assert got["base_labels"] == ",".join(sorted({v for _, v in at}))
+
+
 def test_many_detections_in_one_text():
     got = licenses.Scanner().scan(b"cc by and licensed under the mit license " * 30_000)
     assert got["n_base"] == 30_000 and got["last_word"] == 8 * 29_999 and len(got["spans"]) == 30_000
