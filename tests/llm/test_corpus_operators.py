@@ -384,6 +384,30 @@ def test_ring_moves_little():
     assert sum(a[c] != b[c] for c in loads) < 0.2 * len(loads)
 
 
+def test_ring_moves_little_at_the_default_slack():
+    """Bytes that change shards when a 17th comes, a hot cell among them."""
+    rng = random.Random(17)
+    loads = {c: rng.randrange(1000, 9000) for c in range(sharding.CELLS)} | {77: 5_000_000}
+    runs = {n: sharding.walk(loads, n) for n in (16, 17)}
+    for n, found in runs.items():
+        held = Counter()
+        for _, start, end, shard in found:
+            held[shard] += end - start
+        mean = -(-sum(loads.values()) // n)
+        assert sum(held.values()) == sum(loads.values()) and max(held.values()) <= mean * (1 + sharding.SLACK) + 1
+    after = defaultdict(list)
+    for cell, start, end, shard in runs[17]:
+        after[cell].append((start, end, shard))
+    moved = Counter()
+    for cell, start, end, shard in runs[16]:
+        for s, e, to in after[cell]:
+            if to != shard:
+                moved[to == 16] += max(0, min(end, e) - max(start, s))
+    total = sum(loads.values())
+    # 1 / 17 must go to the new shard; what moves between old ones is the overflow of full shards
+    assert moved[True] <= -(-total // 17) * (1 + sharding.SLACK) + 1 and moved[False] < 0.06 * total, moved
+
+
 def test_hot_keys_are_spread_over_tasks(spark, monkeypatch):
     rng = random.Random(11)
     made = [(7, words(rng, 5)) for _ in range(2000)]  # one id, many texts
