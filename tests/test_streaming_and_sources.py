@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from strata import cluster
 from strata.plans import registry as R
 from strata.session import Settings, fresh_path, shared_dir
 from strata.sources.jdbc import RangePartitioning, jdbc_read_options, jdbc_write_options, limit_connections, source_query
@@ -93,3 +97,26 @@ def test_settings_for_scale():
     assert big.static_conf()["spark.executor.memory"] == "14g" and big.executor_cores == "4"
     small = Settings.for_scale(1024**2, cores=8, time_zone="Europe/Warsaw")
     assert small.shuffle_partitions == 16 and small.time_zone == "Europe/Warsaw"
+
+
+def test_clustered_files_are_sorted_and_disjoint(spark, tmp_path):
+    """Order on disk: rows of a file rise by key and order, files cover disjoint ranges (a hot key several of
+    them), and the row groups' statistics say so, which is what lets readers skip them."""
+    path = str(tmp_path / "laid")
+    base = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("k00500")).otherwise(F.format_string("k%05d", F.col("id") % 1000)).alias("k"),
+        F.pmod(F.hash("id"), F.lit(100_000)).alias("n"),
+    )
+    write_table(cluster(base, 8, ["k"], ["k", "n"]), path, atomic=False)
+    ranges, hot = [], 0
+    for file in sorted((tmp_path / "laid").glob("*.parquet")):
+        kept = list(map(tuple, pq.read_table(file).to_pandas()[["k", "n"]].itertuples(index=False)))
+        assert kept == sorted(kept)
+        meta = pq.ParquetFile(file).metadata
+        groups = [meta.row_group(i).column(0).statistics for i in range(meta.num_row_groups)]
+        assert min(g.min for g in groups) == kept[0][0] and max(g.max for g in groups) == kept[-1][0]
+        ranges.append((kept[0], kept[-1]))
+        hot += any(k == "k00500" for k, _ in kept)
+    ranges.sort()
+    assert all(last <= first for (_, last), (first, _) in zip(ranges, ranges[1:]))
+    assert len(ranges) > 4 and hot > 2
