@@ -11,12 +11,13 @@ item) are tiled, and only on the document's words inside runs of such seeds: eve
 them, so nothing is lost.
 
 Scale: documents are read once, nothing is shuffled. The benchmark is the query set; it is split
-into blocks of at most about ``BLOCK_CHARS`` characters by a hash, each collected and broadcast on its
-own, so a broadcast has a fixed bound however large the benchmark grows.
+into blocks of about ``BLOCK_CHARS`` characters by a hash, each collected and broadcast on its own, so one
+broadcast has a fixed size; an executor holds all blocks, so its memory grows with the benchmark.
 
 Words: runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased. Defined cases: null
-and wordless texts have no matches; an item without words matches nothing; null or repeated item ids
-are kept as they come; empty tables give no matches.
+and wordless texts have no matches; an item without words matches nothing; an item of fewer than
+``MIN_MATCH`` words matches where all of them stand in a row (an item of one word: wherever it stands); null or
+repeated item ids are kept as they come; empty tables give no matches.
 """
 
 from __future__ import annotations
@@ -69,8 +70,9 @@ def _hashes(tokens: np.ndarray, length: int) -> np.ndarray:
 
 
 def tile(item: list[int], text: list[int], least: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (item start, text start, length) of two token lists, longest first; 0 never matches."""
-    free_item, free_text = [t != 0 for t in item], [t != 0 for t in text]
+    """Greedy tiles (item start, text start, length) of two token lists: the longest first, of equal ones that with
+    the largest starts; 0 never matches."""
+    free_item, free_text = bytearray(t != 0 for t in item), bytearray(t != 0 for t in text)
     tiles: list[tuple[int, int, int]] = []
     length = max(least, min(len(item), 32))
     while True:
@@ -80,32 +82,58 @@ def tile(item: list[int], text: list[int], least: int) -> list[tuple[int, int, i
             continue
         queue = [(-size, -p, -q) for size, p, q in matches]
         heapq.heapify(queue)
-        while queue and any(free_item):
+        while queue and 1 in free_item:
             size, p, q = (-x for x in heapq.heappop(queue))
-            whole = next((i for i in range(size) if not (free_item[p + i] and free_text[q + i])), size)
-            if whole == size:
-                free_item[p : p + size] = free_text[q : q + size] = [False] * size
+            marked = [at for at in (free_item.find(0, p, p + size) - p, free_text.find(0, q, q + size) - q) if at >= 0]
+            if not marked:
+                free_item[p : p + size] = free_text[q : q + size] = bytes(size)
                 tiles.append((p, q, size))
                 continue
-            # occluded: what is left on either side may still be long enough
-            rest = next(
-                (i for i in range(size, 0, -1) if not (free_item[p + i - 1] and free_text[q + i - 1])), 0
-            )
+            # occluded: what is left on either side of the marked words may still be long enough
+            whole = rest = min(marked)
+            while rest < size and not (free_item[p + rest] and free_text[q + rest]):
+                rest += 1
             for start, left in ((0, whole), (rest, size - rest)):
                 if left >= length:
                     heapq.heappush(queue, (-left, -(p + start), -(q + start)))
-        if length == least or not any(free_item):
+        if length == least or 1 not in free_item:
             return tiles
         length = max(least, length // 2)
 
 
+def _runs(free: bytearray) -> list[int]:
+    """How many unmarked tokens follow from every place on."""
+    out, run = [0] * len(free), 0
+    for i in range(len(free) - 1, -1, -1):
+        out[i] = run = run + 1 if free[i] else 0
+    return out
+
+
+def _common(item: list[int], p: int, text: list[int], q: int, limit: int) -> int:
+    """Tokens that agree from ``p`` and ``q`` on, ``limit`` at most; compared in growing slices."""
+    size, step = 0, 16
+    while size < limit:
+        take = min(step, limit - size)
+        if item[p + size : p + size + take] != text[q + size : q + size + take]:
+            low, high = size, size + take  # agree up to low, not up to high
+            while high - low > 1:
+                middle = (low + high) // 2
+                same = item[p + low : p + middle] == text[q + low : q + middle]
+                low, high = (middle, high) if same else (low, middle)
+            return low
+        size, step = size + take, 2 * step
+    return size
+
+
 def _scan(
-    item: list[int], text: list[int], free_item: list[bool], free_text: list[bool], length: int
+    item: list[int], text: list[int], free_item: bytearray, free_text: bytearray, length: int
 ) -> tuple[list[tuple[int, int, int]], int]:
-    """Maximal matches of at least ``length`` unmarked tokens, found by rolling hashes."""
+    """Maximal matches of at least ``length`` unmarked tokens, found by rolling hashes. Places of one hash are
+    kept by the token before them (0: none or marked): equal tokens before make a part of a longer match, so
+    repetitive texts cost their maximal matches, not all pairs of places."""
     top = pow(_BASE, length - 1, 1 << 64)
 
-    def windows(tokens: list[int], free: list[bool]) -> Iterator[tuple[int, int]]:
+    def windows(tokens: list[int], free: bytearray) -> Iterator[tuple[int, int, int]]:
         run = value = 0
         for i, t in enumerate(tokens):
             if not free[i]:
@@ -116,28 +144,23 @@ def _scan(
             value = value * _BASE + t & _MASK
             run += 1
             if run >= length:
-                yield i - length + 1, value
+                start = i - length + 1
+                yield start, value, tokens[start - 1] if run > length else 0
 
-    table: dict[int, list[int]] = {}
-    for p, value in windows(item, free_item):
-        table.setdefault(value, []).append(p)
+    table: dict[int, dict[int, list[int]]] = {}
+    for p, value, before in windows(item, free_item):
+        table.setdefault(value, {}).setdefault(before, []).append(p)
+    item_runs, text_runs = _runs(free_item), _runs(free_text)
     found, longest = [], 0
-    for q, value in windows(text, free_text):
-        for p in table.get(value, ()):
-            if p and q and item[p - 1] == text[q - 1] and free_item[p - 1] and free_text[q - 1]:
-                continue  # part of a longer match
-            size = 0
-            while (
-                p + size < len(item)
-                and q + size < len(text)
-                and item[p + size] == text[q + size]
-                and free_item[p + size]
-                and free_text[q + size]
-            ):
-                size += 1
-            if size >= length:
-                found.append((size, p, q))
-                longest = max(longest, size)
+    for q, value, before in windows(text, free_text):
+        for other, places in table.get(value, {}).items():
+            if before == other != 0:
+                continue
+            for p in places:
+                size = _common(item, p, text, q, min(item_runs[p], text_runs[q]))
+                if size >= length:
+                    found.append((size, p, q))
+                    longest = max(longest, size)
     return found, longest
 
 

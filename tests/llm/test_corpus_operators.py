@@ -231,6 +231,41 @@ def test_tiling_of_a_repetitive_text():
     assert found["covered"] == 12 and [t[0::2] for t in found["tiles"]] == [[0, 12]]
 
 
+def greedy_tiles(item, text, least):
+    """Tiles by trying all pairs of places, again for every tile."""
+    free_item, free_text, tiles = [t != 0 for t in item], [t != 0 for t in text], []
+    while True:
+        best = (0, 0, 0)
+        for p in range(len(item)):
+            for q in range(len(text)):
+                n = 0
+                while p + n < len(item) and q + n < len(text) and item[p + n] == text[q + n] and free_item[p + n] and free_text[q + n]:
+                    n += 1
+                best = max(best, (n, p, q))
+        n, p, q = best
+        if n < least:
+            return tiles
+        free_item[p : p + n] = free_text[q : q + n] = [False] * n
+        tiles.append((p, q, n))
+
+
+def test_tiles_equal_brute_force():
+    rng = random.Random(21)
+    for _ in range(600):
+        letters, least = rng.choice([1, 2, 3, 6]), rng.choice([1, 2, 3, 5])
+        item = [rng.randint(1, letters) for _ in range(rng.randint(least, 25))]
+        text = [rng.randint(0, letters) for _ in range(rng.randint(0, 40))]
+        assert decontaminate.tile(item, text, least) == greedy_tiles(item, text, least)
+
+
+def test_tiling_work_follows_the_maximal_matches(monkeypatch):
+    compared = []
+    common = decontaminate._common
+    monkeypatch.setattr(decontaminate, "_common", lambda *a: compared.append(1) or common(*a))
+    assert decontaminate.tile([1] * 1000, [1] * 20_000, 5) == [(0, 19_000, 1000)]
+    assert len(compared) < 3 * 21_000  # of 20 million pairs of equal places
+
+
 def test_decontamination_catches_reordered_passages(spark, none, monkeypatch):
     rng = random.Random(2)
     items = [words(rng, 24, 3000) for _ in range(6)] + ["only three words", "", None]
