@@ -1,7 +1,7 @@
 """Main text of web pages with a site style tree (operator 2).
 
-The element trees of a host's pages are merged: an element is known by its path of tags, classes and
-ids from the body. For every merged element two entropies are kept over the host's pages: of its
+The whole element trees of a host's pages are merged, menus, footers and forms as any other element: an element
+is known by its path of tags, classes and ids from the body. For every merged element two entropies are kept over the host's pages: of its
 presentation (the sequence of child elements it shows) and of its contents (the texts directly in it).
 Menus, adverts and notices look and read alike on many pages and score low; an element's composite
 importance combines its own presentation with its children's importance, bottom up. Branches of low
@@ -11,9 +11,13 @@ Three guards keep main text whole: an element shown on fewer than ``MIN_PAGES``
 importance, never removed); a branch is not removed while any text in it varies (by the entropy of its contents,
 in an ``article`` as elsewhere); and pages prove a branch a template only as far as they differ outside of it
 (copies of one article make it look like a template): the entropy of the other texts of its pages, those of
-``MIN_TEXT`` characters and more, must be that of ``MIN_PAGES`` different pages. Elements that declare what they are (nav, header, footer, aside, form, script, classes such
-as ``ad`` or ``comments``) go on any host. Where a page has an ``article`` or ``main`` that is not
-removed, only its text is taken.
+``MIN_TEXT`` characters and more, must be that of ``MIN_PAGES`` different pages.
+
+What the tree cannot tell goes by what it declares to be: reader comments and rotating adverts, whose texts vary,
+and anything on hosts of few pages. Elements that declare themselves (nav, header, footer, aside, form, classes
+such as ``ad`` or ``comments``) go on any host, and where a page has an ``article`` or ``main`` that is not removed,
+only its text is taken; ``declared=False`` leaves both rules out and the tree decides alone. A declared element
+weighs in its parent's importance, but its varying texts and its presence do not vouch for the text around it.
 
 Scale: texts leave the tasks as hashes and counts, aggregated per (host, path, text) with partial
 sums, so a hot host spreads over its texts. Elements that prove nothing are summed up under their parent. A host
@@ -80,30 +84,33 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 
 
 class _Element:
-    """``up``: the element around it. ``shown``: the nearest one around it that is not dropped. ``drops``:
-    declares itself dropped. ``under``: the nearest around it that does. ``lost``: such an element has an end tag,
-    or one around it has."""
+    """``up``: the element around it. ``drops``: declares itself no main text. ``under``: the nearest around it
+    that does. ``lost``: such an element has an end tag, or one around it has. ``dropped``: goes by what is declared.
+    ``children``: paths of the elements in it, declared ones only inside of declared ones."""
 
-    __slots__ = ("tag", "path", "up", "shown", "drops", "under", "lost", "depth", "dropped", "inside", "children")
+    __slots__ = ("tag", "path", "up", "drops", "under", "lost", "depth", "dropped", "inside", "children")
 
     def __init__(self, tag: str, path: int, up: _Element | None, drops: bool, inside: bool):
         self.tag, self.path, self.up, self.drops = tag, path, up, drops
-        self.shown = up.shown if up and up.dropped else up
         self.under = up if up and up.drops else up and up.under
         self.lost = False
-        self.depth: int = self.shown.depth + 1 if self.shown else 0
+        self.depth: int = up.depth + 1 if up else 0
         self.dropped = drops or bool(up and up.dropped and tag not in MAIN)
         self.inside = inside
         self.children: list[int] = []
 
+    @property
+    def apart(self) -> bool:
+        """A declared element in one that is not."""
+        return self.drops and self.under is None
+
 
 def _signed(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
 
 class Page:
-    """One parsed page: ``elements`` (all shown ones, in page order) and ``blocks`` (text, element it
-    stands in)."""
+    """One parsed page: ``elements`` (in page order) and ``blocks`` (text, element it stands in)."""
 
     def __init__(self, source: str):
         root = _Element("body", 0, None, False, False)
@@ -129,11 +136,10 @@ class Page:
         self._flush()
         for e in self._drops:
             e.lost = e.lost or bool(e.under and e.under.lost)
-        if any(e.lost for e in self._drops):
-            self.elements = [e for e in self.elements if not (e.under and e.under.lost)]
-            self.blocks = [(text, e) for text, e in self.blocks if not (e.under and e.under.lost)]
         for e in self.elements[1:]:
-            e.shown.children.append(e.path)
+            e.dropped = e.dropped or bool(e.under and e.under.lost)
+            if not e.apart:
+                e.up.children.append(e.path)
 
     def _end_head(self) -> None:
         """A head ends, closed or not, where something begins that it cannot hold."""
@@ -144,8 +150,7 @@ class Page:
     def _add(self, text: str) -> None:
         if self._stack[-1].tag == "head" and not text.isspace():
             self._end_head()
-        if not self._stack[-1].dropped:
-            self._text.append(entities.unescape(text))
+        self._text.append(entities.unescape(text))
 
     def _flush(self) -> None:
         text = " ".join("".join(self._text).split())
@@ -175,14 +180,13 @@ class Page:
         up = self._stack[-1]
         if rest.endswith("/>") and tag not in ("p", "div", "article", "section"):
             return
-        # the path tells which elements are dropped, so one path has one parent
+        # the path tells which elements declare themselves
         key = f"{'!' * drops}{tag}.{' '.join(sorted(named.get('class', '').split()))}#{named.get('id', '')}"
         path = _signed(up.path.to_bytes(8, "big", signed=True) + _DIGITS.sub("0", key).encode("utf-8", "replace"))
         new = _Element(tag, path, up, drops, tag in MAIN or up.inside)
         if drops:
             self._drops.append(new)
-        if not new.dropped:
-            self.elements.append(new)
+        self.elements.append(new)
         self._stack.append(new)
 
     def _close(self, tag: str) -> None:
@@ -193,7 +197,7 @@ class Page:
                 del self._stack[i:]
                 return
 
-    def text(self, removed: frozenset[int] = frozenset()) -> str:
+    def text(self, removed: frozenset[int] = frozenset(), declared: bool = True) -> str:
         known: dict[_Element | None, bool] = {None: False}
 
         def gone(element: _Element) -> bool:
@@ -207,13 +211,13 @@ class Page:
                 low = known[e] = low or e.path in removed
             return low
 
-        stay = [(text, e) for text, e in self.blocks if not gone(e)]
-        only = any(e.inside and not e.under for _, e in stay)
+        stay = [(text, e) for text, e in self.blocks if not (declared and e.dropped) and not gone(e)]
+        only = declared and any(e.inside and not e.under for _, e in stay)
         return "\n\n".join(text for text, e in stay if e.inside or not only)
 
 
 PRESENCE, STYLE, CONTENT = 0, 1, 2
-_FEATURE = "host string, path long, parent long, depth int, kind int, feature long, n long, chars long"
+_FEATURE = "host string, path long, parent long, depth int, apart int, kind int, feature long, n long, chars long"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +227,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
-            parent = {e.path: (e.shown.path if e.shown else 0, e.depth) for e in page.elements}
+            parent = {e.path: (e.up.path if e.up else 0, e.depth, int(e.apart)) for e in page.elements}
             styles = Counter((e.path, _signed(repr(e.children).encode())) for e in page.elements)
             contents: Counter = Counter()
             inside: Counter = Counter()  # characters in an element, those of its children included
@@ -231,14 +235,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text, e in page.blocks:
                 contents[e.path, _signed(text.encode("utf-8", "replace"))] += 1
                 inside[e] += len(text)
-                long[e] += _signed(text.encode("utf-8", "replace")) if len(text) >= MIN_TEXT else 0
+                # declared elements do not tell pages apart
+                long[e] += _signed(text.encode("utf-8", "replace")) if len(text) >= MIN_TEXT and not e.dropped else 0
             chars: Counter = Counter()
             other: Counter = Counter()  # the same sum over the texts outside of a path
             for e in reversed(page.elements):  # children come after their parents
-                chars[e.path] += inside[e]
+                chars[e.path] += 0 if e.apart else inside[e]
                 other[e.path] -= long[e]
-                inside[e.shown] += inside[e]
-                long[e.shown] += long[e]
+                inside[e.up] += 0 if e.apart else inside[e]
+                long[e.up] += long[e]
             for p in parent:
                 other[p] = (other[p] + long[None] + (1 << 63)) % (1 << 64) - (1 << 63)
             rows += [(host, p, *parent[p], PRESENCE, other[p], 1, chars[p]) for p in parent]
@@ -283,7 +288,7 @@ def _low_branches(key: tuple, tree: pd.DataFrame) -> pd.DataFrame:
         b[0] += 1
         b[1] += r["occurrences"]
         b[2] += r["occurrences"] * importance
-        b[3] = max(b[3], best)
+        b[3] = max(b[3], 0.0 if r["apart"] else best)
         if _is_low(r, importance, best):
             low.append(p)
     return pd.DataFrame([(key[0], low)] if low else [], columns=["host", "low"])
@@ -294,7 +299,8 @@ def _rate_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for r in frame.to_dict("records"):
             importance, best = _rate(r, r["n"], r["weight"], r["weighted"], r["best"])
-            out.append((r["host"], r["path"], r["parent"], r["occurrences"], importance, best, _is_low(r, importance, best)))
+            low = _is_low(r, importance, best)
+            out.append((r["host"], r["path"], r["parent"], r["occurrences"], importance, 0.0 if r["apart"] else best, low))
         yield pd.DataFrame(out, columns=["host", "path", "parent", "occurrences", "importance", "best", "low"])
 
 
@@ -303,7 +309,7 @@ def host(url: Column) -> Column:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """The merged tree: a row per (host, path) with parent, depth, pages, others
+    """The merged tree: a row per (host, path) with parent, depth, apart (declared in one that is not), pages, others
     (entropy of the other texts of its pages), occurrences, texts, spread (summed entropy of its texts over pages, in nats), style (entropy of its presentations), chars
     (of all text in it)."""
     log = F.log(F.col("n").cast("double"))
@@ -314,6 +320,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .agg(
             F.min("parent").alias("parent"),
             F.min("depth").alias("depth"),
+            F.min("apart").alias("apart"),
             F.sum("n").alias("c"),
             F.sum(F.col("n") * log).alias("s"),
             F.sum("chars").alias("chars"),
@@ -326,6 +333,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .agg(
             F.min("parent").alias("parent"),
             F.min("depth").alias("depth"),
+            F.min("apart").alias("apart"),
             F.sum(F.when(presence, F.col("c")).otherwise(0)).alias("pages"),
             F.sum(F.when(presence, c * F.log(c)).otherwise(0.0)).alias("other_sum"),
             F.sum(F.when(style, F.col("c")).otherwise(0)).alias("occurrences"),
@@ -420,15 +428,20 @@ def page_key() -> Column:
     return F.sha2(F.coalesce("html", F.lit("")), 256)
 
 
-def _texts(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for source, low in columns:
-        pairs = zip(source.to_pylist(), low.to_pylist())
-        yield pa.array([Page(h or "").text(frozenset(x or ())) for h, x in pairs], pa.string())
+def _texts(declared: bool):
+    def run(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for source, low in columns:
+            pairs = zip(source.to_pylist(), low.to_pylist())
+            yield pa.array([Page(h or "").text(frozenset(x or ()), declared) for h, x in pairs], pa.string())
+
+    run.__annotations__ = {"columns": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, T.StringType())
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """``pages`` (page_id, url, html) as page_id, url, text: blocks joined by an empty line."""
-    text = F.arrow_udf(_texts, T.StringType())
+def extract(pages: DataFrame, declared: bool = True) -> DataFrame:
+    """``pages`` (page_id, url, html) as page_id, url, text: blocks joined by an empty line. ``declared``: elements
+    also go by what they declare to be; without it the style tree decides alone."""
+    text = _texts(declared)
     out = ("page_id", "url", text("html", "low").alias("text"))
     page_host = host(F.col("url"))
     tree = materialize(scored(style_tree(pages)))

@@ -653,6 +653,79 @@ def test_style_tree_removes_templates(spark, none):
     assert html_main_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_style_tree_alone_removes_declared_elements(spark):
+    """Menus, forms and footers are elements of the tree like any other; what varies needs the declared names."""
+    rng = random.Random(19)
+    menu = "<nav><ul><li><a href=/>Home</a><li><a href=/news>News</a></ul></nav>"
+    foot = "<form><p>Search here</p></form><footer><p>All rights reserved by us</p></footer>"
+
+    def page(i):
+        story = "".join(f"<p>{words(rng, 30, 4000)}</p>" for _ in range(3))
+        comment = f"<section class=comments><p>{words(rng, 12, 4000)}</p></section>"
+        return f"{menu}<div class=story>{story}</div>{comment}{foot}"
+
+    made = [(i, f"https://h.example/{i}", page(i)) for i in range(20)]
+    pages = spark.createDataFrame(made, "page_id long, url string, html string")
+    alone = {r["page_id"]: r["text"] for r in html_main_text.extract(pages, declared=False).collect()}
+    both = {r["page_id"]: r["text"] for r in html_main_text.extract(pages).collect()}
+    for i, _, html in made:
+        paragraphs = re.findall("<p>(.*?)</p>", html)
+        assert alone[i].split("\n\n") == paragraphs[:4] and both[i].split("\n\n") == paragraphs[:3]
+
+
+def entropy(counts):
+    return -sum(c / sum(counts) * math.log(c / sum(counts)) for c in counts)
+
+
+def test_entropies_and_importance_equal_brute_force(spark):
+    rng = random.Random(20)
+
+    def page():
+        blocks = "".join(f"<div class={rng.choice('ab')}><p>{words(rng, rng.choice([1, 12]), 6)}</p></div>" for _ in range(rng.randint(1, 4)))
+        return f"<nav><ul><li>Home<li>News</ul></nav><p>{rng.choice(['One', 'Two'])}</p>{blocks}<footer>{words(rng, 1, 3)}</footer>"
+
+    sources = [page() for _ in range(30)]
+    made = spark.createDataFrame([(i, "https://h.example/", h) for i, h in enumerate(sources)], "page_id long, url string, html string")
+    tree = html_main_text.style_tree(made)
+    rows = {r["path"]: r.asDict() for r in tree.collect()}
+    parsed = [html_main_text.Page(h) for h in sources]
+    looks, texts, shown = defaultdict(list), defaultdict(lambda: defaultdict(Counter)), defaultdict(set)
+    for i, p in enumerate(parsed):
+        for e in p.elements:
+            looks[e.path].append(tuple(e.children))
+            shown[e.path].add(i)
+        for text, e in p.blocks:
+            texts[e.path][text][i] += 1
+    assert set(rows) == set(looks)
+    for path, r in rows.items():
+        assert r["pages"] == len(shown[path]) and r["occurrences"] == len(looks[path])
+        assert r["style"] == pytest.approx(entropy(Counter(looks[path]).values()), abs=1e-9)
+        assert r["texts"] == len(texts[path])
+        assert r["spread"] == pytest.approx(sum(entropy(c.values()) for c in texts[path].values()), abs=1e-9)
+
+    scored = {p: r for p, r in rows.items() if r["pages"] >= html_main_text.MIN_PAGES}
+
+    def rate(path):  # top down: an element asks its children
+        r, unit = rows[path], math.log(rows[path]["pages"])
+        inside = [p for p, c in rows.items() if p and c["parent"] == path]
+        known = {p: rate(p) for p in inside if p in scored}
+        rare = [rows[p] for p in inside if p not in scored]
+        own = sum(1 - entropy(c.values()) / unit for c in texts[path].values()) / len(texts[path]) if texts[path] else 0.0
+        own = min(1.0, max(0.0, own))
+        best = max([own, 1.0 if any(c["chars"] for c in rare) else 0.0, *[b for p, (_, b) in known.items() if not rows[p]["apart"]]])
+        weights = [(rows[p]["occurrences"], i) for p, (i, _) in known.items()] + [(c["occurrences"], 1.0) for c in rare]
+        fade = 1.0 if not weights and not texts[path] else 0.0
+        if weights:
+            fade = html_main_text.DECAY ** (len(weights) + bool(texts[path]))
+        weights += [(r["occurrences"], own)] * bool(texts[path])
+        inner = sum(w * i for w, i in weights) / sum(w for w, _ in weights) if weights else 0.0
+        return fade * min(1.0, r["style"] / unit) + (1 - fade) * inner, best
+
+    low = {p for p in scored if p and html_main_text._is_low(rows[p], *rate(p))}
+    got = {p for r in html_main_text.low_branches(html_main_text.scored(tree)).collect() for p in r["low"]}
+    assert got == low and low
+
+
 def test_style_tree_decides_inside_articles(spark):
     rng = random.Random(9)
 
