@@ -681,7 +681,7 @@ def test_entropies_and_importance_equal_brute_force(spark):
     rng = random.Random(20)
 
     def page():
-        blocks = "".join(f"<div class={rng.choice('ab')}><p>{words(rng, rng.choice([1, 12]), 6)}</p></div>" for _ in range(rng.randint(1, 4)))
+        blocks = "".join(f"<div class={rng.choice('ab')}><p>{words(rng, rng.choice([1, 25]), 6)}</p></div>" for _ in range(rng.randint(1, 4)))
         return f"<nav><ul><li>Home<li>News</ul></nav><p>{rng.choice(['One', 'Two'])}</p>{blocks}<footer>{words(rng, 1, 3)}</footer>"
 
     sources = [page() for _ in range(30)]
