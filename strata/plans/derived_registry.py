@@ -22,11 +22,13 @@ A group is always one order's lines: bounded by the order, not the table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import count_at_most
 from ..functions.documents import contains_marker, rewrite_keys
 from ..operators.layout import materialize
 from . import registry as R
@@ -83,81 +85,123 @@ def _assemble(tree: dict) -> Column:
     return F.struct(*[(_assemble(v) if isinstance(v, dict) else v).alias(k) for k, v in tree.items()])
 
 
-def _interval(j: int, keys, end: Column | None) -> Column:
-    pairs = {k: F.expr(value_sql(k, j, i)) for i, k in enumerate(keys)}
-    pairs[R.START_KEY] = F.col("l_linenumber").cast("string")
-    if end is not None:
-        pairs[R.END_KEY] = end.cast("string")
-    return F.when(F.expr(rule_sql(j)), _nested_struct(pairs))
+#: What the documents need of a line; lines stand in this order inside an order, by descending number.
+LINE_COLUMNS = ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+#: One bit per rule that selects the line, and the closer's bit above them: each is tested once per line.
+LINE_RULES_SQL = " + ".join(
+    f"CASE WHEN {rule} THEN {1 << bit} ELSE 0 END"
+    for bit, rule in enumerate([*[rule_sql(j) for j in range(STATUTE_RULE + 1)], CLOSER])
+)
+
+
+def _any_rule(*bits: int) -> str:
+    return f"(l_rules & {sum(1 << bit for bit in bits)}) <> 0"
+
+
+def _of_line(sql: str) -> str:
+    """A line's SQL text on the element ``x`` of the array ``lines``."""
+    return re.sub(r"\bl_(?=\w)", "x.l_", sql)
+
+
+def _lines(values: Mapping[str, str], where: str | None = None) -> Column:
+    """One struct of ``values`` (SQL texts) for each of the order's lines that meets ``where``."""
+    fields = ", ".join(f"{sql} AS `{name}`" for name, sql in values.items())
+    lines = f"filter(lines, x -> {where})" if where else "lines"
+    return F.expr(_of_line(f"transform({lines}, x -> struct({fields}))"))
+
+
+def _bound(value: Column, build) -> Column:
+    """``build(value)`` with ``value`` computed once per row and not once per use."""
+    return F.transform(F.array(value), build)[0]
+
+
+def _intervals(j: int, keys: Sequence[str], also: Mapping[str, str] | None = None, build=lambda x, interval: interval) -> Column:
+    """The intervals of rule ``j``: each ends at the smallest larger number of a line that the rule selects or that
+    closes, found by binary search in the order's sorted numbers (n log n in its lines)."""
+    values = {"n": "l_linenumber", **{f"v{i}": value_sql(k, j, i) for i, k in enumerate(keys)}, **(also or {})}
+    selected = _lines(values, _any_rule(j))
+    ends = _lines({"n": "l_linenumber"}, f"{_any_rule(j, STATUTE_RULE + 1)} AND l_linenumber IS NOT NULL")
+
+    def interval(sorted_ends: Column, x: Column) -> Column:
+        pairs = {k: x[f"v{i}"] for i, k in enumerate(keys)}
+        pairs[R.START_KEY] = x["n"].cast("string")
+        pairs[R.END_KEY] = F.get(sorted_ends, count_at_most(sorted_ends, x["n"])).cast("string")
+        return _nested_struct(pairs)
+
+    return _bound(F.reverse(ends["n"]), lambda m: F.transform(selected, lambda x: build(x, interval(m, x))))
 
 
 def _field(name: str):
     return lambda x: x[name]
 
 
-def _group_by_flag(items: Column, build) -> Column:
-    """Split an order's collected ``(flag, ...)`` items into one struct per flag."""
-    flags = F.array_distinct(F.transform(items, lambda x: x["flag"]))
-    return F.transform(flags, lambda f: build(F.filter(items, lambda x: x["flag"] == f)))
+def _group_by_flag(flags: Column, items: Column, build) -> Column:
+    """One struct per flag from an order's ``(flag, ...)`` items."""
+    return _bound(items, lambda held: F.transform(flags, lambda f: build(F.filter(held, lambda x: x["flag"] == f))))
 
 
-def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, krs_number, raw_data)`` source rows, one or two per order."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    # lines with a larger number, as a growing frame over descending numbers (linear per order)
-    after = (
-        Window.partitionBy("l_orderkey")
-        .orderBy(F.col("l_linenumber").desc())
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    closer = F.expr(CLOSER)
-    ends = [
-        F.min(F.when(F.expr(rule_sql(j)) | closer, F.col("l_linenumber"))).over(after).alias(f"__end{j}")
-        for j in range(STATUTE_RULE + 1)
-    ]
-    li = li.select("*", *ends)
+def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, krs_number)`` of the source rows, one or two per order, with what :func:`document_text` is made of.
 
-    aggs = [
-        F.collect_list(_nested_struct({
-            **{k: F.expr(v) for k, v in TIMELINE_SQL.items()},
-            "dataWpisu": F.date_format("l_shipdate", R.ENTRY_DATE_FORMAT),
-        })).alias("wpis")
-    ]
-    for j, (_, _, fields, _) in enumerate(R.HISTORIES):
-        aggs.append(F.collect_list(_interval(j, [k for _, k in fields], F.col(f"__end{j}"))).alias(f"h{j}"))
-    aggs.append(F.collect_list(F.struct(
-        F.col("l_returnflag").alias("flag"),
-        _interval(STATUTE_RULE, [STATUTE_KEY], F.col(f"__end{STATUTE_RULE}")).alias("pos"),
-    )).alias("statute"))
-    aggs.append(F.collect_list(F.struct(
-        F.col("l_returnflag").alias("flag"),
-        *[F.struct(F.expr(v).alias(k), F.expr(ISSUE_START_SQL).alias(R.START_KEY)).alias(k) for k, v in ISSUE_SQL.items()],
-    )).alias("issue_lines"))
-    per_order = li.groupBy("l_orderkey").agg(*aggs)
-
-    statute = _group_by_flag(
-        F.col("statute"),
-        lambda group: F.struct(F.filter(F.transform(group, lambda x: x["pos"]), lambda p: p.isNotNull()).alias("pozycja")),
+    The lines of an order are one array of narrow structs: only these are shuffled, grouped and joined. All that a
+    document holds besides is computed from the array, row by row, so that no wide row is in a sort or a buffer.
+    """
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", *LINE_COLUMNS, F.expr(LINE_RULES_SQL).alias("l_rules")
     )
-    issues = _group_by_flag(
-        F.col("issue_lines"),
-        lambda group: F.struct(*[F.transform(group, _field(k)).alias(k) for k in ISSUE_SQL]),
+    # dealt by order before the aggregate: nothing is combined, and sorted, before the shuffle
+    per_order = lines.repartition("l_orderkey").groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.struct(*LINE_COLUMNS, "l_rules")), asc=False).alias("lines")
     )
-    parts = {f"{R.SECTION}.{path}": F.col(f"h{j}") for j, (_, path, _, _) in enumerate(R.HISTORIES)}
-    parts[f"{R.SECTION}.umowaStatut.informacjaOZawarciuZmianieUmowyStatutu"] = statute
-    parts[f"{R.SECTION}.emisjeAkcji"] = issues
-    parts[R.TIMELINE_PATH] = F.col("wpis")
-
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    docs = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-    text = F.to_json(_nested_struct(parts))
-    text = F.when(F.col("o_orderpriority").startswith("1"), rewrite_keys(text, FOREIGNISE_RULES)).otherwise(text)
-    krs = F.lpad(F.col("o_orderkey").cast("string"), 10, "0")
-    current = docs.select((F.col("o_orderkey") * 2).alias("id"), krs.alias("krs_number"), text.alias("raw_data"))
+    key, krs = F.col("o_orderkey"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("krs_number")
+    foreign = F.col("o_orderpriority").startswith("1").alias("foreign")
+    # ids are computed before the join with the lines, and columns only named after it: Catalyst then moves a filter
+    # on the ids below that join
+    current = orders.select((key * 2).alias("id"), krs, key, foreign, F.lit(False).alias("stale"))
+    current = current.join(per_order, current.o_orderkey == per_order.l_orderkey, "left")
     stale = orders.where(F.col("o_orderstatus") == "F").select(
-        (F.col("o_orderkey") * 2 + 1).alias("id"), krs.alias("krs_number"), F.lit(STALE_DOCUMENT).alias("raw_data")
+        (key * 2 + 1).alias("id"), krs, key, foreign, F.lit(True).alias("stale")
+    )
+    names = ["id", "krs_number", "foreign", "stale", "lines"]
+    return current.select(*names).unionByName(stale.select(*names[:-1]), allowMissingColumns=True)
+
+
+def document_text() -> Column:
+    """The JSON text of a row of :func:`source_rows`."""
+    parts = {
+        f"{R.SECTION}.{path}": _intervals(j, [k for _, k in fields]) for j, (_, path, fields, _) in enumerate(R.HISTORIES)
+    }
+    flags = F.array_distinct(F.transform(_lines({"flag": "l_returnflag"}), _field("flag")))
+    statute = _intervals(
+        STATUTE_RULE, [STATUTE_KEY], {"flag": "l_returnflag"},
+        lambda x, interval: F.struct(x["flag"].alias("flag"), interval.alias("pos")),
+    )
+    parts[f"{R.SECTION}.umowaStatut.informacjaOZawarciuZmianieUmowyStatutu"] = _group_by_flag(
+        flags, statute, lambda group: F.struct(F.transform(group, _field("pos")).alias("pozycja"))
+    )
+    issued = {k: f"struct({v} AS `{k}`, {ISSUE_START_SQL} AS `{R.START_KEY}`)" for k, v in ISSUE_SQL.items()}
+    parts[f"{R.SECTION}.emisjeAkcji"] = _group_by_flag(
+        flags,
+        _lines({"flag": "l_returnflag", **issued}),
+        lambda group: F.struct(*[F.transform(group, _field(k)).alias(k) for k in ISSUE_SQL]),
+    )
+    parts[R.TIMELINE_PATH] = _lines(
+        {**TIMELINE_SQL, "dataWpisu": f"date_format(l_shipdate, '{R.ENTRY_DATE_FORMAT}')"}
     )
-    return current.unionByName(stale)
+    text = F.to_json(_nested_struct(parts))
+    text = F.when(F.col("foreign"), rewrite_keys(text, FOREIGNISE_RULES)).otherwise(text)
+    return F.when(F.col("stale"), F.lit(STALE_DOCUMENT)).otherwise(text)
+
+
+def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, krs_number, raw_data)`` source rows, one or two per order."""
+    return source_rows(spark, sf_dir).select("id", "krs_number", document_text().alias("raw_data"))
+
+
+def bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`registry.bronze` of :func:`raw_documents`, with the texts of the kept rows only."""
+    return R.bronze(source_rows(spark, sf_dir), json_col=document_text())
 
 
 # ------------------------------------------------------------------ queries
@@ -169,7 +213,7 @@ def parsed_documents(spark: SparkSession, sf_dir: str, stage: bool = True) -> Da
     Without the stage every silver branch of a gold plan would rebuild and re-parse
     the documents; with it each branch scans only its own nested column.
     """
-    parsed = R.normalise(R.bronze(raw_documents(spark, sf_dir)))
+    parsed = R.normalise(bronze_documents(spark, sf_dir))
     return materialize(parsed) if stage else parsed
 
 
@@ -182,7 +226,7 @@ def full_history_tie_break() -> list[str]:
 
 
 def q_registry_bronze(spark, sf_dir):
-    b = R.bronze(raw_documents(spark, sf_dir))
+    b = bronze_documents(spark, sf_dir)
     return b.select("source_id", "company_krs", contains_marker("raw_json", R.FOREIGN_MARKER).alias("is_foreign"))
 
 

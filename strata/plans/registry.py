@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -221,15 +221,21 @@ def bronze(
     raw: DataFrame,
     id_col: str = "id",
     key_col: str = "krs_number",
-    json_col: str = "raw_data",
+    json_col: str | Column = "raw_data",
     keep: str = "first",
 ) -> DataFrame:
     """Canonical names (P1), then one document per entity by source id (H3, Q2). A pass over ids and keys
-    runs at once; the documents themselves are then only filtered (:func:`first_per_key_late`)."""
-    renamed = raw.select(
-        F.col(id_col).alias(SOURCE_ID), F.col(key_col).alias(KEY), F.col(json_col).alias("raw_json")
-    )
-    return first_per_key_late(renamed, [KEY], [SOURCE_ID], keep=keep)
+    runs at once; the documents themselves are then only filtered (:func:`first_per_key_late`).
+
+    Where the text is derived, ``json_col`` may be a column over ``raw``: it is computed for the kept rows
+    only, and what a hashed filter moves is what the text is made of and not the text."""
+    named = [F.col(id_col).alias(SOURCE_ID), F.col(key_col).alias(KEY)]
+    if isinstance(json_col, str):
+        renamed = raw.select(*named, F.col(json_col).alias("raw_json"))
+        return first_per_key_late(renamed, [KEY], [SOURCE_ID], keep=keep)
+    renamed = raw.select(*named, *[c for c in raw.columns if c not in (id_col, key_col)])
+    kept = first_per_key_late(renamed, [KEY], [SOURCE_ID], keep=keep)
+    return kept.select(SOURCE_ID, KEY, json_col.alias("raw_json"))
 
 
 def normalise(bronze_df: DataFrame) -> DataFrame:

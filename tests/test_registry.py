@@ -281,3 +281,20 @@ def test_current_info_has_one_row_per_key_in_every_join(spark, layers):
     # a history's largest row per key is found below the join that attaches it
     plan = direct._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("max(struct(") == len(R.GOLD_JOINS)
+
+
+def test_derived_texts_are_computed_above_every_join_and_aggregate(spark):
+    """What is shuffled, sorted and grouped are narrow lines and ids; the texts are made of the kept rows."""
+    from strata.plans import derived_registry as D
+
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        plan = D.q_registry_bronze(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    below = plan[plan.index("Join") :]
+    assert "StructsToJson" in plan and "StructsToJson" not in below and below.count("LeftAnti") == 2
+    assert plan.index("LeftOuter") < plan.index("LeftAnti")  # ids are dropped before the lines are joined
