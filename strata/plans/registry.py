@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -292,9 +293,12 @@ def current_info_direct(
     number (NULL only when all are NULL, as in ``DESC NULLS LAST``), combined with the intervals of each
     history that cover that entry. The combinations are a product, and the largest of a product in
     ``tie_break`` order has the largest timeline row and the largest row of each history, each by its own
-    columns in that order: they are chosen before the join, so 16 fan-outs never multiply. All of it is
-    partitioned by the key, and a history's largest row is a map-side combined aggregate. Same result as :func:`current_info` over
-    :func:`full_history` whenever ``tie_break`` makes the order total.
+    columns in that order: they are chosen before the join, so 16 fan-outs never multiply. Same result as
+    :func:`current_info` over :func:`full_history` whenever ``tie_break`` makes the order total.
+
+    The histories are stacked (:func:`_stacked`) and meet the last entries in one join; one aggregate over the
+    key chooses all 16 rows. A join and an aggregate per history would run in one stage, as all have the same
+    key, and each task would hold some 50 sort buffers at once.
     """
     repaired = repair_histories(tables) if repaired is None else repaired
     timeline = tables["registry"].select(*TIMELINE_OUTPUT)
@@ -302,16 +306,43 @@ def current_info_direct(
     entry, key = F.col("__strata_last"), F.col("__strata_key")
     last = timeline.groupBy(F.col(KEY).alias("__strata_key")).agg(F.max("entry_number").alias("__strata_last"))
     start, end = F.col("valid_from_entry"), F.col("valid_to_entry")
-    for table, cols, prefix in GOLD_JOINS:
-        names = AsOfSpec(repaired[table], cols, prefix).output_names()
-        covering = repaired[table].join(last, (F.col(KEY) == key) & (start <= entry) & (end.isNull() | (end > entry)))
-        covering = covering.select("__strata_key", *[F.col(c).alias(n) for c, n in zip(cols, names)])
-        first = [c for c in tie_break if c in names]
-        best = F.max(F.struct(*first, *[c for c in names if c not in first]))  # NULLs are smallest: last
-        top = covering.groupBy("__strata_key").agg(best.alias("__strata_best"))
-        top = top.select("__strata_key", *[F.col(f"__strata_best.{n}").alias(n) for n in names])
-        out = out.join(top, out[KEY] == top["__strata_key"], "left").drop("__strata_key")
-    return out
+    stacked, slots = _stacked([(repaired[table], cols) for table, cols, _ in GOLD_JOINS])
+    covering = stacked.join(last, (F.col(KEY) == key) & (start <= entry) & (end.isNull() | (end > entry)))
+    best, found = [], []
+    for i, (table, cols, prefix) in enumerate(GOLD_JOINS):
+        at = dict(zip(AsOfSpec(repaired[table], cols, prefix).output_names(), slots[i]))
+        ordered = [c for c in tie_break if c in at]
+        ordered += [c for c in at if c not in ordered]
+        fields = ", ".join(f"{at[c]} AS `{c}`" for c in ordered)
+        # NULLs are smallest: last
+        best.append(F.expr(f"max(struct({fields})) FILTER (WHERE {_HISTORY} = {i})").alias(f"__strata_best{i}"))
+        found += [F.col(f"__strata_best{i}.{c}").alias(c) for c in at]
+    top = covering.groupBy("__strata_key").agg(*best).select("__strata_key", *found)
+    return out.join(top, out[KEY] == top["__strata_key"], "left").drop("__strata_key")
+
+
+_HISTORY = "__strata_history"
+
+
+def _stacked(histories: Sequence[tuple[DataFrame, Sequence[str]]]) -> tuple[DataFrame, list[list[str]]]:
+    """The rows of all histories in one table (key, interval, number of the history, values), and per history
+    the columns that hold its values. Values of one type share columns, so a row is as wide as the widest history."""
+    slots: list[list[str]] = []
+    types: dict[str, T.DataType] = {}
+    kinds: dict[T.DataType, int] = {}
+    for df, cols in histories:
+        used: dict[T.DataType, int] = {}
+        slots.append([])
+        for dtype in [df.schema[c].dataType for c in cols]:
+            used[dtype] = used.get(dtype, 0) + 1
+            slots[-1].append(f"__strata_value{kinds.setdefault(dtype, len(kinds))}_{used[dtype]}")
+            types[slots[-1][-1]] = dtype
+    parts = []
+    for i, (df, cols) in enumerate(histories):
+        held = {slot: F.col(c) for slot, c in zip(slots[i], cols)}
+        values = [held.get(slot, F.lit(None).cast(dtype)).alias(slot) for slot, dtype in types.items()]
+        parts.append(df.select(KEY, "valid_from_entry", "valid_to_entry", F.lit(i).alias(_HISTORY), *values))
+    return reduce(DataFrame.union, parts), slots
 
 
 @dataclass(frozen=True)

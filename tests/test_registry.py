@@ -283,6 +283,22 @@ def test_current_info_has_one_row_per_key_in_every_join(spark, layers):
     assert plan.count("max(struct(") == len(R.GOLD_JOINS)
 
 
+def test_current_info_sorts_little_in_one_stage(spark, layers):
+    """All histories meet the last entries in one join: the buffers a task sorts do not grow with their number."""
+    _, tables, _ = layers
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        direct = R.current_info_direct(tables, tie_break=["company_name"], repaired=R.repair_histories(tables))
+        plan = direct._jdf.queryExecution().executedPlan().toString()
+        above = plan[: plan.index("Union")]  # what runs on the stacked rows
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert above.count("SortMergeJoin") <= 2 and above.count("Sort [") <= 3
+
+
 def test_derived_texts_are_computed_above_every_join_and_aggregate(spark):
     """What is shuffled, sorted and grouped are narrow lines and ids; the texts are made of the kept rows."""
     from strata.plans import derived_registry as D
