@@ -18,7 +18,7 @@ last, so an index needs only these: at most six entries a word however long and
 
 The vocabulary is counted over whole texts (per document in Python, added up by Spark). The only thing
 that reaches the driver is the bigram frequency table, whose size is bounded by the square of the alphabet
-(90 letters), never by the words. A word's neighbours are bounded by its length times the alphabet.
+(90 letters), never by the words; no join broadcasts a side. A word's neighbours are bounded by its length times the alphabet.
 
 Defined cases: null text has no words; a null id is empty text in the hash; repeated rows count each;
 empty tables give no rows; other columns are ignored.
@@ -163,6 +163,13 @@ def _signatures(frequency: Mapping[str, int]):
     return F.arrow_udf(made, kind)
 
 
+def _dealt(table: DataFrame) -> DataFrame:
+    """``table`` as a side of a join that is never broadcast: it grows with the vocabulary. Files of words are small
+    beside the rows they hold (a few index entries each), so a plan that goes by the size of the files would
+    gather the entries of half a million words in the driver."""
+    return table.hint("merge")
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """``word``, ``n``, ``near``, ``near_n`` for words one edit apart; a pair comes in one direction or both, once
     or twice. ``words`` (word, n) is read several times, so it should be stored."""
@@ -183,7 +190,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     probes = signed.select("word", "n", F.col("s.last").alias("last"), F.explode(pivots).alias("key"))
     lengths = F.transform(F.sequence(F.lit(-EDITS), F.lit(EDITS)), lambda d: F.length("word") + d)
     probes = probes.select("*", F.explode(lengths).alias("length"))
-    found = probes.join(index, ["key", "length"]).where(
+    found = probes.join(_dealt(index), ["key", "length"]).where(
         (F.col("last") <= F.col("near_last"))
         & (F.col("word") != F.col("near"))
         & (F.levenshtein("word", "near", EDITS) == EDITS)
@@ -200,7 +207,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     for _ in range(math.ceil(math.log2(steps))):
         further = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
         roots = materialize(
-            roots.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"))
+            roots.join(_dealt(further), "root", "left").select("word", F.coalesce("next", "root").alias("root"))
         )
     return roots
 
@@ -227,8 +234,8 @@ def group(docs: DataFrame) -> DataFrame:
     )
     roots = _roots(linked.where(F.col("form").isNotNull()))
     return (
-        words.join(linked, "word", "left")
-        .join(roots, "word", "left")
+        words.join(_dealt(linked), "word", "left")
+        .join(_dealt(roots), "word", "left")
         .select(
             "word", "form", F.coalesce("root", "word").alias("root"), "n",
             F.coalesce("n_near", F.lit(0)).alias("n_near"), "form_n",

@@ -130,6 +130,20 @@ def test_every_near_pair_meets_in_the_index():
     assert len(pairs) > 200 and all(met(a, b) or met(b, a) for a, b in pairs)
 
 
+def test_no_join_broadcasts_words(spark, spelled):
+    """Small files of words hold many index entries: a broadcast of them would be gathered in the driver."""
+    words = materialize(spelling.vocabulary(_docs(spark, spelled)))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        for made in (spelling.near_pairs(words), spelling.group(_docs(spark, spelled))):
+            made.collect()
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert "Join" in plan and "Broadcast" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_no_words(spark):
     for rows in ([], [(1, None), (2, "short words only")]):
         assert spelling.group(_docs(spark, rows)).collect() == []
