@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -36,13 +36,15 @@ def cluster(
     return out.sortWithinPartitions(*sort_by) if sort_by else out
 
 
-def materialize(df: DataFrame, path: str | None = None, fmt: str = "parquet") -> DataFrame:
+def materialize(
+    df: DataFrame, path: str | None = None, fmt: str = "parquet", options: Mapping[str, str] | None = None
+) -> DataFrame:
     """Write ``df`` once to the shared folder and return the re-read table.
 
     This replaces the reference's ``persist(DISK_ONLY)`` + eager ``checkpoint``
     double materialisation: one write, lineage cut, the files survive the loss of
-    executors, and the re-read is column-pruned per consumer.
+    executors, and the re-read is column-pruned per consumer. ``options`` go to the writer.
     """
     target = path or fresh_path(df.sparkSession, "stage")
-    df.write.format(fmt).mode("overwrite").save(target)
+    df.write.format(fmt).options(**(options or {})).mode("overwrite").save(target)
     return df.sparkSession.read.format(fmt).load(target)

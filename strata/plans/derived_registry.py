@@ -22,13 +22,12 @@ A group is always one order's lines: bounded by the order, not the table.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.arrays import count_at_most
 from ..functions.documents import contains_marker, rewrite_keys
 from ..operators.layout import materialize
 from . import registry as R
@@ -69,22 +68,6 @@ ISSUE_SQL = {
 STATUTE_KEY = "zawarcieZmianaUmowyStatutu"
 
 
-def _nested_struct(pairs: Mapping[str, Column]) -> Column:
-    """Struct from dotted keys: ``{"a.b": x, "c": y}`` -> ``struct(struct(x AS b) AS a, y AS c)``."""
-    tree: dict = {}
-    for key, col in pairs.items():
-        *parents, leaf = key.split(".")
-        node = tree
-        for p in parents:
-            node = node.setdefault(p, {})
-        node[leaf] = col
-    return _assemble(tree)
-
-
-def _assemble(tree: dict) -> Column:
-    return F.struct(*[(_assemble(v) if isinstance(v, dict) else v).alias(k) for k, v in tree.items()])
-
-
 #: What the documents need of a line; lines stand in this order inside an order, by descending number.
 LINE_COLUMNS = ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
 #: One bit per rule that selects the line, and the closer's bit above them: each is tested once per line.
@@ -94,50 +77,155 @@ LINE_RULES_SQL = " + ".join(
 )
 
 
-def _any_rule(*bits: int) -> str:
-    return f"(l_rules & {sum(1 << bit for bit in bits)}) <> 0"
-
-
-def _of_line(sql: str) -> str:
-    """A line's SQL text on the element ``x`` of the array ``lines``."""
-    return re.sub(r"\bl_(?=\w)", "x.l_", sql)
-
-
-def _lines(values: Mapping[str, str], where: str | None = None) -> Column:
-    """One struct of ``values`` (SQL texts) for each of the order's lines that meets ``where``."""
-    fields = ", ".join(f"{sql} AS `{name}`" for name, sql in values.items())
-    lines = f"filter(lines, x -> {where})" if where else "lines"
-    return F.expr(_of_line(f"transform({lines}, x -> struct({fields}))"))
-
-
-def _bound(value: Column, build) -> Column:
-    """``build(value)`` with ``value`` computed once per row and not once per use."""
-    return F.transform(F.array(value), build)[0]
-
+def _struct_type(pairs: Mapping[str, T.DataType]) -> T.StructType:
+    """Struct type from dotted keys: ``{"a.b": x, "c": y}`` -> ``struct<a: struct<b: x>, c: y>``."""
+    heads: dict = {}
+    for key, dtype in pairs.items():
+        head, _, rest = key.partition(".")
+        if rest:
+            heads.setdefault(head, {})[rest] = dtype
+        else:
+            heads[head] = dtype
+    return T.StructType([T.StructField(k, _struct_type(v) if isinstance(v, dict) else v) for k, v in heads.items()])
 
-def _intervals(j: int, keys: Sequence[str], also: Mapping[str, str] | None = None, build=lambda x, interval: interval) -> Column:
-    """The intervals of rule ``j``: each ends at the smallest larger number of a line that the rule selects or that
-    closes, found by binary search in the order's sorted numbers (n log n in its lines)."""
-    values = {"n": "l_linenumber", **{f"v{i}": value_sql(k, j, i) for i, k in enumerate(keys)}, **(also or {})}
-    selected = _lines(values, _any_rule(j))
-    ends = _lines({"n": "l_linenumber"}, f"{_any_rule(j, STATUTE_RULE + 1)} AND l_linenumber IS NOT NULL")
 
-    def interval(sorted_ends: Column, x: Column) -> Column:
-        pairs = {k: x[f"v{i}"] for i, k in enumerate(keys)}
-        pairs[R.START_KEY] = x["n"].cast("string")
-        pairs[R.END_KEY] = F.get(sorted_ends, count_at_most(sorted_ends, x["n"])).cast("string")
-        return _nested_struct(pairs)
+def _interval_type(keys: Sequence[str]) -> T.StructType:
+    leaves = {k: T.BooleanType() if k.rsplit(".", 1)[-1] in R.BOOLEAN_KEYS else T.StringType() for k in keys}
+    return _struct_type({**leaves, R.START_KEY: T.StringType(), R.END_KEY: T.StringType()})
 
-    return _bound(F.reverse(ends["n"]), lambda m: F.transform(selected, lambda x: build(x, interval(m, x))))
 
-
-def _field(name: str):
-    return lambda x: x[name]
-
-
-def _group_by_flag(flags: Column, items: Column, build) -> Column:
-    """One struct per flag from an order's ``(flag, ...)`` items."""
-    return _bound(items, lambda held: F.transform(flags, lambda f: build(F.filter(held, lambda x: x["flag"] == f))))
+def _document_type() -> T.StructType:
+    parts: dict[str, T.DataType] = {
+        f"{R.SECTION}.{path}": T.ArrayType(_interval_type([k for _, k in fields])) for _, path, fields, _ in R.HISTORIES
+    }
+    statute = T.StructType([T.StructField("pozycja", T.ArrayType(_interval_type([STATUTE_KEY])))])
+    parts[f"{R.SECTION}.umowaStatut.informacjaOZawarciuZmianieUmowyStatutu"] = T.ArrayType(statute)
+    issued = {k: T.ArrayType(_struct_type({k: T.StringType(), R.START_KEY: T.StringType()})) for k in ISSUE_SQL}
+    parts[f"{R.SECTION}.emisjeAkcji"] = T.ArrayType(_struct_type(issued))
+    parts[R.TIMELINE_PATH] = T.ArrayType(_struct_type(dict.fromkeys([*TIMELINE_SQL, "dataWpisu"], T.StringType())))
+    return _struct_type(parts)
+
+
+def _document(lines: Column) -> Column:
+    """The document of an order as a struct, made of whole batches of orders at a time in Arrow: an expression over
+    the array of lines would be interpreted line by line, history by history. The function brings all it needs
+    along, so that workers import nothing of this package."""
+    rules = [(f"{R.SECTION}.{path}", [k for _, k in fields]) for _, path, fields, _ in R.HISTORIES]
+    section, timeline_path, start_key, end_key = R.SECTION, R.TIMELINE_PATH, R.START_KEY, R.END_KEY
+    booleans, statute_rule, statute_key = R.BOOLEAN_KEYS, STATUTE_RULE, STATUTE_KEY
+    series_key, count_key, preference_key = ISSUE_SQL
+    leaf_texts: dict = {}
+
+    def made(lines):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        sizes = pc.fill_null(pc.list_value_length(lines), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        no_lines, orders = pc.is_null(lines), len(lines)
+        flat = lines.flatten()
+        number, part, supp, flag, status, day, bits = flat.flatten()
+        count, row = len(flat), np.repeat(np.arange(orders), sizes)
+        at, row_start = np.arange(count), np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+        def known(values):
+            return pc.is_valid(values).to_numpy(zero_copy_only=False)
+
+        def ints(values):
+            return pc.fill_null(values.cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+
+        def some(places, found):
+            return pa.array(places, pa.int64(), mask=~found)
+
+        def joined(*texts):
+            return pc.binary_join_element_wise(*texts, "")
+
+        def struct(pairs):
+            heads: dict = {}
+            for key, values in pairs.items():
+                head, _, rest = key.partition(".")
+                if rest:
+                    heads.setdefault(head, {})[rest] = values
+                else:
+                    heads[head] = values
+            return pa.StructArray.from_arrays([struct(v) if isinstance(v, dict) else v for v in heads.values()], list(heads))
+
+        def lists(of, total, elements, missing=None):
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=total))]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), elements, mask=missing)
+
+        n, n_known, n_text, rule_bits = ints(number), known(number), number.cast(pa.string()), ints(bits)
+        part_text, supp_text = part.cast(pa.string()), supp.cast(pa.string())
+        # lines stand by descending number, without a number last: the first line of every run of equal numbers
+        new = np.ones(count, bool)
+        new[1:] = (row[1:] != row[:-1]) | (n[1:] != n[:-1]) | (n_known[1:] != n_known[:-1])
+        run_start = np.maximum.accumulate(np.where(new, at, 0)) if count else at
+
+        def value(key, shift, picked):
+            leaf, of_supp = key.rsplit(".", 1)[-1], supp.take(picked)
+            if leaf in booleans:
+                return pc.equal(pc.bit_wise_and(pc.add_checked(of_supp.cast(pa.int64()), shift), 1), 0)
+            x = pc.add_checked(part.take(picked).cast(pa.int64()), pc.multiply_checked(of_supp.cast(pa.int64()), shift + 1))
+            if leaf not in leaf_texts:
+                leaf_texts[leaf] = [f"{leaf}-{r}" for r in range(-96, 97)]
+            return pa.array(leaf_texts[leaf], pa.string()).take(some(np.fmod(ints(x), 97) + 96, known(x)))
+
+        def intervals(j, keys, lines_at):
+            """Each ends at the smallest larger number of a line that the rule selects or that closes; without a number
+            of its own, at the smallest of all."""
+            ending = ((rule_bits & (1 << j | 1 << statute_rule + 1)) != 0) & n_known
+            last = np.concatenate([[-1], np.maximum.accumulate(np.where(ending, at, -1))]) if count else np.array([-1])
+            end = last[np.where(n_known[lines_at], run_start[lines_at], lines_at + 1)]
+            picked = pa.array(lines_at, pa.int64())
+            values = {k: value(k, j + i, picked) for i, k in enumerate(keys)}
+            ends = n_text.take(some(end, end >= row_start[lines_at]))
+            return struct({**values, start_key: n_text.take(picked), end_key: ends})
+
+        parts = {}
+        for j, (path, keys) in enumerate(rules):
+            selected = np.flatnonzero(rule_bits & (1 << j))
+            parts[path] = lists(row[selected], orders, intervals(j, keys, selected), no_lines)
+
+        # groups: the lines of an order by flag, flags in the order of their first lines; no line has the flag NULL
+        codes = flag.dictionary_encode()
+        code = pc.fill_null(codes.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        _, first, which = np.unique(row * (len(codes.dictionary) + 1) + code, return_index=True, return_inverse=True)
+        by_group = np.argsort(first[which], kind="stable")
+        firsts = np.sort(first)
+        group = np.searchsorted(firsts, first[which])
+        flagged = by_group[code[by_group] > 0]
+        in_statute = flagged[(rule_bits[flagged] & (1 << statute_rule)) != 0]
+
+        def grouped(pairs):
+            return lists(row[firsts], orders, struct(pairs), no_lines)
+
+        positions = lists(group[in_statute], len(firsts), intervals(statute_rule, [statute_key], in_statute))
+        parts[f"{section}.umowaStatut.informacjaOZawarciuZmianieUmowyStatutu"] = grouped({"pozycja": positions})
+        picked = pa.array(flagged, pa.int64())
+        thirds = np.fmod(ints(part.take(picked)), 3) + 2
+        start = pa.array([str(r) for r in range(-2, 3)]).take(some(thirds, known(part.take(picked))))
+        issued = {series_key: joined("S", part_text), count_key: supp_text, preference_key: joined(flag, n_text)}
+        parts[f"{section}.emisjeAkcji"] = grouped({
+            k: lists(group[flagged], len(firsts), struct({k: texts.take(picked), start_key: start}))
+            for k, texts in issued.items()
+        })
+
+        days = day.dictionary_encode()
+        dates = []
+        for d in days.dictionary.cast(pa.int32()).to_pylist():
+            year, month, of_month = str(np.datetime64(d, "D")).rsplit("-", 2)
+            year = int(year) if int(year) > 0 else 1 - int(year)
+            dates.append(f"{of_month}.{month}.{'+' if year > 9999 else ''}{year:04}")
+        parts[timeline_path] = lists(row, orders, struct({
+            "opis": joined(flag, status),
+            "numerWpisu": n_text,
+            "oznaczenieSaduDokonujacegoWpisu": joined("SR", supp_text),
+            "sygnaturaAktSprawyDotyczacejWpisu": joined("P", part_text),
+            "dataWpisu": pa.array(dates, pa.string()).take(days.indices),
+        }), no_lines)
+        return struct(parts)
+
+    return F.arrow_udf(made, _document_type())(lines)
 
 
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +235,8 @@ def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     document holds besides is computed from the array, row by row, so that no wide row is in a sort or a buffer.
     """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", *LINE_COLUMNS, F.expr(LINE_RULES_SQL).alias("l_rules")
+        "l_orderkey", *LINE_COLUMNS[:-1], F.col("l_shipdate").cast("date").alias("l_shipdate"),
+        F.expr(LINE_RULES_SQL).alias("l_rules"),
     )
     # dealt by order before the aggregate: nothing is combined, and sorted, before the shuffle
     per_order = lines.repartition("l_orderkey").groupBy("l_orderkey").agg(
@@ -169,27 +258,7 @@ def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_text() -> Column:
     """The JSON text of a row of :func:`source_rows`."""
-    parts = {
-        f"{R.SECTION}.{path}": _intervals(j, [k for _, k in fields]) for j, (_, path, fields, _) in enumerate(R.HISTORIES)
-    }
-    flags = F.array_distinct(F.transform(_lines({"flag": "l_returnflag"}), _field("flag")))
-    statute = _intervals(
-        STATUTE_RULE, [STATUTE_KEY], {"flag": "l_returnflag"},
-        lambda x, interval: F.struct(x["flag"].alias("flag"), interval.alias("pos")),
-    )
-    parts[f"{R.SECTION}.umowaStatut.informacjaOZawarciuZmianieUmowyStatutu"] = _group_by_flag(
-        flags, statute, lambda group: F.struct(F.transform(group, _field("pos")).alias("pozycja"))
-    )
-    issued = {k: f"struct({v} AS `{k}`, {ISSUE_START_SQL} AS `{R.START_KEY}`)" for k, v in ISSUE_SQL.items()}
-    parts[f"{R.SECTION}.emisjeAkcji"] = _group_by_flag(
-        flags,
-        _lines({"flag": "l_returnflag", **issued}),
-        lambda group: F.struct(*[F.transform(group, _field(k)).alias(k) for k in ISSUE_SQL]),
-    )
-    parts[R.TIMELINE_PATH] = _lines(
-        {**TIMELINE_SQL, "dataWpisu": f"date_format(l_shipdate, '{R.ENTRY_DATE_FORMAT}')"}
-    )
-    text = F.to_json(_nested_struct(parts))
+    text = F.to_json(_document(F.col("lines")))
     text = F.when(F.col("foreign"), rewrite_keys(text, FOREIGNISE_RULES)).otherwise(text)
     return F.when(F.col("stale"), F.lit(STALE_DOCUMENT)).otherwise(text)
 
@@ -207,18 +276,29 @@ def bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ queries
 
 
-def parsed_documents(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
+#: The staged parse is read once or twice: its some 70 short text columns are not worth a dictionary each.
+PLAIN = {"parquet.enable.dictionary": "false"}
+
+
+def parsed_documents(
+    spark: SparkSession, sf_dir: str, stage: bool = True, names: Collection[str] | None = None
+) -> DataFrame:
     """Bronze + dialect folding + parse; staged once in the shared folder like :func:`registry.run`.
 
     Without the stage every silver branch of a gold plan would rebuild and re-parse
-    the documents; with it each branch scans only its own nested column.
+    the documents; with it each branch scans only its own nested column. With ``names`` only the arrays
+    of these silver tables are kept.
     """
     parsed = R.normalise(bronze_documents(spark, sf_dir))
-    return materialize(parsed) if stage else parsed
+    if names is not None:
+        parsed = R.narrowed(parsed, names)
+    return materialize(parsed, options=PLAIN) if stage else parsed
 
 
-def silver_tables(spark: SparkSession, sf_dir: str, stage: bool = True) -> dict[str, DataFrame]:
-    return R.silver(None, parsed=parsed_documents(spark, sf_dir, stage))
+def silver_tables(
+    spark: SparkSession, sf_dir: str, stage: bool = True, names: Collection[str] | None = None
+) -> dict[str, DataFrame]:
+    return R.silver(None, parsed=parsed_documents(spark, sf_dir, stage, names), names=names)
 
 
 def full_history_tie_break() -> list[str]:
@@ -259,22 +339,24 @@ def q_registry_share_series(spark, sf_dir):
 
 
 def q_registry_full_history(spark, sf_dir):
-    parsed = parsed_documents(spark, sf_dir)
-    return R.full_history(R.silver(None, parsed=parsed), repaired=R.repaired_in_documents(parsed))
+    names = R.FULL_HISTORY_TABLES
+    parsed = parsed_documents(spark, sf_dir, names=names)
+    return R.full_history(R.silver(None, parsed=parsed, names=names), repaired=R.repaired_in_documents(parsed))
 
 
 def q_registry_shares_issues(spark, sf_dir):
-    return R.shares_issues(silver_tables(spark, sf_dir))
+    return R.shares_issues(silver_tables(spark, sf_dir, names=R.SHARES_ISSUES_TABLES))
 
 
 def q_registry_amendments(spark, sf_dir):
-    return R.amendments(silver_tables(spark, sf_dir))
+    return R.amendments(silver_tables(spark, sf_dir, names=["statute_change"]))
 
 
 def q_registry_current_info(spark, sf_dir):
-    parsed = parsed_documents(spark, sf_dir)
+    names = R.FULL_HISTORY_TABLES
+    parsed = parsed_documents(spark, sf_dir, names=names)
     repaired = R.repaired_in_documents(parsed)
-    return R.current_info_direct(R.silver(None, parsed=parsed), full_history_tie_break(), repaired)
+    return R.current_info_direct(R.silver(None, parsed=parsed, names=names), full_history_tie_break(), repaired)
 
 
 QUERIES = {

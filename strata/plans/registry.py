@@ -12,7 +12,7 @@ Everything is lazy; :func:`run` materialises the outputs.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -164,11 +164,11 @@ def _interval_array(keys: Sequence[str], with_end: bool = True) -> T.ArrayType:
     return T.ArrayType(_s(_payload_type(keys) + bounds))
 
 
-def _insert(tree: dict, path: str, dtype: T.DataType) -> None:
+def _insert(tree: dict, path: str, value: T.DataType | Column) -> None:
     *parents, leaf = path.split(".")
     for p in parents:
         tree = tree.setdefault(p, {})
-    tree[leaf] = dtype
+    tree[leaf] = value
 
 
 def _build(tree: dict) -> T.StructType:
@@ -258,10 +258,27 @@ def silver(
     bronze_df: DataFrame,
     on_error: str = "fail",
     parsed: DataFrame | None = None,
+    names: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The 21 silver tables, lazily. Pass ``parsed`` to reuse a materialised parse."""
+    """The 21 silver tables, lazily. Pass ``parsed`` to reuse a materialised parse, and ``names`` where it
+    is :func:`narrowed` to these tables."""
     doc = parsed if parsed is not None else normalise(bronze_df)
-    return {spec.name: explode_history(doc, spec, carry=CARRY, on_error=on_error) for spec in silver_specs()}
+    specs = [spec for spec in silver_specs() if names is None or spec.name in names]
+    return {spec.name: explode_history(doc, spec, carry=CARRY, on_error=on_error) for spec in specs}
+
+
+def narrowed(parsed: DataFrame, names: Collection[str]) -> DataFrame:
+    """Parsed documents with only those arrays of ``data`` that the silver tables ``names`` are exploded from:
+    a staged copy for a few tables does not write the others' columns."""
+    paths = dict.fromkeys(spec.path[0] for spec in silver_specs() if spec.name in names)
+    tree: dict = {}
+    for path in paths:
+        _insert(tree, path, F.col(f"data.{path}"))
+
+    def built(node: dict) -> Column:
+        return F.struct(*[(built(v) if isinstance(v, dict) else v).alias(k) for k, v in node.items()])
+
+    return parsed.select(*[c for c in parsed.columns if c != "data"], built(tree).alias("data"))
 
 
 def repair_histories(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -366,6 +383,11 @@ def full_history(
     return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_rows=bin_rows)
 
 
+#: The silver tables that gold's outputs read.
+FULL_HISTORY_TABLES = ("registry", *[name for name, _, _ in GOLD_JOINS])
+SHARES_ISSUES_TABLES = ("share_issues_series_name", "share_issues_shares_in_series", "share_issues_preference_info")
+
+
 def shares_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
     """T4: series names start-matched with share counts and preferences."""
     return start_match_chain(

@@ -1,0 +1,157 @@
+"""Documents derived from orders and lines against a brute force in Python, and what their staged copy holds."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import random
+
+import pytest
+
+from strata.plans import derived_registry as D
+from strata.plans import registry as R
+
+LINES = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+DAYS = [None, dt.datetime(1995, 3, 4, 5, 6), dt.datetime(1, 1, 1), dt.datetime(9999, 12, 31, 23, 59), dt.datetime(1960, 2, 29, 23)]
+
+
+def _odd_lines(rng):
+    for o in range(150):
+        for _ in range(rng.randrange(0, 9)):
+            part = rng.choice([None, -9, 0, 7, 8, 15, 96, 97, rng.randrange(-300, 9999)])
+            supp = rng.choice([None, 0, 1, -5, rng.randrange(-99, 999)])
+            flag = rng.choice([None, "R", "N", "A", 'x"y', "é\\", "danePodmiotu", ""])
+            number = rng.choice([None, 1, 1, 2, 3, 4, 5, -2, 0])
+            yield o, part, supp, number, flag, rng.choice([None, "O", "\n"]), rng.choice(DAYS)
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    rng = random.Random(3)
+    d = str(tmp_path_factory.mktemp("odd"))
+    lines = list(_odd_lines(rng))
+    orders = [(o, rng.choice([None, "1-URGENT", "2-HIGH"]), rng.choice([None, "F", "O"])) for o in range(160)]
+    spark.createDataFrame(lines, LINES).repartition(3).write.parquet(f"{d}/lineitem.parquet")
+    kind = "o_orderkey long, o_orderpriority string, o_orderstatus string"
+    spark.createDataFrame(orders, kind).write.parquet(f"{d}/orders.parquet")
+    return d, lines, orders
+
+
+def _set(tree, path, value):
+    *parents, leaf = path.split(".")
+    for p in parents:
+        tree = tree.setdefault(p, {})
+    if value is not None:
+        tree[leaf] = value
+
+
+def _remainder(x, m):
+    return x - m * int(x / m)
+
+
+def _interval(j, keys, line, lines):
+    _, part, supp, number, *_ = line
+    out: dict = {}
+    for i, key in enumerate(keys):
+        leaf = key.rsplit(".", 1)[-1]
+        if leaf in R.BOOLEAN_KEYS:
+            _set(out, key, None if supp is None else (supp + j + i) % 2 == 0)
+        else:
+            _set(out, key, None if supp is None else f"{leaf}-{_remainder(part + supp * (j + i + 1), 97)}")
+    _set(out, R.START_KEY, None if number is None else str(number))
+    ends = [x[3] for x in lines if (_selected(x, j) or x[4] == "R") and x[3] is not None and (number is None or x[3] > number)]
+    _set(out, R.END_KEY, str(min(ends)) if ends else None)
+    return out
+
+
+def _selected(line, j):
+    return line[1] is not None and (line[1] + j) % 8 == 0
+
+
+def _text(x):
+    return None if x is None else str(x)
+
+
+def _document(lines):
+    tree: dict = {}
+    for path in [f"{R.SECTION}.{p}" for _, p, _, _ in R.HISTORIES]:
+        _set(tree, path, None)
+    for j, (_, path, fields, _) in enumerate(R.HISTORIES):
+        _set(tree, f"{R.SECTION}.{path}", [_interval(j, [k for _, k in fields], x, lines) for x in lines if _selected(x, j)] if lines else None)
+    flags = list(dict.fromkeys(x[4] for x in lines))
+    of = {f: [x for x in lines if f is not None and x[4] == f] for f in flags}
+    statute = [{"pozycja": [_interval(D.STATUTE_RULE, [D.STATUTE_KEY], x, lines) for x in of[f] if _selected(x, D.STATUTE_RULE)]} for f in flags]
+    _set(tree, f"{R.SECTION}.umowaStatut.informacjaOZawarciuZmianieUmowyStatutu", statute if lines else None)
+    issues = []
+    for f in flags:
+        issues.append({k: [] for k in D.ISSUE_SQL})
+        for x in of[f]:
+            values = (None if x[1] is None else f"S{x[1]}", _text(x[2]), None if x[3] is None else f"{x[4]}{x[3]}")
+            for key, value in zip(D.ISSUE_SQL, values):
+                item: dict = {}
+                _set(item, key, value)
+                _set(item, R.START_KEY, None if x[1] is None else str(_remainder(x[1], 3)))
+                issues[-1][key].append(item)
+    _set(tree, f"{R.SECTION}.emisjeAkcji", issues if lines else None)
+    entries = []
+    for x in lines:
+        entry = {
+            "opis": None if x[4] is None or x[5] is None else x[4] + x[5],
+            "numerWpisu": _text(x[3]),
+            "oznaczenieSaduDokonujacegoWpisu": None if x[2] is None else f"SR{x[2]}",
+            "sygnaturaAktSprawyDotyczacejWpisu": None if x[1] is None else f"P{x[1]}",
+            "dataWpisu": None if x[6] is None else f"{x[6].day:02}.{x[6].month:02}.{x[6].year:04}",
+        }
+        entries.append({k: v for k, v in entry.items() if v is not None})
+    _set(tree, R.TIMELINE_PATH, entries if lines else None)
+    return tree
+
+
+def _bag(value):
+    """Arrays as multisets: lines that tie stand in no fixed order."""
+    if isinstance(value, dict):
+        return {k: _bag(v) for k, v in value.items()}
+    return sorted((repr(_bag(v)) for v in value)) if isinstance(value, list) else value
+
+
+def test_documents_of_odd_lines_equal_brute_force(spark, odd):
+    d, lines, orders = odd
+    got = {r["id"]: r for r in D.raw_documents(spark, d).collect()}
+    assert len(got) == len(orders) + sum(s == "F" for _, _, s in orders)
+    for key, priority, status in orders:
+        text = got[2 * key]["raw_data"]
+        of_order = [x for x in lines if x[0] == key]
+        own = {R.FOREIGN_MARKER: "danePodmiotu", "siedzibaIAdresPodmiotuZagranicznego": "siedzibaIAdres"}
+        tree = json.loads(text)
+        section = tree["odpis"]["dane"]["dzial1"]
+        foreign = (priority or "").startswith("1")
+        assert any(k in section for k in own) == foreign and ("danePodmiotu" in section) != foreign
+        tree["odpis"]["dane"]["dzial1"] = {own.get(k, k): v for k, v in section.items()}
+        assert _bag(tree) == _bag(_document(of_order)), key
+        if status == "F":
+            assert got[2 * key + 1]["raw_data"] == D.STALE_DOCUMENT
+
+
+def test_documents_are_not_built_line_by_line(spark):
+    """A lambda over an order's lines is interpreted for each line and history; the batches are not."""
+    plan = D.raw_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "ArrowEvalPython" in plan and plan.count("to_json") <= 2
+
+
+def test_staged_copies_hold_what_the_query_reads(spark, odd):
+    """One parse; the arrays of other silver tables are not written."""
+    names = R.SHARES_ISSUES_TABLES
+    narrow = D.parsed_documents(spark, odd[0], names=names)
+    assert narrow.schema["data"].dataType.simpleString().count("array") == 4  # one of issues, three inside
+    whole = D.parsed_documents(spark, odd[0], stage=False)
+    plan = R.narrowed(whole, R.FULL_HISTORY_TABLES)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    tables, every = R.silver(None, parsed=narrow, names=names), R.silver(None, parsed=D.parsed_documents(spark, odd[0]))
+    assert set(tables) == set(names) and len(every) == 21
+    for name in names:
+        assert sorted(map(repr, tables[name].collect())) == sorted(map(repr, every[name].collect()))
+
+
+def test_marker_is_found_as_bytes(spark):
+    df = spark.createDataFrame([("aébc",), ("",), (None,)], "t string").select(R.contains_marker("t", "b"), R.contains_marker("t", ""))
+    assert [tuple(r) for r in df.collect()] == [(True, True), (False, True), (False, False)]
