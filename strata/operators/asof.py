@@ -56,6 +56,7 @@ PAIR_ROWS = 1024
 
 _RANGE, _BIN = "__strata_range", "__strata_bin"
 _EDGES, _AT = "__strata_edges", "__strata_at"
+_BASE = "__strata_base"
 _H = "__strata_h_"
 _O = "__strata_o_"
 
@@ -173,12 +174,15 @@ def interval_chain(
     end: str = "valid_to_entry",
     bin_rows: int = BIN_ROWS,
     method: str = "measured",
+    hashed: bool = False,
 ) -> DataFrame:
     """Left-deep chain of interval as-of joins (J4): base columns, then each spec's columns.
 
     Rows per base row = product over specs of max(1, matches), as in the reference.
     ``method="measured"`` reads the base's keys and ordinals once beforehand (see the module);
     ``method="key"`` is the reference's plan (equi-join on the key + range residual) without that pass.
+    With ``hashed`` the plain key joins build hash tables of the histories instead of sorting both sides: for
+    histories whose share of a shuffle partition is known to fit in memory (a hash table does not spill).
     """
     keys = list(keys)
     at_type = base.schema[at].dataType
@@ -189,7 +193,7 @@ def interval_chain(
         raise ValueError("bin_rows must be positive")
     split = measure(base, keys, at, bin_rows) if method == "measured" else None
     if split is None:
-        return reduce(lambda out, spec: _key_join(out, spec, keys, at, start, end), specs, base)
+        return _key_chain(base, specs, keys, at, start, end, hashed)
 
     here = F.coalesce(_axis(F.col(at), at_type), F.lit(0))  # a NULL ordinal matches nothing, in any bin
     out = _placed(base, keys, here, here, split)
@@ -207,11 +211,21 @@ def interval_chain(
     return out.drop(_RANGE, _BIN)
 
 
-def _key_join(out: DataFrame, spec: AsOfSpec, keys, at, start, end) -> DataFrame:
-    h = _renamed_history(spec, keys, start, end)
-    cond = [out[k] == h[f"{_H}k{i}"] for i, k in enumerate(keys)]
-    cond += [h[f"{_H}start"] <= out[at], h[f"{_H}end"].isNull() | (h[f"{_H}end"] > out[at])]
-    return out.join(h, on=cond, how="left").select(*out.columns, *spec.output_names())
+def _key_chain(base: DataFrame, specs: Sequence[AsOfSpec], keys, at, start, end, hashed: bool) -> DataFrame:
+    """The chain of equi-joins on the key. Every join writes its rows anew, column by column, so the columns of
+    the base and of each history travel packed in one struct and are named at the end."""
+    moved = [c for c in base.columns if c not in (*keys, at)]
+    out = base.select(*keys, at, *([F.struct(*moved).alias(_BASE)] if moved else []))
+    named = [F.col(f"{_BASE}.`{c}`").alias(c) if c in moved else F.col(c) for c in base.columns]
+    for i, spec in enumerate(specs):
+        names, packed = spec.output_names(), f"{_H}packed{i}"
+        h = _renamed_history(spec, keys, start, end)
+        h = h.select(*h.columns[: len(keys) + 2], F.struct(*names).alias(packed))
+        cond = [out[k] == h[f"{_H}k{j}"] for j, k in enumerate(keys)]
+        cond += [h[f"{_H}start"] <= out[at], h[f"{_H}end"].isNull() | (h[f"{_H}end"] > out[at])]
+        out = out.join(h.hint("shuffle_hash") if hashed else h, on=cond, how="left").select(*out.columns, packed)
+        named += [F.col(f"{packed}.`{n}`").alias(n) for n in names]
+    return out.select(*named)
 
 
 def interval_join(

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.documents import contains_marker, rewrite_keys
 from ..operators.layout import materialize
+from ..session import fresh_path
 from . import registry as R
 
 CLOSER = "l_returnflag = 'R'"
@@ -281,7 +282,7 @@ PLAIN = {"parquet.enable.dictionary": "false"}
 
 
 def parsed_documents(
-    spark: SparkSession, sf_dir: str, stage: bool = True, names: Collection[str] | None = None
+    spark: SparkSession, sf_dir: str, stage: bool = True, names: Collection[str] | None = None, path: str | None = None
 ) -> DataFrame:
     """Bronze + dialect folding + parse; staged once in the shared folder like :func:`registry.run`.
 
@@ -292,7 +293,7 @@ def parsed_documents(
     parsed = R.normalise(bronze_documents(spark, sf_dir))
     if names is not None:
         parsed = R.narrowed(parsed, names)
-    return materialize(parsed, options=PLAIN) if stage else parsed
+    return materialize(parsed, path, options=PLAIN) if stage else parsed
 
 
 def silver_tables(
@@ -340,8 +341,10 @@ def q_registry_share_series(spark, sf_dir):
 
 def q_registry_full_history(spark, sf_dir):
     names = R.FULL_HISTORY_TABLES
-    parsed = parsed_documents(spark, sf_dir, names=names)
-    return R.full_history(R.silver(None, parsed=parsed, names=names), repaired=R.repaired_in_documents(parsed))
+    path = fresh_path(spark, "parsed")
+    parsed = parsed_documents(spark, sf_dir, names=names, path=path)
+    tables, repaired = R.silver(None, parsed=parsed, names=names), R.repaired_in_documents(parsed)
+    return R.full_history(tables, repaired=repaired, hashed=R.fits_hashed(spark, path))
 
 
 def q_registry_shares_issues(spark, sf_dir):

@@ -26,7 +26,7 @@ from ..operators.asof import BIN_ROWS, AsOfSpec, interval_chain, start_match_cha
 from ..operators.history import Field, HistorySpec, explode_history, reopen_orphans
 from ..operators.layout import cluster, materialize
 from ..operators.ranking import first_per_key_late, latest_per_key
-from ..session import fresh_path, staging
+from ..session import fresh_path, staging, stored_bytes
 from ..sources.tables import read_table, write_table
 
 KEY = "company_krs"
@@ -374,13 +374,25 @@ def full_history(
     tables: Mapping[str, DataFrame],
     bin_rows: int = BIN_ROWS,
     repaired: Mapping[str, DataFrame] | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Timeline (6 columns) with the 16 repaired histories attached, 43 columns. ``repaired`` takes
-    histories repaired already (:func:`repaired_in_documents`); otherwise each is repaired by a join."""
+    histories repaired already (:func:`repaired_in_documents`); otherwise each is repaired by a join. ``hashed``
+    as in :func:`interval_chain` (see :func:`fits_hashed`)."""
     repaired = repair_histories(tables) if repaired is None else repaired
     base = tables["registry"].select(*TIMELINE_OUTPUT)
     specs = [AsOfSpec(repaired[t], cols, prefix) for t, cols, prefix in GOLD_JOINS]
-    return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_rows=bin_rows)
+    return interval_chain(base, specs, keys=[KEY], at="entry_number", bin_rows=bin_rows, hashed=hashed)
+
+
+#: Staged bytes of parsed documents per shuffle partition up to which their histories are joined by hash tables.
+HASH_BYTES = 32 * 1024**2
+
+
+def fits_hashed(spark, staged: str) -> bool:
+    """Whether the histories of the parsed documents staged at ``staged`` (one per entity, so no key holds more than
+    a document) are small enough in every shuffle partition for hash tables, by the size of the files."""
+    return stored_bytes(spark, staged) <= HASH_BYTES * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 #: The silver tables that gold's outputs read.
@@ -419,12 +431,13 @@ def gold(
     current_from: str = "full",
     repaired: Mapping[str, DataFrame] | None = None,
     fmt: str = "parquet",
+    hashed: bool = False,
 ) -> GoldOutputs:
     """T3-T6. With ``stage`` the full history is written once (published at ``stage_path``, or a copy in the
     shared folder) and its export and current info read that copy (L3/L4). ``current_from="latest"``
     computes current info with :func:`current_info_direct` instead (joins only the
     latest timeline rows; cheaper when the full history fans out a lot)."""
-    full = full_history(tables, bin_rows, repaired)
+    full = full_history(tables, bin_rows, repaired, hashed)
     if stage and stage_path:
         write_table(full, stage_path, fmt, overwrite_schema=True)
         full = read_table(full.sparkSession, stage_path, fmt)
@@ -537,7 +550,8 @@ def run_gold(
     with staging(spark):
         repaired = repaired_in_documents(spark.read.format(fmt).load(staged), on_error) if staged else None
         tables = read_silver(spark, f"{out_root}/silver", fmt)
-        out = gold(tables, bin_rows, tie_break, paths["full_history"], repaired=repaired, fmt=fmt)
+        hashed = staged is not None and fits_hashed(spark, staged)
+        out = gold(tables, bin_rows, tie_break, paths["full_history"], repaired=repaired, fmt=fmt, hashed=hashed)
         jobs = {name: (getattr(out, name), path) for name, path in paths.items() if name != "full_history"}
         write_tables(jobs, fmt, concurrent_jobs=3)
     return paths

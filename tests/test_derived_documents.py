@@ -155,3 +155,23 @@ def test_staged_copies_hold_what_the_query_reads(spark, odd):
 def test_marker_is_found_as_bytes(spark):
     df = spark.createDataFrame([("aébc",), ("",), (None,)], "t string").select(R.contains_marker("t", "b"), R.contains_marker("t", ""))
     assert [tuple(r) for r in df.collect()] == [(True, True), (False, True), (False, False)]
+
+
+def test_full_history_hashes_histories_that_are_measured_small(spark, odd, monkeypatch):
+    """Histories of small staged documents are not sorted; larger ones are, as a hash table does not spill."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hashed = D.q_registry_full_history(spark, odd[0])
+        plan = hashed._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ShuffledHashJoin [") == len(R.GOLD_JOINS) and "SortMergeJoin" not in plan
+        monkeypatch.setattr(R, "HASH_BYTES", 0)
+        merged = D.q_registry_full_history(spark, odd[0])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin [") == len(R.GOLD_JOINS) and "ShuffledHashJoin" not in plan
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert hashed.columns == D.FULL_HISTORY_COLUMNS and hashed.count() > 300
+    assert sorted(map(repr, hashed.collect())) == sorted(map(repr, merged.collect()))
