@@ -98,7 +98,8 @@ def _is_start(starts: Column, end: Column) -> Column:
 
 def _with_repaired_ends(array: Column, spec: HistorySpec, on_error: str) -> Column:
     """Each element with its end, NULL where no element of the same array starts there (H1 in one document).
-    The one-element ``transform`` binds the sorted starts once per document."""
+    The one-element ``transform`` binds the sorted starts once per document; an empty array, which explodes like a
+    missing one, is not looked at."""
 
     def bound(element: Column, field: str) -> Column:
         return parse_int(element[field], on_error)
@@ -109,7 +110,7 @@ def _with_repaired_ends(array: Column, spec: HistorySpec, on_error: str) -> Colu
         ))
 
     starts = F.array_sort(F.transform(array, lambda x: bound(x, spec.start)))
-    return F.transform(F.array(starts), repaired)[0]
+    return F.when(F.size(array) > 0, F.transform(F.array(starts), repaired)[0])
 
 
 def explode_history(

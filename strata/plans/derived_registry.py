@@ -357,9 +357,10 @@ def q_registry_amendments(spark, sf_dir):
 
 def q_registry_current_info(spark, sf_dir):
     names = R.FULL_HISTORY_TABLES
-    parsed = parsed_documents(spark, sf_dir, names=names)
-    repaired = R.repaired_in_documents(parsed)
-    return R.current_info_direct(R.silver(None, parsed=parsed, names=names), full_history_tie_break(), repaired)
+    path = fresh_path(spark, "parsed")
+    parsed = parsed_documents(spark, sf_dir, names=names, path=path)
+    tables, repaired = R.silver(None, parsed=parsed, names=names), R.repaired_in_documents(parsed)
+    return R.current_info_direct(tables, full_history_tie_break(), repaired, R.fits_hashed(spark, path))
 
 
 QUERIES = {

@@ -302,7 +302,10 @@ def repaired_in_documents(parsed: DataFrame, on_error: str = "fail") -> dict[str
 
 
 def current_info_direct(
-    tables: Mapping[str, DataFrame], tie_break: Sequence[str] = (), repaired: Mapping[str, DataFrame] | None = None
+    tables: Mapping[str, DataFrame],
+    tie_break: Sequence[str] = (),
+    repaired: Mapping[str, DataFrame] | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """T6 without the full history, one row per key in every intermediate.
 
@@ -315,13 +318,15 @@ def current_info_direct(
 
     The histories are stacked (:func:`_stacked`) and meet the last entries in one join; one aggregate over the
     key chooses all 16 rows. A join and an aggregate per history would run in one stage, as all have the same
-    key, and each task would hold some 50 sort buffers at once.
+    key, and each task would hold some 50 sort buffers at once. With ``hashed`` (see :func:`fits_hashed`) the last
+    entries, one narrow row per key, are a hash table there: only the intervals that cover them are sorted.
     """
     repaired = repair_histories(tables) if repaired is None else repaired
     timeline = tables["registry"].select(*TIMELINE_OUTPUT)
     out = latest_per_key(timeline, [KEY], "entry_number", [c for c in tie_break if c in TIMELINE_OUTPUT])
     entry, key = F.col("__strata_last"), F.col("__strata_key")
     last = timeline.groupBy(F.col(KEY).alias("__strata_key")).agg(F.max("entry_number").alias("__strata_last"))
+    last = last.hint("shuffle_hash") if hashed else last
     start, end = F.col("valid_from_entry"), F.col("valid_to_entry")
     stacked, slots = _stacked([(repaired[table], cols) for table, cols, _ in GOLD_JOINS])
     covering = stacked.join(last, (F.col(KEY) == key) & (start <= entry) & (end.isNull() | (end > entry)))
@@ -446,7 +451,7 @@ def gold(
     if current_from == "full":
         current = current_info(full, tie_break)
     elif current_from == "latest":
-        current = current_info_direct(tables, tie_break, repaired)
+        current = current_info_direct(tables, tie_break, repaired, hashed)
     else:
         raise ValueError("current_from must be 'full' or 'latest'")
     return GoldOutputs(full, shares_issues(tables), amendments(tables), current)

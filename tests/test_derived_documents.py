@@ -175,3 +175,30 @@ def test_full_history_hashes_histories_that_are_measured_small(spark, odd, monke
             spark.conf.unset(key)
     assert hashed.columns == D.FULL_HISTORY_COLUMNS and hashed.count() > 300
     assert sorted(map(repr, hashed.collect())) == sorted(map(repr, merged.collect()))
+
+
+def test_current_info_hashes_last_entries_that_are_measured_small(spark, odd, monkeypatch):
+    """The stacked intervals meet the last entries before they are sorted; where these are many, after."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = []
+        for limit in (R.HASH_BYTES, 0):
+            monkeypatch.setattr(R, "HASH_BYTES", limit)
+            df = D.q_registry_current_info(spark, odd[0])
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("ShuffledHashJoin [") == (limit > 0)
+            found.append(sorted(map(repr, df.collect())))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
+def test_empty_arrays_are_not_repaired(spark, odd):
+    plan = R.repaired_in_documents(D.parsed_documents(spark, odd[0]))["total_shares_units"]
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (size(" in text
+    outer = plan.where("valid_from_entry IS NULL AND total_number_of_shares_units IS NULL").count()
+    assert outer > 50  # a row for every document with an empty or missing array
