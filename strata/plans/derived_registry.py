@@ -14,9 +14,10 @@ The driver's tables hold no registry documents, so the whole registry pipeline
   orphan for H1 to reopen;
 * share issues and statute positions are grouped per return flag (nested arrays).
 
-All values come from SQL expression texts that Spark evaluates while building the
-documents; the oracle evaluates the same texts directly on the tables, so the
-JSON round trip, dialect folding, explode, repair and joins are all checked.
+The oracle evaluates the SQL texts of rules and values directly on the tables. Spark
+evaluates those of the rules; the values are computed from the lines in Arrow
+batches, as the texts say. So the documents, the JSON round trip, dialect folding,
+explode, repair and joins are all checked.
 A group is always one order's lines: bounded by the order, not the table.
 """
 
